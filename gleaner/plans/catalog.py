@@ -193,3 +193,8 @@ def q_quarantine(spark, sf_dir):
     return (good.select(F.lit("good").alias("side"))
             .unionByName(bad.select(F.lit("bad").alias("side")))
             .groupBy("side").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+# Query modules register themselves on import (kept last: they import
+# ``register`` from here).
+from gleaner.plans import q_lake  # noqa: E402,F401

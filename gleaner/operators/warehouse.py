@@ -51,10 +51,17 @@ def insert_applications(df: DataFrame, name: str = "applications") -> int:
     from pyspark.sql import Observation
 
     obs = Observation("insert")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).writeTo(name).append()
+    append_table(df.observe(obs, F.count(F.lit(1)).alias("n")), name)
     return int(obs.get["n"])
 
 
+def append_table(df: DataFrame, name: str) -> None:
+    """Append to a catalog table, matching columns by name (``insertInto``
+    is positional)."""
+    cols = df.sparkSession.table(name).columns
+    df.select(*cols).write.mode("append").insertInto(name)
+
+
 # -- S7/S8/E7: vector collection --------------------------------------------
 
 def create_vectors(spark: SparkSession, name: str, dim: int, chunk_size: int, location: str | None = None) -> None:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from gleaner.functions.text import (LITERAL_BULLET, _c, first_match, lower_strip, normalize,
+from gleaner.functions.text import (LITERAL_BULLET, _c, first_match, let, lower_strip, normalize,
                                     strip)
 
 # Fixed values from the reference's rules.
@@ -50,17 +50,37 @@ def annual_wage(unit, k, lo, hi=None) -> Column:
                   F.array(F.try_multiply(lo, scale), F.try_multiply(hi, scale)))
 
 
-def wage_parts(x) -> dict[str, Column]:
-    """Pieces of C4 on the normalized text: unit, k flag, lo, hi."""
-    s = normalize(x)
+def wage_parts_of_normalized(n) -> dict[str, Column]:
+    """Pieces of C4 on an already normalized text: unit, k flag, lo, hi."""
+    n = _c(n)
     return {
-        "unit": first_match(s, UNIT_PATTERN),
-        "k": s.rlike(K_PATTERN),
-        "lo": F.nullif(F.regexp_extract(s, WAGE_PATTERN, 1), F.lit("")).try_cast("bigint"),
-        "hi": F.nullif(F.regexp_extract(s, WAGE_PATTERN, 2), F.lit("")).try_cast("bigint"),
+        "unit": first_match(n, UNIT_PATTERN),
+        "k": n.rlike(K_PATTERN),
+        "lo": F.nullif(F.regexp_extract(n, WAGE_PATTERN, 1), F.lit("")).try_cast("bigint"),
+        "hi": F.nullif(F.regexp_extract(n, WAGE_PATTERN, 2), F.lit("")).try_cast("bigint"),
     }
 
 
+def wage_from_parts(raw, unit, k, lo, hi) -> Column:
+    """C4 from precomputed parts (``raw`` only decides null input)."""
+    raw, unit = _c(raw), _c(unit)
+    return (F.when(raw.isNull(), F.lit(None))
+            .when(unit == "unpaid", F.array(F.lit(0).cast("bigint"), F.lit(0).cast("bigint")))
+            .when(unit == "paid", F.lit(None))
+            .otherwise(annual_wage(unit, k, lo, hi)))
+
+
+def wage_error_from_parts(raw, unit, wage_col) -> Column:
+    """True when the reference would raise (unknown unit / no number)."""
+    raw, unit = _c(raw), _c(unit)
+    known = F.coalesce(unit.isin("paid", "unpaid"), F.lit(False))
+    return raw.isNotNull() & ~known & _c(wage_col).isNull()
+
+
+def _numeric(raw: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(raw, r"(?<=\d),(?=\d{3})", ""), r"(?<=\d)\.\d+", "")
+
+
 def wage(x, numeric_wages: bool = False) -> Column:
     """C4: raw wage text -> [lo, hi] yearly amounts.
 
@@ -71,38 +91,43 @@ def wage(x, numeric_wages: bool = False) -> Column:
     """
     raw = _c(x)
     if numeric_wages:
-        raw = F.regexp_replace(F.regexp_replace(raw, r"(?<=\d),(?=\d{3})", ""), r"(?<=\d)\.\d+", "")
-    p = wage_parts(raw)
-    return (F.when(raw.isNull(), F.lit(None))
-            .when(p["unit"] == "unpaid", F.array(F.lit(0).cast("bigint"), F.lit(0).cast("bigint")))
-            .when(p["unit"] == "paid", F.lit(None))
-            .otherwise(annual_wage(p["unit"], p["k"], p["lo"], p["hi"])))
+        raw = _numeric(raw)
+
+    def on_parts(p):
+        return wage_from_parts(raw, p["unit"], p["k"], p["lo"], p["hi"])
+
+    return let(normalize(raw), lambda n: let(F.struct(*[v.alias(k) for k, v in
+                                                       wage_parts_of_normalized(n).items()]), on_parts))
 
 
 def wage_error(x) -> Column:
     """True when C4 would raise in the reference (unknown unit / no digits)."""
     raw = _c(x)
-    p = wage_parts(raw)
-    known = p["unit"].isin("paid", "unpaid")
-    return raw.isNotNull() & ~F.coalesce(known, F.lit(False)) & wage(raw).isNull()
+    return let(normalize(raw), lambda n: let(
+        F.struct(first_match(n, UNIT_PATTERN).alias("unit"), wage(raw).alias("w")),
+        lambda p: wage_error_from_parts(raw, p["unit"], p["w"])))
 
 
 def location(x) -> Column:
     """Text after ``based in `` to the end, on normalized input."""
-    return first_match(normalize(_c(x)), LOCATION_PATTERN)
+    return let(normalize(_c(x)), lambda n: first_match(n, LOCATION_PATTERN))
 
 
 def location_type(x) -> Column:
     """[] for null input, [first keyword], or null when none appears."""
     raw = _c(x)
-    kw = first_match(normalize(raw), LOCATION_TYPE_PATTERN)
-    return (F.when(raw.isNull(), F.array().cast("array<string>"))
+    return let(normalize(raw), lambda n: location_type_from_normalized(raw, n))
+
+
+def location_type_from_normalized(raw, n) -> Column:
+    kw = first_match(n, LOCATION_TYPE_PATTERN)
+    return (F.when(_c(raw).isNull(), F.array().cast("array<string>"))
             .when(kw.isNotNull(), F.array(kw)))
 
 
 def employment_type(x) -> Column:
     """First ``word-time`` token of the normalized text."""
-    return first_match(normalize(_c(x)), EMPLOYMENT_PATTERN)
+    return let(normalize(_c(x)), lambda n: first_match(n, EMPLOYMENT_PATTERN))
 
 
 def job_type(x) -> Column:
@@ -112,9 +137,12 @@ def job_type(x) -> Column:
 
 def apply_type(x) -> Column:
     """``internal`` when the button reads exactly ``apply``."""
-    raw = _c(x)
-    return F.when(raw.isNotNull(),
-                  F.when(normalize(raw) == "apply", F.lit("internal")).otherwise(F.lit("external")))
+    return apply_type_from_normalized(x, normalize(_c(x)))
+
+
+def apply_type_from_normalized(raw, n) -> Column:
+    return F.when(_c(raw).isNotNull(),
+                  F.when(_c(n) == "apply", F.lit("internal")).otherwise(F.lit("external")))
 
 
 def position(x) -> Column:
@@ -136,15 +164,16 @@ def _times(x) -> Column:
     return F.replace(_c(x), F.lit(LITERAL_BULLET), F.lit(" "))
 
 
-def posted_at(times, extracted_on) -> Column:
-    """extracted_on minus ``posted N unit(s)``; month/year clip to month end.
+def posted_parts(times_clean) -> dict[str, Column]:
+    """(N, unit) of ``posted N unit(s)`` on bullet-cleaned text."""
+    t = _c(times_clean)
+    return {"n": F.nullif(F.regexp_extract(t, POSTED_PATTERN, 1), F.lit("")).try_cast("int"),
+            "unit": F.nullif(F.regexp_extract(t, POSTED_PATTERN, 2), F.lit(""))}
 
-    Null when the pattern is missing or the unit is not one the reference's
-    date arithmetic accepts (``POSTED_UNITS``, lower case).
-    """
-    t = _times(times)
-    n = F.nullif(F.regexp_extract(t, POSTED_PATTERN, 1), F.lit("")).try_cast("int")
-    unit = F.nullif(F.regexp_extract(t, POSTED_PATTERN, 2), F.lit(""))
+
+def posted_from_parts(n, unit, extracted_on) -> Column:
+    """extracted_on minus N units (month/year arithmetic clips to month end)."""
+    n, unit = _c(n), _c(unit)
     zero = F.lit(0)
     secs = F.lit(0).cast("decimal(18,6)")
 
@@ -162,13 +191,28 @@ def posted_at(times, extracted_on) -> Column:
     return (_c(extracted_on).cast("timestamp_ntz") - interval).cast("timestamp_ntz")
 
 
+def posted_at(times, extracted_on) -> Column:
+    """extracted_on minus ``posted N unit(s)``; month/year clip to month end.
+
+    Null when the pattern is missing or the unit is not one the reference's
+    date arithmetic accepts (``POSTED_UNITS``, lower case).
+    """
+    p = posted_parts(_times(times))
+    return let(F.struct(p["n"].alias("n"), p["unit"].alias("unit")),
+               lambda s: posted_from_parts(s["n"], s["unit"], extracted_on))
+
+
 def apply_by(times) -> Column:
     """``apply by Month D, YYYY at H:MM am|pm`` -> timestamp (no zone).
 
     Parsed with separators, so days 1-2 with hours 11-12 read correctly; an
     abbreviated month name gives null, as in the reference.
     """
-    t = _times(times)
+    return apply_by_clean(_times(times))
+
+
+def apply_by_clean(times_clean) -> Column:
+    t = _c(times_clean)
     g = [F.regexp_extract(t, APPLY_PATTERN, i) for i in range(1, 6)]
     text = F.concat_ws(" ", F.initcap(g[0]), g[1], g[2], g[3], F.upper(g[4]))
     ts = F.try_to_timestamp(text, F.lit("MMMM d yyyy h:mm a"))
@@ -185,13 +229,23 @@ def documents(x) -> Column:
 
 def error_codes(wage_raw, times_raw) -> Column:
     """Rule names that would raise in the reference, as array<string>."""
-    w, t = _c(wage_raw), _times(times_raw)
+    t = _times(times_raw)
+    pp = posted_parts(t)
+    return let(F.struct(wage_error(wage_raw).alias("w"), t.alias("t"), pp["n"].alias("n"),
+                        pp["unit"].alias("u")),
+               lambda s: rule_errors(s["w"], s["t"], s["n"], s["u"], apply_by_clean(s["t"])))
+
+
+def rule_errors(wage_err, times_clean, posted_n, posted_unit, apply_by_col) -> Column:
+    """Error names from precomputed pieces (see ``error_codes``)."""
+    t = _c(times_clean)
+    has_posted = t.rlike(POSTED_PATTERN)
     errs = [
-        F.when(wage_error(w), F.lit("C4_wage")),
-        F.when(t.isNotNull() & ~t.rlike(POSTED_PATTERN), F.lit("C12_posted_missing")),
-        F.when(t.rlike(POSTED_PATTERN) & posted_at(times_raw, F.lit("2000-01-01").cast("timestamp_ntz")).isNull(),
-               F.lit("C12_posted_unit")),
-        F.when(t.isNotNull() & apply_by(times_raw).isNull(), F.lit("C13_apply_by")),
+        F.when(_c(wage_err), F.lit("C4_wage")),
+        F.when(t.isNotNull() & ~has_posted, F.lit("C12_posted_missing")),
+        F.when(has_posted & (~F.coalesce(_c(posted_unit).isin(*POSTED_UNITS), F.lit(False))
+                             | _c(posted_n).isNull()), F.lit("C12_posted_unit")),
+        F.when(t.isNotNull() & _c(apply_by_col).isNull(), F.lit("C13_apply_by")),
     ]
     return F.filter(F.array(*errs), lambda e: e.isNotNull())
 

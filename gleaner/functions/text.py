@@ -64,6 +64,16 @@ def normalize(x, literal_only: bool = False) -> Column:
     return lower_strip(s)
 
 
+def let(value, fn) -> Column:
+    """Bind ``value`` once and use it several times in ``fn(value)``.
+
+    Catalyst cannot share a sub-expression across CASE branches, so a rule
+    that reads an expensive value (a look-behind regex) in many branches would
+    evaluate it once per reference; the one-element array binds it once.
+    """
+    return F.transform(F.array(_c(value)), fn)[0]
+
+
 def first_match(x, pattern: str) -> Column:
     """Whole text of the leftmost match, or null when there is none."""
     x = _c(x)

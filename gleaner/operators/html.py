@@ -20,6 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.functions.dom import detail_fields as _walk
+from gleaner.functions.dom import to_markdown as _to_markdown
+from gleaner.session import spread
+
 _NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 # Attribute entities decoded for link values (the common five).
 _ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
@@ -99,21 +103,18 @@ _OUT = {"wage": "wage_raw", "location": "location_raw", "employment_type": "empl
 def detail_fields(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """H6 + C9: raw detail fields (and the about section as Markdown) for each
     page, in one Python pass over Arrow batches."""
-    src = df.select(*keep, F.col(html).alias("_html"))
+    src = spread(df.select(*keep, F.col(html).alias("_html")))
     in_fields = [f for f in src.schema.fields if f.name != "_html"]
     schema = T.StructType(in_fields + DETAIL_SCHEMA.fields)
     keep_names = [f.name for f in in_fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from gleaner.functions.dom import detail_fields as walk
-        from gleaner.functions.dom import to_markdown
-
         for pdf in batches:
-            rows = [walk(h) for h in pdf["_html"].tolist()]
+            rows = [_walk(h) for h in pdf["_html"].tolist()]
             out = pd.DataFrame({k: pdf[k].values for k in keep_names})
             for src_name, dst in _OUT.items():
                 out[dst] = [r[src_name] for r in rows]
-            out["about_md"] = [to_markdown(r["about"]) for r in rows]
+            out["about_md"] = [_to_markdown(r["about"]) for r in rows]
             yield out[[f.name for f in schema.fields]]
 
     return src.mapInPandas(run, schema)

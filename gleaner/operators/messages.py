@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.operators.postings import barrier
+
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("topic", T.StringType()),
     T.StructField("partition", T.IntegerType()),
@@ -119,8 +121,9 @@ def decode_envelope(df: DataFrame, params_schema: T.StructType, defaults: dict |
                F.lit("M2_unexpected_param")),
     ] + [F.when(F.col("_pk").isNotNull() & ~F.array_contains("_pk", r), F.lit(f"M2_missing_{r}"))
          for r in required]
-    tagged = parsed.select(*keep, "_text", F.col("_m.action").alias("action"), *fields,
-                           F.filter(F.array(*errs), lambda e: e.isNotNull()).alias("_errors"))
+    tagged = barrier(parsed.select(*keep, "_text", F.col("_m.action").alias("action"), *fields,
+                                   F.filter(F.array(*errs), lambda e: e.isNotNull()).alias("_errors")),
+                     "decode_envelope")
     good = tagged.filter(F.size("_errors") == 0).drop("_errors", "_text")
     bad = tagged.filter(F.size("_errors") > 0).select(*keep, F.col("_text").alias("value"), "_errors")
     return good, bad
@@ -183,7 +186,7 @@ def unpack_html(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ())
         F.when(F.col("action").isNull(), F.lit("M3_bad_envelope")),
         F.when(F.col("_codec") != "zlib", F.lit("M3_unknown_codec")),
         F.when(F.col("html").isNull(), F.lit("M3_corrupt_payload"))), lambda e: e.isNotNull())
-    tagged = out.withColumn("_errors", errs).drop("_codec")
+    tagged = barrier(out.withColumn("_errors", errs).drop("_codec"), "unpack_html")
     return (tagged.filter(F.size("_errors") == 0).drop("_errors", "_text"),
             tagged.filter(F.size("_errors") > 0).select(*keep, F.col("_text").alias("value"), "_errors"))
 
@@ -242,7 +245,7 @@ def decode_load_record(df: DataFrame, value: str = "value", keep: tuple[str, ...
         F.when(F.col("_posted_raw").isNotNull() & F.col("posted_at").isNull(), F.lit("M8_posted_at")),
         F.when(F.col("documents").isNull(), F.lit("M8_documents")),
         F.when(F.col("location_type").isNull(), F.lit("M8_location_type"))), lambda e: e.isNotNull())
-    tagged = out.withColumn("_errors", errs).drop("_topic", "_action", "_codec", "_about_raw",
-                                                   "_apply_raw", "_posted_raw")
+    tagged = barrier(out.withColumn("_errors", errs).drop("_topic", "_action", "_codec", "_about_raw",
+                                                           "_apply_raw", "_posted_raw"), "decode_load_record")
     return (tagged.filter(F.size("_errors") == 0).drop("_errors", "_text"),
             tagged.filter(F.size("_errors") > 0).select(*keep, F.col("_text").alias("value"), "_errors"))

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import clean as C
+from gleaner.functions.text import first_match, normalize
+from gleaner.session import spread
 
 # The cleaned record (the reference's 13 fields, plus url and scraped_at).
 CLEAN_FIELDS = ("about", "apply_by", "apply_type", "company", "documents", "employment_type",
@@ -32,7 +34,7 @@ def _col_or_null(df: DataFrame, name: str, dtype: str) -> Column:
 
 def clean_postings(raw: DataFrame, extracted_on: str | Column = "extracted_on",
                    keep: tuple[str, ...] = (), about: str | Column | None = None) -> DataFrame:
-    """Raw detail fields -> cleaned posting record (C4-C16 in one projection).
+    """Raw detail fields -> cleaned posting record.
 
     Input columns (missing ones are treated as null): ``wage_raw``,
     ``location_raw``, ``employment_raw``, ``job_raw``, ``apply_raw``,
@@ -42,6 +44,11 @@ def clean_postings(raw: DataFrame, extracted_on: str | Column = "extracted_on",
 
     Output: ``*keep``, the 13 clean fields, ``url``, ``scraped_at`` and
     ``_errors`` (array<string>; the rules that would raise in the reference).
+
+    Three narrow projections: (1) normalize each raw text once, (2) extract
+    the regex parts from the normalized columns, (3) combine. Each expensive
+    value is referenced by column, so Catalyst keeps the stages apart instead
+    of re-evaluating a look-behind regex in every CASE branch.
     """
     g = {k: _col_or_null(raw, k, t) for k, t in RAW_DEFAULTS.items()}
     ext = F.col(extracted_on) if isinstance(extracted_on, str) else extracted_on
@@ -50,25 +57,54 @@ def clean_postings(raw: DataFrame, extracted_on: str | Column = "extracted_on",
             else _col_or_null(raw, "about", "string")
     else:
         about_col = F.col(about) if isinstance(about, str) else about
-    return raw.select(
-        *keep,
-        about_col.alias("about"),
-        C.apply_by(g["times_raw"]).alias("apply_by"),
-        C.apply_type(g["apply_raw"]).alias("apply_type"),
-        C.company(g["company_raw"]).alias("company"),
-        C.documents(g["documents_raw"]).alias("documents"),
-        C.employment_type(g["employment_raw"]).alias("employment_type"),
-        C.industry(g["industry_raw"]).alias("industry"),
-        C.job_type(g["job_raw"]).alias("job_type"),
-        C.location(g["location_raw"]).alias("location"),
-        C.location_type(g["location_raw"]).alias("location_type"),
-        C.position(g["position_raw"]).alias("position"),
-        C.posted_at(g["times_raw"], ext).alias("posted_at"),
-        C.wage(g["wage_raw"]).alias("wage"),
-        g["url"].alias("url"),
-        ext.cast("timestamp_ntz").alias("scraped_at"),
-        C.error_codes(g["wage_raw"], g["times_raw"]).alias("_errors"),
-    )
+    k = [F.col(c) for c in keep]
+    s1 = spread(raw).select(
+        *k, about_col.alias("about"), g["url"].alias("url"), ext.cast("timestamp_ntz").alias("scraped_at"),
+        g["wage_raw"].alias("_wr"), g["location_raw"].alias("_lr"), g["apply_raw"].alias("_ar"),
+        g["position_raw"].alias("_pr"), g["company_raw"].alias("_cr"), g["industry_raw"].alias("_ir"),
+        g["documents_raw"].alias("_dr"),
+        normalize(g["wage_raw"]).alias("_wn"), normalize(g["location_raw"]).alias("_ln"),
+        normalize(g["employment_raw"]).alias("_en"), normalize(g["job_raw"]).alias("_jn"),
+        normalize(g["apply_raw"]).alias("_an"), C._times(g["times_raw"]).alias("_tc"))
+    wp = C.wage_parts_of_normalized("_wn")
+    pp = C.posted_parts("_tc")
+    s2 = s1.select(
+        *keep, "about", "url", "scraped_at", "_wr", "_tc",
+        C.apply_by_clean("_tc").alias("apply_by"),
+        C.apply_type_from_normalized("_ar", "_an").alias("apply_type"),
+        C.company("_cr").alias("company"),
+        C.documents("_dr").alias("documents"),
+        first_match("_en", C.EMPLOYMENT_PATTERN).alias("employment_type"),
+        C.industry("_ir").alias("industry"),
+        F.col("_jn").alias("job_type"),
+        first_match("_ln", C.LOCATION_PATTERN).alias("location"),
+        C.location_type_from_normalized("_lr", "_ln").alias("location_type"),
+        C.position("_pr").alias("position"),
+        wp["unit"].alias("_wu"), wp["k"].alias("_wk"), wp["lo"].alias("_wlo"), wp["hi"].alias("_whi"),
+        pp["n"].alias("_pn"), pp["unit"].alias("_pu"))
+    wage_col = C.wage_from_parts("_wr", "_wu", "_wk", "_wlo", "_whi")
+    s3 = s2.select(
+        *keep, "about", "apply_by", "apply_type", "company", "documents", "employment_type", "industry",
+        "job_type", "location", "location_type", "position",
+        C.posted_from_parts("_pn", "_pu", "scraped_at").alias("posted_at"),
+        wage_col.alias("wage"), "url", "scraped_at", "_wr", "_wu", "_tc", "_pn", "_pu")
+    return s3.select(
+        *keep, *CLEAN_FIELDS, "url", "scraped_at",
+        C.rule_errors(C.wage_error_from_parts("_wr", "_wu", "wage"), "_tc", "_pn", "_pu", "apply_by")
+        .alias("_errors"))
+
+
+def barrier(tagged: DataFrame, name: str) -> DataFrame:
+    """Count rows and quarantined rows with ``observe`` before a split.
+
+    The metrics node also stops the good/bad filters from being pushed into
+    the tagging projection, which would evaluate every rule (and any Python
+    pass) twice: once for the filter and once for the output.
+    """
+    import uuid
+
+    return tagged.observe(f"{name}_{uuid.uuid4().hex[:8]}", F.count(F.lit(1)).alias("rows"),
+                          F.sum((F.size("_errors") > 0).cast("long")).alias("quarantined"))
 
 
 def contract_errors(df: DataFrame) -> Column:
@@ -99,7 +135,7 @@ def validate_enriched(df: DataFrame, mode: str = "permissive",
     """
     prior = F.col("_errors") if ("_errors" in df.columns and include_rule_errors) \
         else F.array().cast("array<string>")
-    tagged = df.withColumn("_errors", F.concat(prior, contract_errors(df)))
+    tagged = barrier(df.withColumn("_errors", F.concat(prior, contract_errors(df))), "validate")
     bad_pred = F.size("_errors") > 0
     good = tagged.filter(~bad_pred).drop("_errors")
     bad = tagged.filter(bad_pred)

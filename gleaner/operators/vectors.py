@@ -29,6 +29,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.operators.postings import barrier
+from gleaner.session import spread
+
 MAX_BROADCAST_QUERIES = 4096     # query vectors held per task; larger sets go in blocks
 SCORE_DIGITS = 6                 # scores are ranked at this precision, ties by id
 
@@ -66,6 +69,7 @@ def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object] | None = None,
 
     if request is not None:
         return df.groupBy(request).applyInPandas(call, schema)
+    df = spread(df)
 
     def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -106,7 +110,7 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
     q_type = queries.schema[qid_col].dataType
     schema = T.StructType([T.StructField(qid_col, q_type), T.StructField("id", id_type),
                            T.StructField("score", T.DoubleType())])
-    src = base.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
+    src = spread(base.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v")))
     for part in parts:
         rows = part.collect()   # bounded by MAX_BROADCAST_QUERIES
         qids = [r["_qid"] for r in rows]
@@ -181,7 +185,7 @@ def check_vectors(df: DataFrame, dim: int, chunk_size: int) -> tuple[DataFrame,
         F.when(F.col("chunk_txt").isNull() | (F.char_length("chunk_txt") > chunk_size), F.lit("E6_chunk_len")),
         F.when(F.col("application_id").isNull(), F.lit("E6_id_null")),
         *[F.lit(f"E6_extra_{c}") for c in extra]), lambda e: e.isNotNull())
-    tagged = df.withColumn("_errors", errs)
+    tagged = barrier(df.withColumn("_errors", errs), "check_vectors")
     good = tagged.filter(F.size("_errors") == 0).select(*VECTOR_COLUMNS)
     bad = tagged.filter(F.size("_errors") > 0)
     return good, bad

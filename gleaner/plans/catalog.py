@@ -19,6 +19,7 @@ from gleaner.operators.chunk import chunk_stats, chunk_text
 from gleaner.operators.postings import clean_postings, validate_enriched
 from gleaner.plans import postings_fixture as PF
 from gleaner.plans.tables import table
+from gleaner.session import spread
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -45,7 +46,7 @@ CHUNK_STEP = 409
 
 
 def _chunks(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
     return chunk_text(docs, "text", CHUNK_SIZE, CHUNK_OVERLAP, keep=("doc_id", "lang", "source"))
 
 
@@ -93,8 +94,8 @@ def q_job_type(spark, sf_dir):
     f"CASE WHEN wage_raw IS NULL THEN NULL WHEN w_unit = 'unpaid' THEN 0 "
     f"WHEN w_unit = 'paid' OR w_lo IS NULL THEN NULL ELSE coalesce(w_hi, w_lo) * ({PF.d_wage_scale()}) END AS wage_hi"))
 def q_wage(spark, sf_dir):
-    w = C.wage("wage_raw")
-    return _raw(spark, sf_dir).select("posting_id", w[0].alias("wage_lo"), w[1].alias("wage_hi"))
+    w = _raw(spark, sf_dir).select("posting_id", C.wage("wage_raw").alias("w"))
+    return w.select("posting_id", F.col("w")[0].alias("wage_lo"), F.col("w")[1].alias("wage_hi"))
 
 
 @register("C5_C6_location", _oracle(

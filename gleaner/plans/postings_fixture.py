@@ -96,7 +96,9 @@ def raw_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw posting per ``orders`` row (Spark side)."""
     from pyspark.sql import functions as F
 
-    df = table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {n}" for n, e in COMPOSE])
+    from gleaner.session import spread
+
+    df = spread(table(spark, sf_dir, "orders")).selectExpr(*[f"{e} AS {n}" for n, e in COMPOSE])
     return df.withColumn("documents_raw", F.filter(F.array("doc1", "doc2"), lambda d: d.isNotNull())) \
              .drop("doc1", "doc2")
 

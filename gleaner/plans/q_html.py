@@ -9,6 +9,7 @@ from gleaner.operators import html as H
 from gleaner.plans.catalog import register
 from gleaner.plans.postings_fixture import _LIT_BULLET
 from gleaner.plans.tables import table
+from gleaner.session import spread
 
 _D_NOISE = "'<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>'"
 _D_ATTR = "'\\shref\\s*=\\s*(?:\"([^\"]*)\"|''([^'']*)''|([^\\s\"''>]+))'"
@@ -125,7 +126,7 @@ _EXPECTED = {
 
 
 def posting_pages(spark, sf_dir):
-    return table(spark, sf_dir, "part").selectExpr(f"{K} AS posting_id", f"{POSTING_HTML} AS html")
+    return spread(table(spark, sf_dir, "part")).selectExpr(f"{K} AS posting_id", f"{POSTING_HTML} AS html")
 
 
 @register("H6_C9_detail_fields", "SELECT p_partkey AS posting_id, " +

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gleaner.operators import messages as M
 from gleaner.plans.catalog import register
 from gleaner.plans.tables import table
+from gleaner.session import spread
 from gleaner.sources import topics as S
 
 
@@ -21,6 +22,14 @@ def envelope_events(spark, sf_dir):
                          partition=F.col("user_id") % 3, offset=F.col("event_id"), timestamp=F.col("ts"))
 
 
+def _publish(enc, spark, topic: str = M.LOAD_TOPIC):
+    from gleaner.session import scratch_path
+
+    path = scratch_path(spark, "topics")
+    S.publish(enc.withColumn("key", F.col("posting_id").cast("string").cast("binary")), topic, path)
+    return path
+
+
 def _land(spark, sf_dir):
     """Publish the events envelope to a fresh landed-topic folder."""
     from gleaner.session import scratch_path
@@ -79,7 +88,7 @@ SELECT page_id, 'good' AS variant, md5(html) AS html_md5, length(html) AS n_char
 UNION ALL
 SELECT page_id, 'corrupt' AS variant, NULL AS html_md5, NULL AS n_chars FROM pages""")
 def q_pack_unpack(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     packed = M.pack_html(pages, "html", url="url", keep=("page_id",))
     # a corrupted copy: drop the first 8 base64 characters of the payload
     corrupt = packed.select("page_id", F.encode(F.regexp_replace(F.decode("value", "UTF-8"),
@@ -147,13 +156,16 @@ _LOAD_SRC = {
 @register("M7_M8_load_record", "SELECT o_orderkey AS posting_id, " +
           ", ".join(f"{v} AS {k}" for k, v in _LOAD_SRC.items()) + " FROM orders")
 def q_load_record(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS posting_id",
-                                                 *[f"{v} AS {k}" for k, v in _LOAD_SRC.items()])
+    o = spread(table(spark, sf_dir, "orders")).selectExpr("o_orderkey AS posting_id",
+                                                         *[f"{v} AS {k}" for k, v in _LOAD_SRC.items()])
     rec = o.select("posting_id", *[c for c in o.columns if c not in ("posting_id", "wage_lo")],
                    F.array("wage_lo", F.col("wage_lo") + 1000).alias("wage"),
                    F.array(F.lit("transcript")).alias("documents"), F.array(F.lit("onsite")).alias("location_type"))
     enc = M.encode_load_record(rec, keep=("posting_id",))
-    good, _ = M.decode_load_record(enc, keep=("posting_id",))
+    # publish to a landed topic, then decode what the next stage reads
+    landed = S.read_topics(spark, _publish(enc, spark), [M.LOAD_TOPIC], streaming=False)
+    good, _ = M.decode_load_record(landed.select(F.col("key").cast("string").cast("bigint").alias("posting_id"),
+                                                 "value"), keep=("posting_id",))
     return good.select("posting_id", *[k for k in _LOAD_SRC if k != "wage_lo"],
                        F.col("wage")[0].alias("wage_lo"))
 

@@ -78,3 +78,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin rows over the task slots when a scan yields fewer
+    partitions than there are slots (a small single-row-group file is one
+    split). CPU-heavy passes (regex rules, Arrow/Python passes) then use every
+    core. On large inputs the scan already has enough splits and this is a
+    no-op, so it never adds a shuffle at scale. ``repartition(n)`` by number
+    is not coalesced back by AQE.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming:
+        return df
+    n = df.rdd.getNumPartitions()
+    return df if n >= target else df.repartition(target)

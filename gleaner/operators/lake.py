@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-META = ("key", "_seq", "_batch", "_set", "_ins")
+META = ("key", "_seq", "_batch", "_set", "_ins", "_writer")
 
 
 def _arr(names) -> Column:
@@ -102,7 +102,8 @@ def first_writes(changes: DataFrame, order: str | Column = "_seq") -> DataFrame:
     return best.select("key", "_r.*")
 
 
-def new_only(batch: DataFrame, log: DataFrame | None, batch_id: int | None = None) -> DataFrame:
+def new_only(batch: DataFrame, log: DataFrame | None, batch_id: int | None = None,
+             writer: str | None = None) -> DataFrame:
     """Rows of this batch whose key was not written by an earlier batch.
 
     ``batch`` is change rows of one batch (see ``upsert_postings``); ``log``
@@ -113,8 +114,10 @@ def new_only(batch: DataFrame, log: DataFrame | None, batch_id: int | None = Non
     if log is None:
         return firsts
     seen = log
+    if writer is not None and "_writer" in log.columns:
+        seen = seen.filter(F.col("_writer") == F.lit(writer))
     if batch_id is not None:
-        seen = log.filter(F.col("_batch") < F.lit(batch_id))
+        seen = seen.filter(F.col("_batch") < F.lit(batch_id))
     return firsts.join(seen.select("key").distinct(), "key", "left_anti")
 
 
@@ -136,11 +139,13 @@ class Lake:
     def log_path(self) -> str:
         return f"{self.root}/log"
 
-    def append(self, changes: DataFrame) -> None:
-        """Append change rows, partitioned by batch (a retried batch simply
-        rewrites its own partition)."""
-        (changes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_batch").parquet(self.log_path))
+    def append(self, changes: DataFrame, writer: str = "default") -> None:
+        """Append change rows under ``_writer=<writer>/_batch=<id>``; a
+        retried batch rewrites only its own partition (idempotent), and
+        concurrent writers never touch each other's partitions."""
+        (changes.withColumn("_writer", F.lit(writer)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_writer", "_batch").parquet(self.log_path))
 
     def log(self) -> DataFrame | None:
         try:
@@ -163,7 +168,8 @@ class Lake:
         view = self.scan()
         fields = [c for c in view.columns if not c.startswith("_") and c != "key"]
         snap = view.select("key", F.col("_last_seq").alias("_seq"), F.col("_first_batch").alias("_batch"),
-                           _arr(fields).alias("_set"), _arr([]).alias("_ins"), *fields)
+                           _arr(fields).alias("_set"), _arr([]).alias("_ins"), F.lit("snapshot").alias("_writer"),
+                           *fields)
         path = f"{self.root}/snapshot-{uuid.uuid4().hex[:8]}"
         snap.write.parquet(path)
         return path

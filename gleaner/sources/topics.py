@@ -36,26 +36,64 @@ def kafka_available(spark: SparkSession) -> bool:
         return False
 
 
+def ensure_dir(spark: SparkSession, path: str) -> None:
+    """Create a folder through the Hadoop FileSystem API (works for any
+    cluster file system, not only local disks)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def topic_path(root: str, topic: str) -> str:
+    """Folder of one landed topic (Hive-style, so a batch ``partitionBy``
+    write and a per-topic streaming file sink share one layout)."""
+    return f"{root.rstrip('/')}/topic={topic}"
+
+
+_STORED = [f for f in ENVELOPE_SCHEMA.fields if f.name != "topic"]
+
+
 def read_topics(spark: SparkSession, source: str, topics: list[str], start: str = "earliest",
                 streaming: bool = True, options: dict | None = None) -> DataFrame:
     """Subscribe to a set of topics.
 
     ``source`` is a Kafka bootstrap server list (``kafka://host:port,...``)
-    or a landed-table folder. Returns envelope rows of those topics only.
+    or the root folder of landed topics. Returns envelope rows of those
+    topics only (a topic folder that does not exist yet is skipped in batch
+    mode; a stream waits for it to appear).
     """
+    from functools import reduce
+
+    from pyspark.sql import types as T
+
     options = options or {}
-    reader = spark.readStream if streaming else spark.read
     if source.startswith("kafka://"):
+        reader = spark.readStream if streaming else spark.read
         r = (reader.format("kafka").option("kafka.bootstrap.servers", source[len("kafka://"):])
              .option("subscribe", ",".join(topics)).option("startingOffsets", start))
         for k, v in options.items():
             r = r.option(k, v)
         return r.load().select(*[f.name for f in ENVELOPE_SCHEMA.fields])
-    r = reader.schema(ENVELOPE_SCHEMA) if streaming else reader
-    for k, v in options.items():
-        r = r.option(k, v)
-    df = r.parquet(source)
-    return df.filter(F.col("topic").isin(*topics))
+    frames = []
+    for t in topics:
+        path = topic_path(source, t)
+        if streaming:
+            ensure_dir(spark, path)
+            r = spark.readStream.schema(T.StructType(_STORED))
+            for k, v in options.items():
+                r = r.option(k, v)
+            df = r.parquet(path)
+        else:
+            try:
+                df = spark.read.schema(T.StructType(_STORED)).parquet(path)
+            except Exception as exc:   # topic never written
+                if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                    raise
+                continue
+        frames.append(df.select(F.lit(t).alias("topic"), *[f.name for f in _STORED]))
+    if not frames:
+        return spark.createDataFrame([], ENVELOPE_SCHEMA)
+    return reduce(lambda a, b: a.unionByName(b), frames)
 
 
 def to_envelope(df: DataFrame, topic: str | Column, key: str | Column | None, value: str | Column,
@@ -67,20 +105,25 @@ def to_envelope(df: DataFrame, topic: str | Column, key: str | Column | None, va
     v = F.col(value) if isinstance(value, str) else value
     if partition is None:
         partition = F.pmod(F.hash(k), F.lit(TOPIC_PARTITIONS))
+    if offset is None:
+        # landed files have no broker offsets: a unique id per write (batch),
+        # or the ingest time in microseconds for a stream
+        offset = F.unix_micros(F.current_timestamp()) if df.isStreaming else F.monotonically_increasing_id()
     return df.select(t.alias("topic"), partition.cast("int").alias("partition"),
-                     (offset if offset is not None else F.monotonically_increasing_id()).cast("bigint").alias("offset"),
+                     offset.cast("bigint").alias("offset"),
                      (timestamp if timestamp is not None else F.current_timestamp()).cast("timestamp").alias("timestamp"),
                      k.cast("binary").alias("key"), v.cast("binary").alias("value"))
 
 
 def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
-            checkpoint: str | None = None, trigger: dict | None = None):
+            checkpoint: str | None = None, trigger: dict | None = None, query_name: str | None = None):
     """Keyed append to a topic.
 
     ``df`` has a ``value`` column (and optionally ``topic``/``key``). A
     ``kafka://`` sink uses the Kafka writer; anything else appends envelope
-    Parquet files partitioned by topic. Streaming frames return the started
-    query (its checkpoint makes delivery restartable), batch frames ``None``.
+    Parquet files under ``sink/topic=<name>``. Streaming frames return the
+    started query (its checkpoint makes delivery restartable) and need a
+    fixed ``topic``; batch frames return ``None``.
     """
     cols = df.columns
     t = F.lit(topic) if topic is not None else F.col("topic")
@@ -88,19 +131,28 @@ def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
         F.col("key") if "key" in cols else F.lit(None).cast("binary"))
     out = df.select(t.alias("topic"), k.alias("key"), F.col("value").cast("binary").alias("value"),
                     *[c for c in ("partition", "offset", "timestamp") if c in cols])
-    if not sink.startswith("kafka://"):
+    kafka = sink.startswith("kafka://")
+    if not kafka:
         out = to_envelope(out, F.col("topic"), F.col("key"), F.col("value"),
                           F.col("partition") if "partition" in cols else None,
                           F.col("offset") if "offset" in cols else None,
                           F.col("timestamp") if "timestamp" in cols else None)
     if df.isStreaming:
+        if checkpoint is None:
+            raise ValueError("a streaming publish needs a checkpoint location")
+        if not kafka:
+            if topic is None:
+                raise ValueError("a streaming file publish needs a fixed topic")
+            out = out.drop("topic")
         w = out.writeStream.option("checkpointLocation", checkpoint)
+        if query_name:
+            w = w.queryName(query_name)
         if trigger:
             w = w.trigger(**trigger)
-        if sink.startswith("kafka://"):
+        if kafka:
             return w.format("kafka").option("kafka.bootstrap.servers", sink[len("kafka://"):]).start()
-        return w.format("parquet").partitionBy("topic").start(sink)
-    if sink.startswith("kafka://"):
+        return w.format("parquet").start(topic_path(sink, topic))
+    if kafka:
         out.select("topic", "key", "value").write.format("kafka") \
             .option("kafka.bootstrap.servers", sink[len("kafka://"):]).save()
     else:

@@ -147,6 +147,24 @@ class Lake:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("_writer", "_batch").parquet(self.log_path))
 
+    def keys(self, writer: str | None = None, before_batch: int | None = None) -> DataFrame | None:
+        """Keys already written (optionally by one writer, before a batch).
+
+        Reads only the ``key`` column and prunes ``_writer``/``_batch``
+        partitions, so the per-batch new-only check stays a narrow scan.
+        """
+        try:
+            df = self.spark.read.schema("key string, _writer string, _batch bigint").parquet(self.log_path)
+        except Exception as exc:
+            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+                return None
+            raise
+        if writer is not None:
+            df = df.filter(F.col("_writer") == F.lit(writer))
+        if before_batch is not None:
+            df = df.filter(F.col("_batch") < F.lit(before_batch))
+        return df.select("key", "_batch", "_writer")
+
     def log(self) -> DataFrame | None:
         try:
             return self.spark.read.option("mergeSchema", "true").parquet(self.log_path)

@@ -89,7 +89,8 @@ class NewOnlyWriter:
         b = self.base + batch_id
         changes = self.to_changes(df, b).persist()
         try:
-            new = L.new_only(changes, self.lake.log(), b, writer=self.writer).persist()
+            seen = self.lake.keys(self.writer, b)
+            new = L.new_only(changes, seen, b, writer=self.writer).persist()
             new.count()                      # fix the result before the log changes
             self.lake.append(changes, self.writer)
             self.on_new(new, b)

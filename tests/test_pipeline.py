@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import clean as C
 from gleaner.operators import lake as L
-from gleaner.plans.q_html import POSTING_HTML
+from gleaner.plans.html_fixture import POSTING_HTML
 from gleaner.sources import topics as S
 from gleaner.streaming import pipeline as PL
 

@@ -89,12 +89,11 @@ class NewOnlyWriter:
         b = self.base + batch_id
         changes = self.to_changes(df, b).persist()
         try:
+            # only batches < b are consulted, so writing batch b below cannot
+            # change this result: a retry recomputes exactly the same rows
             seen = self.lake.keys(self.writer, b)
-            new = L.new_only(changes, seen, b, writer=self.writer).persist()
-            new.count()                      # fix the result before the log changes
+            self.on_new(L.new_only(changes, seen, b, writer=self.writer), b)
             self.lake.append(changes, self.writer)
-            self.on_new(new, b)
-            new.unpersist()
         finally:
             changes.unpersist()
 

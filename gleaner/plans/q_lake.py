@@ -191,3 +191,72 @@ def q_lookup(spark, sf_dir):
         F.col("doc_id").alias("application_id"), F.col("chunk_idx").cast("bigint"))
     ids = table(spark, sf_dir, "labels").filter(F.col("quality") == 1)
     return W.rows_by_ids(chunks, ids, "application_id", "doc_id")
+
+
+# -- V1 conform on inventories composed from events ---------------------------------
+
+_INVENTORY = ("""'{"a": "' || event_type || '", "n": ' || CAST(CAST(round(value * 100) AS BIGINT) AS STRING) ||
+  CASE event_id % 3 WHEN 0 THEN ', "c": null' WHEN 1 THEN ', "c": "' || CAST(user_id AS STRING) || '"'
+       ELSE '' END || '}'""")
+V1_SCHEMAS = {          # name -> (fields, optional, not_required)
+    "s_a": ({"a": "string"}, (), ()),
+    "s_c": ({"c": "string"}, ("c",), ()),
+    "s_d": ({"d": "string"}, (), ("d",)),
+    "s_f": ({"f": "string"}, (), ()),
+    "s_an": ({"a": "string", "n": "bigint"}, (), ()),
+    "s_ns": ({"n": "string"}, (), ()),
+}
+
+
+@register("V1_conform", """
+SELECT event_id, '{"a":"' || event_type || '"}' AS s_a,
+  CASE event_id % 3 WHEN 0 THEN '{"c":null}' WHEN 1 THEN '{"c":"' || CAST(user_id AS VARCHAR) || '"}' END AS s_c,
+  '{}' AS s_d, CAST(NULL AS VARCHAR) AS s_f,
+  '{"a":"' || event_type || '","n":' || CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) || '}' AS s_an,
+  CAST(NULL AS VARCHAR) AS s_ns
+FROM events""")
+def q_conform(spark, sf_dir):
+    from gleaner.operators.conform import conform_col
+
+    ev = table(spark, sf_dir, "events").selectExpr("event_id", f"try_parse_json({_INVENTORY}) AS inv")
+    return ev.select("event_id", *[conform_col("inv", f, o, n).alias(name)
+                                   for name, (f, o, n) in V1_SCHEMAS.items()])
+
+
+# -- S9 lake scan: the three writers persisted, scanned, compacted --------------------
+
+@register("S9_lake_scan_compact", """
+SELECT 'u' || CAST(user_id AS VARCHAR) AS key,
+  arg_max(event_type, event_id) FILTER (WHERE event_type IN ('view', 'click', 'signup')) AS role,
+  arg_min(ts, event_id) FILTER (WHERE event_type IN ('view', 'click', 'signup')) AS created_at,
+  arg_max(value >= 50, event_id) FILTER (WHERE event_type = 'error') AS e2_success,
+  arg_max_null(CASE WHEN value < 20 THEN NULL ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END, event_id)
+      FILTER (WHERE event_type = 'purchase') AS position
+FROM events GROUP BY user_id""")
+def q_lake_scan(spark, sf_dir):
+    from gleaner.session import scratch_path
+
+    ev = _events(spark, sf_dir).withColumn("url", F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    lake = L.Lake(spark, scratch_path(spark, "lake"))
+    cut = F.to_date("ts") < F.lit("2024-01-15")          # two loads: before / after mid-month
+    for part, tag in ((cut, "a"), (~cut, "b")):
+        e = ev.filter(part)
+        lake.append(L.upsert_postings(e.filter(F.col("event_type").isin("view", "click", "signup")).select(
+            "url", F.col("event_type").alias("role"), F.col("user_id").alias("job_id"),
+            F.col("ts").alias("created_at"), F.col("event_id").alias("_seq"), "batch"), F.col("batch")),
+            f"postings_{tag}")
+        lake.append(L.set_status(e.filter(F.col("event_type") == "error").select(
+            "url", (F.col("value") >= 50).alias("ok"), F.col("event_id").alias("_seq"), "batch"),
+            F.col("batch")), f"status_{tag}")
+        lake.append(L.upsert_enriched(e.filter(F.col("event_type") == "purchase").select(
+            "url", F.when(F.col("value") < 20, F.lit(None))
+            .otherwise(F.floor("value").cast("bigint").cast("string")).alias("position"),
+            F.col("event_id").alias("_seq"), "batch"), F.col("batch"), ["url", "position"]), f"enriched_{tag}")
+        if tag == "a":
+            # compact the first load into a one-row-per-key snapshot, then
+            # start a fresh log on top of it (what a periodic compaction does)
+            snap = lake.compact()
+            lake = L.Lake(spark, scratch_path(spark, "lake"))
+            lake.append(spark.read.parquet(snap), "snapshot")
+    view = lake.scan(["role", "created_at", "e2_success", "position"])
+    return view.select("key", "role", "created_at", "e2_success", "position")

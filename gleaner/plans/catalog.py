@@ -174,7 +174,41 @@ def _clean(spark, sf_dir):
     return clean_postings(_raw(spark, sf_dir), "extracted_on", keep=("posting_id",))
 
 
-@register("C17_clean_postings", None)
+_D_WAGE = ("CASE WHEN wage_raw IS NULL THEN NULL WHEN w_unit = 'unpaid' THEN 0 "
+           "WHEN w_unit = 'paid' OR w_lo IS NULL THEN NULL ELSE {v} * (" + PF.d_wage_scale() + ") END")
+_D_HAS_POSTED = "regexp_matches(times_c, '(?i)posted (\\d+) (\\w*[^s\\W])')"
+_D_FIELDS = {
+    "apply_by": (f"try_strptime(regexp_extract(times_c, {_D_APPLY}, 1) || ' ' || regexp_extract(times_c, {_D_APPLY}, 2) "
+                 f"|| ' ' || regexp_extract(times_c, {_D_APPLY}, 3) || ' ' || regexp_extract(times_c, {_D_APPLY}, 4) "
+                 f"|| ' ' || upper(regexp_extract(times_c, {_D_APPLY}, 5)), '%B %d %Y %I:%M %p')"),
+    "apply_type": "CASE WHEN apply_raw IS NULL THEN NULL WHEN apply_n = 'apply' THEN 'internal' ELSE 'external' END",
+    "company": PF.d_strip("company_raw"),
+    "employment_type": "nullif(regexp_extract(emp_n, '(\\w+-time)', 1), '')",
+    "industry": PF.d_lower_strip("industry_raw"),
+    "job_type": "job_n",
+    "location": "nullif(regexp_extract(loc_n, 'based in ([^\\n]*)$', 1), '')",
+    "position": PF.d_lower_strip("position_raw"),
+    "posted_at": (f"CASE {_D_POSTED_U} "
+                  + " ".join(f"WHEN '{u}' THEN extracted_on - to_{u}s({_D_POSTED_N})"
+                             for u in ("year", "month", "week", "day", "hour", "minute", "second")) + " END"),
+    "documents": _D_DOCS,
+    "location_type": ("CASE WHEN location_raw IS NULL THEN '' WHEN regexp_matches(loc_n, 'onsite|remote|hybrid') "
+                      "THEN regexp_extract(loc_n, '(onsite|remote|hybrid)', 1) END"),
+    "wage_lo": _D_WAGE.format(v="w_lo"),
+    "wage_hi": _D_WAGE.format(v="coalesce(w_hi, w_lo)"),
+}
+_D_ERRORS = ("concat_ws(',', "
+             "CASE WHEN wage_raw IS NOT NULL AND NOT coalesce(w_unit IN ('paid', 'unpaid'), false) "
+             f"AND ({_D_FIELDS['wage_lo']}) IS NULL THEN 'C4_wage' END, "
+             f"CASE WHEN times_raw IS NOT NULL AND NOT {_D_HAS_POSTED} THEN 'C12_posted_missing' END, "
+             f"CASE WHEN {_D_HAS_POSTED} AND NOT coalesce({_D_POSTED_U} IN "
+             "('year','month','week','day','hour','minute','second','microsecond') "
+             f"AND {_D_POSTED_N} IS NOT NULL, false) THEN 'C12_posted_unit' END, "
+             f"CASE WHEN times_raw IS NOT NULL AND ({_D_FIELDS['apply_by']}) IS NULL THEN 'C13_apply_by' END)")
+
+
+@register("C17_clean_postings", _oracle("posting_id, " + ", ".join(f"{v} AS {k}" for k, v in _D_FIELDS.items())
+                                        + f", {_D_ERRORS} AS errors"))
 def q_clean_postings(spark, sf_dir):
     df = _clean(spark, sf_dir)
     return df.select("posting_id", "apply_by", "apply_type", "company", "employment_type", "industry",

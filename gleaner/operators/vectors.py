@@ -99,9 +99,9 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
     # into blocks of MAX_BROADCAST_QUERIES, each a separate scan of the base.
     qsorted = queries.select(F.col(qid_col).alias("_qid"), F.col(qvec_col).alias("_qv"))
     if n_q > MAX_BROADCAST_QUERIES:
-        w = Window.orderBy("_qid")
-        qsorted = qsorted.withColumn("_blk", F.floor((F.row_number().over(w) - 1) / MAX_BROADCAST_QUERIES))
-        n_blocks = (n_q + MAX_BROADCAST_QUERIES - 1) // MAX_BROADCAST_QUERIES
+        # hash-assigned blocks with headroom (no global ordering window)
+        n_blocks = 2 * ((n_q + MAX_BROADCAST_QUERIES - 1) // MAX_BROADCAST_QUERIES)
+        qsorted = qsorted.withColumn("_blk", F.pmod(F.xxhash64("_qid"), F.lit(n_blocks)))
         parts = [qsorted.filter(F.col("_blk") == b).drop("_blk") for b in range(n_blocks)]
     else:
         parts = [qsorted]
@@ -112,7 +112,9 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
                            T.StructField("score", T.DoubleType())])
     src = spread(base.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v")))
     for part in parts:
-        rows = part.collect()   # bounded by MAX_BROADCAST_QUERIES
+        rows = part.collect()   # one block: about MAX_BROADCAST_QUERIES / 2 vectors
+        if not rows:
+            continue
         qids = [r["_qid"] for r in rows]
         qmat = _unit(np.array([np.asarray(r["_qv"], dtype=np.float64) for r in rows]))
         bq = sc.broadcast((qids, qmat))
@@ -136,6 +138,8 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
                 yield pd.DataFrame({qid_col: out_q, "id": out_id, "score": out_s})
 
         blocks.append(src.mapInPandas(local_top, schema))
+    if not blocks:
+        raise ValueError("no queries")
     cand = blocks[0]
     for b in blocks[1:]:
         cand = cand.unionByName(b)

@@ -80,9 +80,10 @@ def drop_vectors(spark: SparkSession, name: str) -> None:
 
 
 def delete_by_ids(base: DataFrame, ids: DataFrame, key: str, id_col: str | None = None) -> DataFrame:
-    """Remove every row whose key is in ``ids`` (left_anti join)."""
+    """Remove every row whose key is in ``ids`` (left_anti join;
+    duplicate ids need no dedup shuffle, the anti join ignores them)."""
     id_col = id_col or key
-    return base.join(ids.select(F.col(id_col).alias(key)).distinct(), key, "left_anti")
+    return base.join(ids.select(F.col(id_col).alias(key)), key, "left_anti")
 
 
 def rows_by_ids(base: DataFrame, ids: DataFrame, key: str, id_col: str | None = None) -> DataFrame:

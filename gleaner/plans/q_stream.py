@@ -73,11 +73,13 @@ def q_new_only_stream(spark, sf_dir):
         F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("url"),
         F.col("event_type").alias("role"), F.col("user_id").alias("job_id"),
         F.col("ts").alias("created_at"), F.col("event_id").alias("_seq"), F.to_date("ts").alias("day"))
+    ev = ev.persist()                # one scan feeds the ~30 day landings
     days = [r[0] for r in ev.select("day").distinct().orderBy("day").collect()]   # ~30 calendar days
     for d in days:     # land one file per day, in order: the stream sees one day per batch
         part = ev.filter(F.col("day") == F.lit(d)).drop("day").coalesce(1)
         S.publish(part.select(F.to_json(F.struct(*part.columns), _JSON_TS).alias("value")), "events",
                   f"{root}/topics")
+    ev.unpersist()
     stream = S.read_topics(spark, f"{root}/topics", ["events"], options={"maxFilesPerTrigger": "1"})
     schema = "url string, role string, job_id bigint, created_at timestamp_ntz, _seq bigint"
     rows = stream.select(F.from_json(F.decode("value", "UTF-8"), schema, _JSON_TS).alias("r")).select("r.*")

@@ -5,13 +5,11 @@ A1/A2/A5/A6/A7 are plain hash aggregates and broadcast joins with the
 
 A3/A4 are an ordered fold per budget key: a request is admitted iff
 ``used + tokens <= limit``; a refused request does not consume, so a later
-smaller one may still fit. That is not a running sum, so it runs as a
-streaming fold: rows are hash-partitioned by key, sorted by (key, order)
-within each partition, and a ``mapInPandas`` pass walks the sorted Arrow
-batches carrying only the current key's counters — memory is one batch, no
-group is ever collected. The fold of one key is inherently sequential, so
-one key is handled by one task (that is the semantics, not a limitation of
-the plan); different keys run in parallel.
+smaller one may still fit. That is not a running sum; ``budget`` computes it
+exactly with parallel prefix sums up to the first refusal and a sequential
+fold (sorted Arrow batches, O(1) state) over only the requests that can
+still fit after it — so a key holding most of the rows is split across
+tasks instead of being walked by one.
 """
 
 from __future__ import annotations
@@ -73,60 +71,139 @@ def cost(df: DataFrame, catalog: DataFrame, tokens: str = "tokens", model: str =
     return df.join(cat, model, "left").withColumn("cost_usd", F.col(tokens) * F.col("cost_per_token"))
 
 
-_FOLD_OUT = [T.StructField("tok_ok", T.BooleanType()), T.StructField("admitted", T.BooleanType()),
-             T.StructField("tokens_used", T.DoubleType()), T.StructField("usd_used", T.DoubleType())]
+USD_SCALE = 10 ** 18          # USD is accounted in exact integer units of 1e-18 USD
 
 
-def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "tokens",
-           token_limit: float | None = None, usd_limit: float | None = None,
-           price: float | None = None, partitions: int | None = None) -> DataFrame:
-    """A3/A4: admit requests in ``order`` within each ``key`` under the limits.
+def usd_units(x) -> int:
+    """Exact integer units for a price or a USD amount given as a float."""
+    from decimal import Decimal
 
-    Token limit first; a request refused by tokens consumes nothing. Then the
-    USD limit on ``tokens * price``; a request refused by USD keeps its
-    tokens spent (as in the reference). Adds ``tok_ok``, ``admitted``,
-    ``tokens_used`` and ``usd_used`` (counters after the request).
-    """
-    if usd_limit is not None and price is None:
-        raise ValueError("USD limiting needs a price per token")
-    if token_limit is None and usd_limit is None:
-        raise ValueError("no limit given")
-    bk = F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key])
-    src = df.withColumn("_bk", bk)
-    n = partitions or int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    src = src.repartition(n, "_bk").sortWithinPartitions("_bk", *order)
+    return int(Decimal(repr(float(x))) * USD_SCALE)
+
+
+def _dlit(v: int) -> Column:
+    """Exact decimal(38,0) literal (beyond the 64-bit range of ``lit``)."""
+    return F.lit(str(int(v))).cast("decimal(38,0)")
+
+
+_FOLD_OUT = [T.StructField("tok_ok", T.BooleanType()), T.StructField("admitted", T.BooleanType())]
+
+
+def _fold(src: DataFrame, tl: int | None, ul: int | None, price_u: int) -> DataFrame:
+    """Sequential fold over rows sorted by (key, order) within partitions,
+    starting each key from the counters in ``_t0`` / ``_c0``."""
     schema = T.StructType([f for f in src.schema.fields] + _FOLD_OUT)
-    tl = None if token_limit is None else float(token_limit)
-    ul = None if usd_limit is None else float(usd_limit)
-    pr = 0.0 if price is None else float(price)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, tok_used, usd_used = None, 0.0, 0.0
+        cur, tok_used, usd_used = None, 0, 0
         for pdf in batches:
             keys = pdf["_bk"].tolist()
-            toks = pdf[tokens].to_numpy(dtype="float64", na_value=0.0)
+            toks = [int(x) for x in pdf["_t"].tolist()]
+            t0s, c0s = pdf["_t0"].tolist(), pdf["_c0"].tolist()
             m = len(keys)
             ok_t = np.zeros(m, dtype=bool)
             ok = np.zeros(m, dtype=bool)
-            tu = np.zeros(m)
-            uu = np.zeros(m)
             for i in range(m):
                 if keys[i] != cur:
-                    cur, tok_used, usd_used = keys[i], 0.0, 0.0
+                    cur, tok_used, usd_used = keys[i], int(t0s[i]), int(c0s[i])
                 t = toks[i]
                 if tl is None or tok_used + t <= tl:
                     ok_t[i] = True
-                    if tl is not None:
-                        tok_used += t
-                    c = t * pr
+                    tok_used += t
+                    c = t * price_u
                     if ul is None or usd_used + c <= ul:
                         ok[i] = True
-                        if ul is not None:
-                            usd_used += c
-                tu[i], uu[i] = tok_used, usd_used
-            yield pdf.assign(tok_ok=ok_t, admitted=ok, tokens_used=tu, usd_used=uu)
+                        usd_used += c
+            yield pdf.assign(tok_ok=ok_t, admitted=ok)
+
+    return src.mapInPandas(fold, schema)
+
+
+def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "tokens",
+           token_limit: float | None = None, usd_limit: float | None = None,
+           price: float | None = None, splits: int = 16, partitions: int | None = None) -> DataFrame:
+    """A3/A4: admit requests in ``order`` within each ``key`` under the limits.
+
+    Token limit first; a request refused by tokens consumes nothing. Then the
+    USD limit on ``tokens * price``; a request refused by USD keeps its
+    tokens spent (as in the reference). Adds ``tok_ok`` and ``admitted``.
+
+    Exact and parallel, also for a key holding most of the rows:
+
+    1. per-key prefix sums in parallel: each key is cut into ``splits``
+       order ranges (``percentile_approx`` bounds, a partial aggregate), the
+       running sum is taken per range and range offsets are added from a
+       tiny per-key table;
+    2. tokens are non-negative, so every row whose prefix sums are within
+       the limits comes before the first refusal and is admitted;
+    3. after the first refusal only rows that still fit the remaining
+       budget (``tokens <= remaining``) can change the counters; just those
+       go through the sequential fold (sorted Arrow batches, O(1) state),
+       starting from the counters at the first refusal. The rest are
+       refused outright.
+
+    USD is accounted in integer units of 1e-18 USD, so sums are exact and
+    independent of the summation order.
+    """
+    from pyspark.sql import Window
 
-    return src.mapInPandas(fold, schema).drop("_bk")
+    if usd_limit is not None and price is None:
+        raise ValueError("USD limiting needs a price per token")
+    if token_limit is None and usd_limit is None:
+        raise ValueError("no limit given")
+    tl = None if token_limit is None else int(token_limit)
+    ul = None if usd_limit is None else usd_units(usd_limit)
+    price_u = 0 if price is None else usd_units(price)
+    dec = "decimal(38,0)"
+    src = df.withColumn("_bk", F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key])) \
+            .withColumn("_t", F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
+    src = src.withColumn("_c", (F.col("_t").cast(dec) * _dlit(price_u)).cast(dec))
+
+    # 1. bucketed prefix sums
+    o0 = F.col(order[0])
+    if splits > 1:
+        probs = [i / splits for i in range(1, splits)]
+        bounds = src.groupBy("_bk").agg(F.percentile_approx(o0, probs, 10000).alias("_bounds"))
+        rows = src.join(bounds, "_bk").withColumn(
+            "_bucket", F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < o0)), F.lit(0))).drop("_bounds")
+    else:
+        rows = src.withColumn("_bucket", F.lit(0))
+    w_local = Window.partitionBy("_bk", "_bucket").orderBy(*order) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_lt", F.sum("_t").over(w_local)).withColumn("_lc", F.sum("_c").over(w_local))
+    tot = rows.groupBy("_bk", "_bucket").agg(F.sum("_t").alias("_bt"), F.sum("_c").alias("_bc"))
+    w_off = Window.partitionBy("_bk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("_bk", "_bucket", F.coalesce(F.sum("_bt").over(w_off), F.lit(0)).alias("_ot"),
+                     F.coalesce(F.sum("_bc").over(w_off), _dlit(0)).alias("_oc"))
+    rows = rows.join(off, ["_bk", "_bucket"]).withColumn("_pt", F.col("_lt") + F.col("_ot")) \
+        .withColumn("_pc", (F.col("_lc") + F.col("_oc")).cast(dec))
+
+    # 2. rows before the first refusal
+    within = F.lit(True)
+    if tl is not None:
+        within = within & (F.col("_pt") <= F.lit(tl))
+    if ul is not None:
+        within = within & (F.col("_pc") <= _dlit(ul))
+    rows = rows.withColumn("_before", within)
+    drop = ["_bk", "_t", "_c", "_bucket", "_lt", "_lc", "_ot", "_oc", "_pt", "_pc", "_before"]
+    before = rows.filter("_before").withColumn("tok_ok", F.lit(True)).withColumn("admitted", F.lit(True))
+    start = rows.groupBy("_bk").agg(
+        F.coalesce(F.max(F.when(F.col("_before"), F.col("_pt"))), F.lit(0)).cast("bigint").alias("_t0"),
+        F.coalesce(F.max(F.when(F.col("_before"), F.col("_pc"))), _dlit(0)).cast(dec).alias("_c0"))
+    after = rows.filter(~F.col("_before")).join(start, "_bk")
+
+    # 3. only rows that still fit can change the counters
+    if tl is not None:
+        fits = F.col("_t") <= F.lit(tl) - F.col("_t0")
+    else:
+        fits = F.col("_c") <= _dlit(ul) - F.col("_c0")
+    rest = after.filter(~fits).withColumn("tok_ok", F.lit(tl is None)).withColumn("admitted", F.lit(False))
+    cand = after.filter(fits)
+    n = partitions or int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cand = cand.repartition(n, "_bk").sortWithinPartitions("_bk", *order)
+    folded = _fold(cand, tl, ul, price_u)
+    cols = [c for c in df.columns] + ["tok_ok", "admitted"]
+    return before.select(*cols).unionByName(rest.select(*cols)).unionByName(folded.select(*cols))
 
 
 def usage_report(budgeted: DataFrame, key: list[str], tokens: str = "tokens", token_limit: float | None = None,
@@ -134,7 +211,10 @@ def usage_report(budgeted: DataFrame, key: list[str], tokens: str = "tokens", to
     """A5: used / remaining per budget key. Without a limiter the remaining
     amount is null (the reference raises)."""
     spent_tok = F.sum(F.when(F.col("tok_ok"), F.col(tokens)).otherwise(F.lit(0))).cast("double")
-    spent_usd = F.sum(F.when(F.col("admitted"), F.col(tokens) * F.lit(price or 0.0)).otherwise(F.lit(0.0)))
+    units = F.col(tokens).cast("decimal(38,0)") * _dlit(usd_units(price or 0.0))
+    # exact integer sum, then one division (decimal / decimal would round
+    # to the result type's scale)
+    spent_usd = F.sum(F.when(F.col("admitted"), units).otherwise(F.lit(0))).cast("double") / F.lit(float(USD_SCALE))
     rep = budgeted.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_requests"), F.sum(F.col("admitted").cast("long")).alias("n_admitted"),
         spent_tok.alias("used_tokens"), spent_usd.alias("used_usd"))

@@ -59,26 +59,27 @@ def q_cost(spark, sf_dir):
 
 TOKEN_LIMIT, USD_LIMIT, PRICE = 3000.0, 4e-5, 0.02e-6
 
+_PRICE_U, _USD_U = B.usd_units(PRICE), B.usd_units(USD_LIMIT)   # exact 1e-18 USD units
 _D_FOLD = f"""
 WITH RECURSIVE o AS (
-  SELECT lang, source, doc_id, chunk_idx, CAST(tokens AS DOUBLE) AS t,
+  SELECT lang, source, doc_id, chunk_idx, CAST(tokens AS HUGEINT) AS t,
          row_number() OVER (PARTITION BY lang, source ORDER BY doc_id, chunk_idx) AS rn
   FROM ({_D_CHUNK_TOK})),
 f AS (
   SELECT lang, source, rn, doc_id, chunk_idx,
-         t <= {TOKEN_LIMIT} AS tok_ok,
-         CASE WHEN t <= {TOKEN_LIMIT} THEN t ELSE 0.0 END AS tu,
-         t <= {TOKEN_LIMIT} AND t * {PRICE} <= {USD_LIMIT} AS admitted,
-         CASE WHEN t <= {TOKEN_LIMIT} AND t * {PRICE} <= {USD_LIMIT} THEN t * {PRICE} ELSE 0.0 END AS uu,
+         t <= {int(TOKEN_LIMIT)} AS tok_ok,
+         CASE WHEN t <= {int(TOKEN_LIMIT)} THEN t ELSE 0 END AS tu,
+         t <= {int(TOKEN_LIMIT)} AND t * {_PRICE_U} <= {_USD_U} AS admitted,
+         CASE WHEN t <= {int(TOKEN_LIMIT)} AND t * {_PRICE_U} <= {_USD_U} THEN t * {_PRICE_U} ELSE 0 END AS uu,
          t
   FROM o WHERE rn = 1
   UNION ALL
   SELECT o.lang, o.source, o.rn, o.doc_id, o.chunk_idx,
-         f.tu + o.t <= {TOKEN_LIMIT},
-         CASE WHEN f.tu + o.t <= {TOKEN_LIMIT} THEN f.tu + o.t ELSE f.tu END,
-         f.tu + o.t <= {TOKEN_LIMIT} AND f.uu + o.t * {PRICE} <= {USD_LIMIT},
-         CASE WHEN f.tu + o.t <= {TOKEN_LIMIT} AND f.uu + o.t * {PRICE} <= {USD_LIMIT}
-              THEN f.uu + o.t * {PRICE} ELSE f.uu END,
+         f.tu + o.t <= {int(TOKEN_LIMIT)},
+         CASE WHEN f.tu + o.t <= {int(TOKEN_LIMIT)} THEN f.tu + o.t ELSE f.tu END,
+         f.tu + o.t <= {int(TOKEN_LIMIT)} AND f.uu + o.t * {_PRICE_U} <= {_USD_U},
+         CASE WHEN f.tu + o.t <= {int(TOKEN_LIMIT)} AND f.uu + o.t * {_PRICE_U} <= {_USD_U}
+              THEN f.uu + o.t * {_PRICE_U} ELSE f.uu END,
          o.t
   FROM f JOIN o ON o.lang = f.lang AND o.source = f.source AND o.rn = f.rn + 1)"""
 
@@ -95,9 +96,9 @@ def q_budget(spark, sf_dir):
 
 @register("A5_usage_report", _D_FOLD + f"""
 SELECT lang, source, COUNT(*) AS n_requests, SUM(CAST(admitted AS BIGINT)) AS n_admitted,
-       SUM(CASE WHEN tok_ok THEN t ELSE 0 END) AS used_tokens,
-       {TOKEN_LIMIT} - SUM(CASE WHEN tok_ok THEN t ELSE 0 END) AS remaining_tokens,
-       round(SUM(CASE WHEN admitted THEN t * {PRICE} ELSE 0 END) * 1e6, 6) AS used_usd_micro
+       CAST(SUM(CASE WHEN tok_ok THEN t ELSE 0 END) AS DOUBLE) AS used_tokens,
+       {TOKEN_LIMIT} - CAST(SUM(CASE WHEN tok_ok THEN t ELSE 0 END) AS DOUBLE) AS remaining_tokens,
+       round(CAST(SUM(CASE WHEN admitted THEN t * {_PRICE_U} ELSE 0 END) AS DOUBLE) / 1e12, 6) AS used_usd_micro
 FROM f GROUP BY lang, source""")
 def q_usage(spark, sf_dir):
     rep = B.usage_report(_budgeted(spark, sf_dir), ["lang", "source"], "tokens", TOKEN_LIMIT, USD_LIMIT, PRICE)

@@ -121,7 +121,8 @@ def _fold(src: DataFrame, tl: int | None, ul: int | None, price_u: int) -> DataF
 
 def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "tokens",
            token_limit: float | None = None, usd_limit: float | None = None,
-           price: float | None = None, splits: int = 16, partitions: int | None = None) -> DataFrame:
+           price: float | None = None, splits: int = 16, partitions: int | None = None,
+           mode: str = "auto") -> DataFrame:
     """A3/A4: admit requests in ``order`` within each ``key`` under the limits.
 
     Token limit first; a request refused by tokens consumes nothing. Then the
@@ -144,6 +145,12 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
 
     USD is accounted in integer units of 1e-18 USD, so sums are exact and
     independent of the summation order.
+
+    ``mode='auto'`` first measures the largest key (one partial aggregate,
+    a single row to the driver): when no key exceeds half of a task's fair
+    share, the plain sorted fold already spreads the keys over the tasks and
+    is used directly; otherwise the parallel path above. ``'fold'`` and
+    ``'parallel'`` force a path.
     """
     from pyspark.sql import Window
 
@@ -158,16 +165,29 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
     src = df.withColumn("_bk", F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key])) \
             .withColumn("_t", F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
     src = src.withColumn("_c", (F.col("_t").cast(dec) * _dlit(price_u)).cast(dec))
+    n = partitions or int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [c for c in df.columns] + ["tok_ok", "admitted"]
+    if mode not in ("auto", "fold", "parallel"):
+        raise ValueError("mode must be 'auto', 'fold' or 'parallel'")
+    if mode == "auto":
+        biggest, total = src.groupBy("_bk").count().agg(F.max("count"), F.sum("count")).first()
+        mode = "parallel" if (biggest or 0) > max(1, (total or 0) / (2 * n)) else "fold"
+    if mode == "fold" or splits <= 1:
+        plain = src.withColumn("_t0", F.lit(0).cast("bigint")).withColumn("_c0", _dlit(0))
+        return _fold(plain.repartition(n, "_bk").sortWithinPartitions("_bk", *order), tl, ul, price_u) \
+            .select(*cols)
+    from pyspark import StorageLevel
+
+    # shared by several branches below, which prune different columns and so
+    # cannot reuse each other's exchanges: materialise once
+    src = src.persist(StorageLevel.MEMORY_AND_DISK)
 
     # 1. bucketed prefix sums
     o0 = F.col(order[0])
-    if splits > 1:
-        probs = [i / splits for i in range(1, splits)]
-        bounds = src.groupBy("_bk").agg(F.percentile_approx(o0, probs, 10000).alias("_bounds"))
-        rows = src.join(bounds, "_bk").withColumn(
-            "_bucket", F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < o0)), F.lit(0))).drop("_bounds")
-    else:
-        rows = src.withColumn("_bucket", F.lit(0))
+    probs = [i / splits for i in range(1, splits)]
+    bounds = src.groupBy("_bk").agg(F.percentile_approx(o0, probs, 10000).alias("_bounds"))
+    rows = src.join(bounds, "_bk").withColumn(
+        "_bucket", F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < o0)), F.lit(0))).drop("_bounds")
     w_local = Window.partitionBy("_bk", "_bucket").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_lt", F.sum("_t").over(w_local)).withColumn("_lc", F.sum("_c").over(w_local))
@@ -184,7 +204,7 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
         within = within & (F.col("_pt") <= F.lit(tl))
     if ul is not None:
         within = within & (F.col("_pc") <= _dlit(ul))
-    rows = rows.withColumn("_before", within)
+    rows = rows.withColumn("_before", within).persist(StorageLevel.MEMORY_AND_DISK)
     drop = ["_bk", "_t", "_c", "_bucket", "_lt", "_lc", "_ot", "_oc", "_pt", "_pc", "_before"]
     before = rows.filter("_before").withColumn("tok_ok", F.lit(True)).withColumn("admitted", F.lit(True))
     start = rows.groupBy("_bk").agg(
@@ -199,10 +219,8 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
         fits = F.col("_c") <= _dlit(ul) - F.col("_c0")
     rest = after.filter(~fits).withColumn("tok_ok", F.lit(tl is None)).withColumn("admitted", F.lit(False))
     cand = after.filter(fits)
-    n = partitions or int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cand = cand.repartition(n, "_bk").sortWithinPartitions("_bk", *order)
     folded = _fold(cand, tl, ul, price_u)
-    cols = [c for c in df.columns] + ["tok_ok", "admitted"]
     return before.select(*cols).unionByName(rest.select(*cols)).unionByName(folded.select(*cols))
 
 

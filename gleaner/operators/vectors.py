@@ -50,8 +50,14 @@ def feature_hash_embedder(dim: int = 64) -> Callable[[list[str]], np.ndarray]:
 
 
 def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object] | None = None, text: str = "chunk_txt",
-                 request: str | None = None, batch: int = 64, dim: int | None = None) -> DataFrame:
-    """Add ``ok boolean`` and ``vec array<float>``; all-or-nothing per request."""
+                 request: str | None = None, batch: int = 64, dim: int | None = None,
+                 admitted: str | None = None) -> DataFrame:
+    """Add ``ok boolean`` and ``vec array<float>``; all-or-nothing per request.
+
+    With ``admitted`` (a boolean column, e.g. from ``budget``), a request
+    with any refused row is not sent at all and fails as a whole, as a
+    limiter refusal does in the reference.
+    """
     if fn is None:
         fn = feature_hash_embedder(dim or 64)
     schema = T.StructType(df.schema.fields + [T.StructField("ok", T.BooleanType()),
@@ -59,6 +65,8 @@ def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object] | None = None,
 
     def call(pdf: pd.DataFrame) -> pd.DataFrame:
         texts = pdf[text].fillna("").tolist()
+        if admitted is not None and not bool(pdf[admitted].fillna(False).all()):
+            return pdf.assign(ok=False, vec=[None] * len(texts))
         try:
             mat = np.asarray(fn(texts), dtype=np.float32)
             if mat.ndim != 2 or mat.shape[0] != len(texts) or (dim is not None and mat.shape[1] != dim):

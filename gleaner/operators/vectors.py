@@ -99,20 +99,21 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
     Output ``query_id, rank, id, score`` (score rounded to 6 places; ranks by
     rounded score then id).
     """
-    n_q = queries.count()
-    blocks = []
-    if n_q == 0:
-        raise ValueError("no queries")
-    # Query sets are small by nature (search requests); larger ones are cut
-    # into blocks of MAX_BROADCAST_QUERIES, each a separate scan of the base.
     qsorted = queries.select(F.col(qid_col).alias("_qid"), F.col(qvec_col).alias("_qv"))
-    if n_q > MAX_BROADCAST_QUERIES:
-        # hash-assigned blocks with headroom (no global ordering window)
-        n_blocks = 2 * ((n_q + MAX_BROADCAST_QUERIES - 1) // MAX_BROADCAST_QUERIES)
-        qsorted = qsorted.withColumn("_blk", F.pmod(F.xxhash64("_qid"), F.lit(n_blocks)))
-        parts = [qsorted.filter(F.col("_blk") == b).drop("_blk") for b in range(n_blocks)]
+    # Query sets are small by nature (search requests): one bounded collect
+    # decides. A larger set is cut into hash blocks of about
+    # MAX_BROADCAST_QUERIES / 2 vectors, each a separate scan of the base.
+    first = qsorted.limit(MAX_BROADCAST_QUERIES + 1).collect()
+    if not first:
+        raise ValueError("no queries")
+    if len(first) <= MAX_BROADCAST_QUERIES:
+        parts = [first]
     else:
-        parts = [qsorted]
+        n_q = queries.count()
+        n_blocks = 2 * ((n_q + MAX_BROADCAST_QUERIES - 1) // MAX_BROADCAST_QUERIES)
+        blk = qsorted.withColumn("_blk", F.pmod(F.xxhash64("_qid"), F.lit(n_blocks)))
+        parts = [blk.filter(F.col("_blk") == b).drop("_blk") for b in range(n_blocks)]
+    blocks = []
     sc = base.sparkSession.sparkContext
     id_type = base.schema[id_col].dataType
     q_type = queries.schema[qid_col].dataType
@@ -120,7 +121,7 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
                            T.StructField("score", T.DoubleType())])
     src = spread(base.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v")))
     for part in parts:
-        rows = part.collect()   # one block: about MAX_BROADCAST_QUERIES / 2 vectors
+        rows = part if isinstance(part, list) else part.collect()   # one bounded block
         if not rows:
             continue
         qids = [r["_qid"] for r in rows]

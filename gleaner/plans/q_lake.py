@@ -142,14 +142,17 @@ def q_by_ids(spark, sf_dir):
 
 # -- S6 applications table (write + read back) --------------------------------
 
-_APPS_SQL = """
-SELECT o_orderkey AS id, o_orderdate AS posted_at,
-  CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'full-time'
-       WHEN o_orderpriority = '3-MEDIUM' THEN 'part-time' ELSE 'internship' END AS work_type,
-  'analyst ' || o_orderstatus AS position, 'city ' || CAST(o_custkey % 50 AS STRING) AS location,
-  'company ' || CAST(o_custkey AS STRING) AS company,
-  CAST(floor(o_totalprice) AS DECIMAL(18,2)) AS pay_lo, CAST(floor(o_totalprice) + 10000 AS DECIMAL(18,2)) AS pay_hi
-FROM orders"""
+_APPS_COLS = [
+    ("o_orderkey", "id"), ("o_orderdate", "posted_at"),
+    ("CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'full-time' "
+     "WHEN o_orderpriority = '3-MEDIUM' THEN 'part-time' ELSE 'internship' END", "work_type"),
+    ("'analyst ' || o_orderstatus", "position"),
+    ("'city ' || CAST(o_custkey % 50 AS STRING)", "location"),
+    ("'company ' || CAST(o_custkey AS STRING)", "company"),
+    ("CAST(floor(o_totalprice) AS DECIMAL(18,2))", "pay_lo"),
+    ("CAST(floor(o_totalprice) + 10000 AS DECIMAL(18,2))", "pay_hi"),
+]
+_APPS_SQL = "SELECT " + ", ".join(f"{e} AS {a}" for e, a in _APPS_COLS) + " FROM orders"
 
 
 @register("S6_applications_table",
@@ -158,9 +161,7 @@ FROM orders"""
 def q_applications(spark, sf_dir):
     from gleaner.session import scratch_path
 
-    o = table(spark, sf_dir, "orders")
-    o.createOrReplaceTempView("_gleaner_orders")
-    rows = spark.sql(_APPS_SQL.replace("FROM orders", "FROM _gleaner_orders"))
+    rows = table(spark, sf_dir, "orders").selectExpr(*[f"{e} AS {a}" for e, a in _APPS_COLS])
     apps = rows.select("id", "posted_at", "work_type", "position", "location", "company",
                        W.pay_range("pay_lo", "pay_hi").alias("pay"))
     path = scratch_path(spark, "applications")

@@ -147,12 +147,29 @@ class Lake:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("_writer", "_batch").parquet(self.log_path))
 
-    def keys(self, writer: str | None = None, before_batch: int | None = None) -> DataFrame | None:
-        """Keys already written (optionally by one writer, before a batch).
-
-        Reads only the ``key`` column and prunes ``_writer``/``_batch``
-        partitions, so the per-batch new-only check stays a narrow scan.
-        """
+    def _fs(self, path: str):
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _index_root(self, writer: str) -> str:
+        return f"{self.root}/key_index/_writer={writer}"
+
+    def _index_marks(self, writer: str) -> list[int]:
+        """Batch marks of the written key indexes (``upto=<b>`` folders that
+        hold a ``_SUCCESS`` marker)."""
+        fs, p = self._fs(self._index_root(writer))
+        if not fs.exists(p):
+            return []
+        marks = []
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("upto=") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(
+                    st.getPath(), "_SUCCESS")):
+                marks.append(int(name[len("upto="):]))
+        return sorted(marks)
+
+    def _log_keys(self, writer: str | None, lo: int | None, hi: int | None) -> DataFrame | None:
         try:
             df = self.spark.read.schema("key string, _writer string, _batch bigint").parquet(self.log_path)
         except Exception as exc:
@@ -161,9 +178,38 @@ class Lake:
             raise
         if writer is not None:
             df = df.filter(F.col("_writer") == F.lit(writer))
-        if before_batch is not None:
-            df = df.filter(F.col("_batch") < F.lit(before_batch))
-        return df.select("key", "_batch", "_writer")
+        if lo is not None:
+            df = df.filter(F.col("_batch") >= F.lit(lo))
+        if hi is not None:
+            df = df.filter(F.col("_batch") < F.lit(hi))
+        return df.select("key", "_batch")
+
+    def keys(self, writer: str | None = None, before_batch: int | None = None) -> DataFrame | None:
+        """Keys already written (optionally by one writer, before a batch).
+
+        Reads only the ``key`` column and prunes ``_writer``/``_batch``
+        partitions. With a key index (``compact_keys``) it reads the index
+        (one row per key) plus only the log batches written after it, so
+        the per-batch new-only check grows with distinct keys, not history.
+        """
+        marks = [m for m in self._index_marks(writer) if before_batch is None or m <= before_batch] \
+            if writer is not None else []
+        lo = marks[-1] if marks else None
+        recent = self._log_keys(writer, lo, before_batch)
+        if lo is None:
+            return recent
+        idx = self.spark.read.schema("key string, _batch bigint").parquet(f"{self._index_root(writer)}/upto={lo}")
+        return idx if recent is None else idx.unionByName(recent)
+
+    def compact_keys(self, writer: str, upto: int) -> None:
+        """Write the key index of ``writer`` for batches < ``upto``: one row
+        per key with its first batch (deterministic, so a retried batch
+        rewrites identical content)."""
+        src = self.keys(writer, upto)
+        if src is None:
+            return
+        idx = src.groupBy("key").agg(F.min("_batch").alias("_batch"))
+        idx.write.mode("overwrite").parquet(f"{self._index_root(writer)}/upto={upto}")
 
     def log(self) -> DataFrame | None:
         try:

@@ -79,8 +79,9 @@ class NewOnlyWriter:
 
     def __init__(self, lake: L.Lake, on_new: Callable[[DataFrame, int], None],
                  to_changes: Callable[[DataFrame, int], DataFrame] | None = None,
-                 writer: str = "postings", base_batch: int = 0):
+                 writer: str = "postings", base_batch: int = 0, compact_every: int = 20):
         self.lake, self.on_new, self.writer, self.base = lake, on_new, writer, base_batch
+        self.compact_every = compact_every
         self.to_changes = to_changes or (lambda df, b: L.upsert_postings(
             df.withColumn("_seq", seq_now()).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz")),
             b))
@@ -96,6 +97,10 @@ class NewOnlyWriter:
             self.lake.append(changes, self.writer)
         finally:
             changes.unpersist()
+        if self.compact_every and b > 0 and (b + 1) % self.compact_every == 0:
+            # fold the key history into a one-row-per-key index so later
+            # batches anti-join against distinct keys only
+            self.lake.compact_keys(self.writer, b + 1)
 
 
 # ---------------------------------------------------------------------------

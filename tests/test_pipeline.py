@@ -93,6 +93,21 @@ def test_new_only_writer_replay_is_idempotent(spark, tmp_path):
     assert lake.log().filter(F.col("_batch") == 1).count() == 2   # replay replaced, not appended
 
 
+def test_key_index_keeps_new_only_exact(spark, tmp_path):
+    """With a key index every 2 batches the emitted keys are unchanged."""
+    emitted = {}
+    lake = L.Lake(spark, str(tmp_path / "lake"))
+    writer = PL.NewOnlyWriter(lake, lambda df, b: emitted.__setitem__(b, sorted(r.key for r in df.collect())),
+                              compact_every=2)
+    batches = [[1, 2], [2, 3], [1, 4], [5, 3], [4, 6], [7]]
+    for b, ids in enumerate(batches):
+        writer(spark.createDataFrame([(i, "r", f"u{i}") for i in ids], "job_id long, role string, url string"), b)
+    assert emitted == {0: ["u1", "u2"], 1: ["u3"], 2: ["u4"], 3: ["u5"], 4: ["u6"], 5: ["u7"]}
+    assert lake._index_marks("postings") == [2, 4, 6]
+    writer(spark.createDataFrame([(5, "r", "u5"), (3, "r", "u3")], "job_id long, role string, url string"), 3)
+    assert emitted[3] == ["u5"]        # a replayed batch reads only the index below it and re-emits the same
+
+
 def test_drain_and_micro_batch_on_file_topic(spark, tmp_path):
     root = str(tmp_path / "t")
     ev = spark.read.parquet(f"{SF}/events.parquet")

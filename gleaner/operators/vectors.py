@@ -51,9 +51,15 @@ def feature_hash_embedder(dim: int = 64) -> Callable[[list[str]], np.ndarray]:
 
 def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object] | None = None, text: str = "chunk_txt",
                  request: str | None = None, batch: int = 64, dim: int | None = None,
-                 admitted: str | None = None) -> DataFrame:
+                 admitted: str | None = None, max_request_rows: int = 2048) -> DataFrame:
     """Add ``ok boolean`` and ``vec array<float>``; all-or-nothing per request.
 
+    Requests are consecutive groups of ``batch`` rows, or the rows sharing
+    the ``request`` column. Request rows are streamed in sorted Arrow batches
+    with one request buffered at a time; a request larger than
+    ``max_request_rows`` (an embedding API caps inputs per call) is sent as
+    sub-requests of that size, so no group is ever held whole in memory.
+
     With ``admitted`` (a boolean column, e.g. from ``budget``), a request
     with any refused row is not sent at all and fails as a whole, as a
     limiter refusal does in the reference.
@@ -76,7 +82,34 @@ def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object] | None = None,
             return pdf.assign(ok=False, vec=[None] * len(texts))
 
     if request is not None:
-        return df.groupBy(request).applyInPandas(call, schema)
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        src = df.repartition(n, request).sortWithinPartitions(request)
+
+        def per_request(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            buf, size, cur = [], 0, None
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                keys = pdf[request].to_numpy()
+                cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(pdf)]
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    seg = pdf.iloc[a:b]
+                    if buf and keys[a] != cur:
+                        yield call(pd.concat(buf, ignore_index=True))
+                        buf, size = [], 0
+                    cur = keys[a]
+                    while len(seg):
+                        room = max_request_rows - size
+                        buf.append(seg.iloc[:room])
+                        size += min(room, len(seg))
+                        seg = seg.iloc[room:]
+                        if size >= max_request_rows:
+                            yield call(pd.concat(buf, ignore_index=True))
+                            buf, size = [], 0
+            if buf:
+                yield call(pd.concat(buf, ignore_index=True))
+
+        return src.mapInPandas(per_request, schema)
     df = spread(df)
 
     def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

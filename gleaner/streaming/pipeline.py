@@ -165,10 +165,12 @@ def stage_cards(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     writer = NewOnlyWriter(lake, on_new)
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()                 # read + inflate once for both outputs
         ok, bad = cards(df, cfg.detail_template)
         writer(ok, batch_id)
         if cfg.dead_letters:
             P.route_dead_letters(bad, stage_names=("cards",)).write.mode("append").parquet(cfg.dead_letters)
+        df.unpersist()
 
     return micro_batch(good, batch, cfg.ckpt("s2"), trigger=cfg.trigger, query_name="s2_cards")
 
@@ -202,14 +204,15 @@ def stage_detail_transform(spark: SparkSession, cfg: PipelineConfig, lake: L.Lak
 
     def batch(df: DataFrame, batch_id: int) -> None:
         fields = H.detail_fields(df, "html", keep=("url", "created_at"))
-        clean = P.clean_postings(fields, "created_at")
+        # one Python pass per batch: both validation outputs read the cache
+        clean = P.clean_postings(fields, "created_at").withColumn("_seq", seq_now()).persist()
         ok, bad = P.validate_enriched(clean)
-        ok = ok.persist()
-        lake.append(L.upsert_enriched(ok.withColumn("_seq", seq_now()), batch_id, ENRICHED), "enriched")
+        lake.append(L.upsert_enriched(ok, batch_id, ENRICHED), "enriched")
         emit(M.encode_load_record(ok), T["load"], cfg.topics_root, batch_id)
         if cfg.dead_letters:
-            P.route_dead_letters(bad, stage_names=("clean",)).write.mode("append").parquet(cfg.dead_letters)
-        ok.unpersist()
+            P.route_dead_letters(bad.drop("_seq"), stage_names=("clean",)).write.mode("append") \
+                .parquet(cfg.dead_letters)
+        clean.unpersist()
 
     return micro_batch(good, batch, cfg.ckpt("s4"), trigger=cfg.trigger, query_name="s4_detail_transform")
 

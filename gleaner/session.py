@@ -91,5 +91,10 @@ def spread(df, min_partitions: int | None = None):
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.isStreaming:
         return df
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    if "Exchange" in plan:
+        # already spread over shuffle partitions; asking an adaptive plan for
+        # its partition count could run its shuffle stages an extra time
+        return df
     n = df.rdd.getNumPartitions()
     return df if n >= target else df.repartition(target)

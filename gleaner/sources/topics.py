@@ -123,7 +123,9 @@ def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
     ``kafka://`` sink uses the Kafka writer; anything else appends envelope
     Parquet files under ``sink/topic=<name>``. Streaming frames return the
     started query (its checkpoint makes delivery restartable) and need a
-    fixed ``topic``; batch frames return ``None``.
+    fixed ``topic``; batch frames return the number of messages written,
+    counted by ``observe`` on the write itself (a failed delivery fails the
+    task, which Spark retries).
     """
     cols = df.columns
     t = F.lit(topic) if topic is not None else F.col("topic")
@@ -152,12 +154,16 @@ def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
         if kafka:
             return w.format("kafka").option("kafka.bootstrap.servers", sink[len("kafka://"):]).start()
         return w.format("parquet").start(topic_path(sink, topic))
+    from pyspark.sql import Observation
+
+    obs = Observation("publish")
+    out = out.observe(obs, F.count(F.lit(1)).alias("n"))
     if kafka:
         out.select("topic", "key", "value").write.format("kafka") \
             .option("kafka.bootstrap.servers", sink[len("kafka://"):]).save()
     else:
         out.write.mode("append").partitionBy("topic").parquet(sink)
-    return None
+    return int(obs.get["n"] or 0)
 
 
 def replay(landed: DataFrame, topic: str, from_offset: int | None = None, to_offset: int | None = None,

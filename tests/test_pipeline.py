@@ -111,8 +111,9 @@ def test_key_index_keeps_new_only_exact(spark, tmp_path):
 def test_drain_and_micro_batch_on_file_topic(spark, tmp_path):
     root = str(tmp_path / "t")
     ev = spark.read.parquet(f"{SF}/events.parquet")
-    S.publish(S.to_envelope(ev, F.lit("ev"), F.col("user_id").cast("string"), F.col("props"),
-                            offset=F.col("event_id"), timestamp=F.col("ts")), None, root)
+    n = S.publish(S.to_envelope(ev, F.lit("ev"), F.col("user_id").cast("string"), F.col("props"),
+                                offset=F.col("event_id"), timestamp=F.col("ts")), None, root)
+    assert n == ev.count()
     seen = []
     stream = S.read_topics(spark, root, ["ev"], options={"maxFilesPerTrigger": "1"})
     PL.drain(stream, lambda df, b: seen.append(df.count()), str(tmp_path / "ck"))

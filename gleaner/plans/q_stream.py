@@ -79,7 +79,7 @@ def q_new_only_stream(spark, sf_dir):
         part = ev.filter(F.col("day") == F.lit(d)).drop("day").coalesce(1)
         S.publish(part.select(F.to_json(F.struct(*part.columns), _JSON_TS).alias("value")), "events",
                   f"{root}/topics")
-    ev.unpersist()
+    ev = ev.unpersist()
     stream = S.read_topics(spark, f"{root}/topics", ["events"], options={"maxFilesPerTrigger": "1"})
     schema = "url string, role string, job_id bigint, created_at timestamp_ntz, _seq bigint"
     rows = stream.select(F.from_json(F.decode("value", "UTF-8"), schema, _JSON_TS).alias("r")).select("r.*")
@@ -90,5 +90,10 @@ def q_new_only_stream(spark, sf_dir):
         .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(sink),
         to_changes=lambda df, b: L.upsert_postings(df, b))
     PL.drain(rows, writer, f"{root}/ckpt")
+    # one day delivered again under its batch id: replaces its own output
+    mid = len(days) // 2
+    again = ev.filter(F.col("day") == F.lit(days[mid])).drop("day") if days else None
+    if again is not None:
+        writer(again, mid)
     out = spark.read.parquet(sink)
     return out.select("key", F.col("_seq").alias("first_seq"), "created_at", "job_id")

@@ -11,7 +11,9 @@
   (a retried batch overwrites only itself) and the new keys are those not
   written by an *earlier* batch, so a replayed batch re-emits the same rows.
 * T3 ``run_pipeline``: four streaming queries, one per stage, chained through
-  topics; each has its own checkpoint and restarts where it stopped.
+  topics; each has its own checkpoint and restarts where it stopped. A stage
+  started with a new checkpoint over existing output continues after the
+  last batch id it finds (``resolve_base``) instead of overwriting it.
 
 The fetch step of the reference (a headless browser) is out of scope: pages
 arrive as a table ``url, html, success`` joined stream-static by url.
@@ -66,6 +68,50 @@ def seq_now() -> "F.Column":
     return F.unix_micros(F.current_timestamp()) * F.lit(1000) + F.monotonically_increasing_id() % F.lit(1000)
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def next_batch(spark: SparkSession, folders: list[str]) -> int:
+    """One past the largest ``batch=``/``_batch=`` partition in ``folders``."""
+    top = -1
+    for folder in folders:
+        fs, p = _fs(spark, folder)
+        if not fs.exists(p):
+            continue
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            for prefix in ("batch=", "_batch="):
+                if name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit():
+                    top = max(top, int(name[len(prefix):]))
+    return top + 1
+
+
+def resolve_base(spark: SparkSession, checkpoint: str, folders: list[str]) -> int:
+    """Batch-id offset for a stage, fixed once per checkpoint.
+
+    Batch ids restart at 0 with a new checkpoint; writing those over an
+    existing lake or topic would replace the earlier run's partitions. The
+    first start of a checkpoint takes the next free batch id of the folders
+    the stage writes and records it beside the checkpoint (as an empty marker
+    file ``base=<n>``); restarts read it back.
+    """
+    marker_dir = checkpoint.rstrip("/") + "_base"
+    fs, p = _fs(spark, marker_dir)
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("base="):
+                return int(name[len("base="):])
+    ck_fs, ck = _fs(spark, checkpoint)
+    base = next_batch(spark, folders) if not ck_fs.exists(ck) else 0
+    fs.mkdirs(p)
+    fs.createNewFile(spark._jvm.org.apache.hadoop.fs.Path(p, f"base={base}"))
+    return base
+
+
 def emit(df: DataFrame, topic: str, root: str, batch_id: int) -> None:
     """Publish a batch's messages under ``topic=<t>/batch=<id>`` (a retried
     batch replaces its own files)."""
@@ -162,7 +208,9 @@ def stage_cards(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
                                  {"job_id": "job_id", "role": "role", "url": "url"})
         emit(msgs, T["detail_commands"], cfg.topics_root, b)
 
-    writer = NewOnlyWriter(lake, on_new)
+    base = resolve_base(spark, cfg.ckpt("s2"), [f"{lake.log_path}/_writer=postings",
+                                                S.topic_path(cfg.topics_root, T["detail_commands"])])
+    writer = NewOnlyWriter(lake, on_new, base_batch=base)
 
     def batch(df: DataFrame, batch_id: int) -> None:
         df = df.persist()                 # read + inflate once for both outputs
@@ -180,8 +228,11 @@ def stage_detail_extract(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake)
     cmds = S.read_topics(spark, cfg.topics_root, [T["detail_commands"]])
     good, _ = M.decode_envelope(cmds, M.DETAIL_PARAMS)
     fetched = M.dispatch_action(good, M.ACTION_EXTRACT).join(cfg.pages, "url", "left")
+    base = resolve_base(spark, cfg.ckpt("s3"), [f"{lake.log_path}/_writer=status",
+                                                S.topic_path(cfg.topics_root, T["detail_pages"])])
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        batch_id = base + batch_id
         df = df.withColumn("_seq", seq_now()).persist()
         ok, status = S.split_fetch_results(df)
         lake.append(L.set_status(status.withColumn("_seq", seq_now()), batch_id, ok="e2_success"), "status")
@@ -201,8 +252,11 @@ def stage_detail_transform(spark: SparkSession, cfg: PipelineConfig, lake: L.Lak
     """Stage 4: detail pages -> fields -> clean -> validate -> lake + load topic."""
     pages = S.read_topics(spark, cfg.topics_root, [T["detail_pages"]])
     good, _ = M.unpack_html(pages)
+    base = resolve_base(spark, cfg.ckpt("s4"), [f"{lake.log_path}/_writer=enriched",
+                                                S.topic_path(cfg.topics_root, T["load"])])
 
     def batch(df: DataFrame, batch_id: int) -> None:
+        batch_id = base + batch_id
         fields = H.detail_fields(df, "html", keep=("url", "created_at"))
         # one Python pass per batch: both validation outputs read the cache
         clean = P.clean_postings(fields, "created_at").withColumn("_seq", seq_now()).persist()

@@ -77,6 +77,19 @@ def test_pipeline_end_to_end_restart_and_replay(spark, cfg):
     assert S.read_topics(spark, cfg.topics_root, [S.TOPICS["detail_commands"]], streaming=False).count() \
         == len(expected_ids)
 
+    # a NEW checkpoint over the same lake and topics: stages continue after the
+    # existing batch ids, so nothing written before is replaced or re-emitted
+    log_before = L.Lake(spark, cfg.lake_root).log().count()
+    cfg2 = PL.PipelineConfig(topics_root=cfg.topics_root, lake_root=cfg.lake_root,
+                             checkpoint_root=cfg.checkpoint_root + "_new", pages=cfg.pages,
+                             dead_letters=cfg.dead_letters)
+    PL.run_pipeline(spark, cfg2)
+    assert L.Lake(spark, cfg.lake_root).log().count() >= log_before
+    assert S.read_topics(spark, cfg.topics_root, [S.TOPICS["detail_commands"]], streaming=False).count() \
+        == len(expected_ids)
+    assert {r.job_id for r in L.Lake(spark, cfg.lake_root).scan().filter(F.col("job_id").isNotNull())
+            .select("job_id").collect()} == expected_ids
+
 
 def test_new_only_writer_replay_is_idempotent(spark, tmp_path):
     lake = L.Lake(spark, str(tmp_path / "lake"))

@@ -2,8 +2,8 @@
 
 * E1 ``embed_chunks``: a user embedding function ``list[str] -> matrix`` is
   called once per request inside ``mapInPandas`` (requests = consecutive
-  groups of ``batch`` rows) or ``applyInPandas`` (an explicit request
-  column). A failing call marks every row of its request ``ok = false`` with
+  groups of ``batch`` rows, or an explicit request column streamed from
+  sorted batches one request at a time). A failing call marks every row of its request ``ok = false`` with
   a null vector (all-or-nothing). The default function is a deterministic
   feature-hashing embedder, so the pipeline runs offline.
 * E4 ``cosine_top_k``: the (size-checked, small) query matrix is broadcast;

@@ -63,6 +63,39 @@ def q_pipeline(spark, sf_dir):
 _JSON_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
+def land_by_day(spark, ev, staging: str, topic_dir: str) -> list[str]:
+    """Land rows as one file per calendar day, in day order.
+
+    One partitioned write (each day goes to one task, so one file per day),
+    then the files are moved into the topic folder with modification times in
+    day order through the Hadoop FileSystem API; a file stream takes files by
+    modification time, so ``maxFilesPerTrigger=1`` gives one day per batch.
+    Returns the days (ISO text) in order.
+    """
+    cols = [c for c in ev.columns if c != "day"]
+    env = ev.select("day", F.lit(0).alias("partition"), F.col("_seq").alias("offset"),
+                    F.col("created_at").cast("timestamp").alias("timestamp"),
+                    F.col("url").cast("binary").alias("key"),
+                    F.encode(F.to_json(F.struct(*cols), _JSON_TS), "UTF-8").alias("value"))
+    env.repartition("day").write.partitionBy("day").parquet(staging)
+    jvm = spark._jvm
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(topic_dir))
+    day_dirs = sorted((st.getPath() for st in fs.listStatus(Path(staging))
+                       if st.getPath().getName().startswith("day=")), key=lambda p: p.getName())
+    t0 = 1_000_000_000_000
+    days = []
+    for i, d in enumerate(day_dirs):
+        days.append(d.getName()[len("day="):])
+        for j, st in enumerate(sorted((st for st in fs.listStatus(d) if st.getPath().getName().endswith(".parquet")),
+                                      key=lambda st: st.getPath().getName())):
+            dst = Path(f"{topic_dir}/part-{i:05d}-{j:03d}.parquet")
+            fs.rename(st.getPath(), dst)
+            fs.setTimes(dst, t0 + i * 1000 + j, -1)
+    return days
+
+
 @register("T4_new_only_stream", """
 SELECT CAST(user_id AS VARCHAR) || '-' || event_type AS key, min(event_id) AS first_seq,
        arg_min(ts, event_id) AS created_at, arg_min(user_id, event_id) AS job_id
@@ -73,13 +106,7 @@ def q_new_only_stream(spark, sf_dir):
         F.concat_ws("-", F.col("user_id").cast("string"), "event_type").alias("url"),
         F.col("event_type").alias("role"), F.col("user_id").alias("job_id"),
         F.col("ts").alias("created_at"), F.col("event_id").alias("_seq"), F.to_date("ts").alias("day"))
-    ev = ev.persist()                # one scan feeds the ~30 day landings
-    days = [r[0] for r in ev.select("day").distinct().orderBy("day").collect()]   # ~30 calendar days
-    for d in days:     # land one file per day, in order: the stream sees one day per batch
-        part = ev.filter(F.col("day") == F.lit(d)).drop("day").coalesce(1)
-        S.publish(part.select(F.to_json(F.struct(*part.columns), _JSON_TS).alias("value")), "events",
-                  f"{root}/topics")
-    ev = ev.unpersist()
+    days = land_by_day(spark, ev, f"{root}/staging", S.topic_path(f"{root}/topics", "events"))
     stream = S.read_topics(spark, f"{root}/topics", ["events"], options={"maxFilesPerTrigger": "1"})
     schema = "url string, role string, job_id bigint, created_at timestamp_ntz, _seq bigint"
     rows = stream.select(F.from_json(F.decode("value", "UTF-8"), schema, _JSON_TS).alias("r")).select("r.*")
@@ -92,7 +119,7 @@ def q_new_only_stream(spark, sf_dir):
     PL.drain(rows, writer, f"{root}/ckpt")
     # one day delivered again under its batch id: replaces its own output
     mid = len(days) // 2
-    again = ev.filter(F.col("day") == F.lit(days[mid])).drop("day") if days else None
+    again = ev.filter(F.col("day") == F.lit(days[mid]).cast("date")).drop("day") if days else None
     if again is not None:
         writer(again, mid)
     out = spark.read.parquet(sink)

@@ -190,9 +190,14 @@ def retain(landed: DataFrame, now, hours: int = RETENTION_HOURS, segment_hours:
     retention by up to one segment, as with the broker's policy).
     """
     seg = F.lit(segment_hours * 3600)
-    secs = F.unix_seconds(F.col(ts).cast("timestamp"))
-    seg_end = (F.floor(secs / seg) + 1) * seg
-    cutoff = F.unix_seconds(F.lit(now).cast("timestamp")) - F.lit(hours * 3600)
+
+    def wall_secs(x):
+        # wall-clock seconds (timestamp_ntz), independent of the session zone
+        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                               x.cast("timestamp_ntz"))
+
+    seg_end = (F.floor(wall_secs(F.col(ts)) / seg) + 1) * seg
+    cutoff = wall_secs(F.lit(now)) - F.lit(hours * 3600)
     return landed.filter(seg_end >= cutoff)
 
 

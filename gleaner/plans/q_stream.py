@@ -50,11 +50,13 @@ FROM part WHERE p_partkey % 7 <> 0""")
 def q_pipeline(spark, sf_dir):
     root = scratch_path(spark, "pipeline")
     pages, lists = pipeline_pages(spark, sf_dir)
+    pages = pages.persist()     # the fetch table is joined by stages 1 and 3
     n_pages = lists.agg(F.max("page")).first()[0] or 0
     cfg = PL.PipelineConfig(topics_root=f"{root}/topics", lake_root=f"{root}/lake",
                             checkpoint_root=f"{root}/ckpt", pages=pages, dead_letters=f"{root}/dead")
     PL.start_command(spark, cfg.topics_root, 1, int(n_pages), PER_PAGE)
     PL.run_pipeline(spark, cfg)
+    pages.unpersist()
     load = S.read_topics(spark, cfg.topics_root, [S.TOPICS["load"]], streaming=False)
     good, _ = M.decode_load_record(load)
     return good.select("url", "position", "company", "job_type")

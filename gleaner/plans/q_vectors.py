@@ -95,7 +95,7 @@ def q_budget(spark, sf_dir):
 
 
 @register("A5_usage_report", _D_FOLD + f"""
-SELECT lang, source, COUNT(*) AS n_requests, SUM(CAST(admitted AS BIGINT)) AS n_admitted,
+SELECT lang, source, COUNT(*) AS n_requests, CAST(SUM(CAST(admitted AS BIGINT)) AS BIGINT) AS n_admitted,
        CAST(SUM(CASE WHEN tok_ok THEN t ELSE 0 END) AS DOUBLE) AS used_tokens,
        {TOKEN_LIMIT} - CAST(SUM(CASE WHEN tok_ok THEN t ELSE 0 END) AS DOUBLE) AS remaining_tokens,
        round(CAST(SUM(CASE WHEN admitted THEN t * {_PRICE_U} ELSE 0 END) AS DOUBLE) / 1e12, 6) AS used_usd_micro
@@ -117,7 +117,7 @@ SELECT minute, model, n_requests, n_tokens,
        n_requests > CASE WHEN model = 'nomic-embed-text' THEN NULL ELSE 3000 END AS over_rpm,
        n_tokens > CASE WHEN model = 'nomic-embed-text' THEN NULL ELSE 1e6 END AS over_tpm
 FROM (SELECT date_trunc('minute', ts) AS minute, {_MODEL_OF_EVENT} AS model, COUNT(*) AS n_requests,
-             SUM(CAST(floor(value) AS BIGINT)) AS n_tokens FROM events GROUP BY 1, 2)""")
+             CAST(SUM(CAST(floor(value) AS BIGINT)) AS BIGINT) AS n_tokens FROM events GROUP BY 1, 2)""")
 def q_rate(spark, sf_dir):
     ev = table(spark, sf_dir, "events").select(
         "ts", F.expr(_MODEL_OF_EVENT).alias("model"), F.floor("value").cast("bigint").alias("tokens"))
@@ -125,11 +125,11 @@ def q_rate(spark, sf_dir):
 
 
 @register("A7_yield_report", """
-WITH p AS (SELECT n_regionkey AS run, unnest(range(n_regionkey + 1, n_nationkey % 7 + 2)) AS page,
+WITH p AS (SELECT CAST(n_regionkey AS BIGINT) AS run, unnest(range(n_regionkey + 1, n_nationkey % 7 + 2)) AS page,
                   25 + n_nationkey AS per_page FROM nation)
-SELECT run, COUNT(*) AS expected_pages, SUM(per_page) AS expected_postings,
+SELECT run, COUNT(*) AS expected_pages, CAST(SUM(per_page) AS BIGINT) AS expected_postings,
        COUNT(*) FILTER (WHERE page % 7 <> 0) AS obtained_pages,
-       coalesce(SUM(per_page) FILTER (WHERE page % 7 <> 0), 0) AS obtained_postings,
+       CAST(coalesce(SUM(per_page) FILTER (WHERE page % 7 <> 0), 0) AS BIGINT) AS obtained_postings,
        round(COUNT(*) FILTER (WHERE page % 7 <> 0) / COUNT(*), 6) AS page_yield
 FROM p GROUP BY run""")
 def q_yield(spark, sf_dir):
@@ -202,8 +202,8 @@ def q_check_vectors(spark, sf_dir):
     return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@register("S7_vector_collection", "SELECT label, COUNT(*) AS n_rows, MIN(len(embedding)) AS dim FROM embeddings "
-                                  "GROUP BY label")
+@register("S7_vector_collection", "SELECT label, COUNT(*) AS n_rows, CAST(MIN(len(embedding)) AS INTEGER) AS dim "
+                                  "FROM embeddings GROUP BY label")
 def q_collection(spark, sf_dir):
     from gleaner.session import scratch_path
 

@@ -158,6 +158,8 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
         if not rows:
             continue
         qids = [r["_qid"] for r in rows]
+        if len(set(qids)) != len(qids):
+            raise ValueError("query ids must be unique")
         qmat = _unit(np.array([np.asarray(r["_qv"], dtype=np.float64) for r in rows]))
         bq = sc.broadcast((qids, qmat))
 

@@ -134,3 +134,14 @@ def test_drain_and_micro_batch_on_file_topic(spark, tmp_path):
     PL.drain(stream, lambda df, b: seen.append(df.count()), str(tmp_path / "ck"))   # nothing new
     assert sum(seen) == ev.count()
     assert PL.kafka_batching() == {"minOffsetsPerTrigger": "100", "maxTriggerDelay": "30 seconds"}
+
+
+def test_resolve_base_is_fixed_per_checkpoint(spark, tmp_path):
+    out = tmp_path / "topic"
+    for b in (0, 1, 4):
+        (out / f"batch={b}").mkdir(parents=True)
+    ck = str(tmp_path / "ck")
+    assert PL.next_batch(spark, [str(out), str(tmp_path / "missing")]) == 5
+    assert PL.resolve_base(spark, ck, [str(out)]) == 5     # new checkpoint: after existing output
+    (out / "batch=9").mkdir()
+    assert PL.resolve_base(spark, ck, [str(out)]) == 5     # recorded: stable across restarts

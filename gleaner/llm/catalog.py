@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, quality, shard
+from gleaner.llm import bpe, packing, quality, shard, token_count
 
 QUERIES = {
     "op5_sharding": shard.q_sharding,
     "op6_bpe_merge_replay": bpe.q_bpe,
+    "op7_token_counts": token_count.q_token_counts,
+    "op8_cutting_stock_packing": packing.q_packing,
     "op9_compression_bands": quality.q_quality,
 }
 ORACLES: dict[str, str] = {}

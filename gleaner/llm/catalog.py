@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, packing, quality, shard, token_count
+from gleaner.llm import bpe, packing, quality, shard, simhash, token_count
 
 QUERIES = {
+    "op2_covering_simhash": simhash.q_simhash,
     "op5_sharding": shard.q_sharding,
     "op6_bpe_merge_replay": bpe.q_bpe,
     "op7_token_counts": token_count.q_token_counts,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, packing, quality, shard, simhash, token_count
+from gleaner.llm import bpe, packing, quality, shard, simhash, token_count, topk
 
 QUERIES = {
     "op2_covering_simhash": simhash.q_simhash,
@@ -10,6 +10,9 @@ QUERIES = {
     "op6_bpe_merge_replay": bpe.q_bpe,
     "op7_token_counts": token_count.q_token_counts,
     "op8_cutting_stock_packing": packing.q_packing,
+    "op10_pivot_top_k": topk.q_top_k,
     "op9_compression_bands": quality.q_quality,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_pivot_top_k": topk.ORACLE,
+}

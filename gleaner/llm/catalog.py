@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, packing, quality, shard, simhash, token_count, topk
+from gleaner.llm import bpe, lm, packing, quality, shard, simhash, token_count, topk
 
 QUERIES = {
     "op2_covering_simhash": simhash.q_simhash,
+    "op4_deleted_interpolation": lm.q_lm,
     "op5_sharding": shard.q_sharding,
     "op6_bpe_merge_replay": bpe.q_bpe,
     "op7_token_counts": token_count.q_token_counts,

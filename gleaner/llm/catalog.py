@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, lm, packing, quality, shard, simhash, token_count, topk
+from gleaner.llm import bpe, lm, packing, quality, shard, simhash, token_count, topk, toxicity
 
 QUERIES = {
+    "op1_subsequence_kernel_toxicity": toxicity.q_toxicity,
     "op2_covering_simhash": simhash.q_simhash,
     "op4_deleted_interpolation": lm.q_lm,
     "op5_sharding": shard.q_sharding,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, lm, packing, quality, shard, simhash, token_count, topk, toxicity
+from gleaner.llm import bpe, lm, packing, passages, quality, shard, simhash, token_count, topk, toxicity
 
 QUERIES = {
     "op1_subsequence_kernel_toxicity": toxicity.q_toxicity,
     "op2_covering_simhash": simhash.q_simhash,
+    "op3_collinear_passages": passages.q_passages,
     "op4_deleted_interpolation": lm.q_lm,
     "op5_sharding": shard.q_sharding,
     "op6_bpe_merge_replay": bpe.q_bpe,

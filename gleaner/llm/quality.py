@@ -109,6 +109,25 @@ def quality_rules(docs: DataFrame, bands=BANDS, chunk: int = CHUNK_BYTES, chunk_
     return texts.withColumn("text", texts["text"].cast("binary")).mapInArrow(run, SCHEMA)
 
 
+def passing(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns (no shuffle)."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=LEVEL)
+        for batch in batches:
+            yield batch.filter(pa.array([keeps((t or "").encode(), pack) for t in batch.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def keeps(text: bytes, pack: zstandard.ZstdCompressor) -> bool:
+    counts = base_counts(text)
+    if counts[0] < 10 or 100 * counts[4] > 20 * counts[0]:
+        return False
+    return in_bands(len(text), *compression(text, pack))
+
+
 OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()),
                  ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("base_failed", pa.bool_()),
                  ("kept", pa.bool_()), ("ratio", pa.float64()), ("bad_chunks", pa.int64()), ("n_chunks", pa.int64())])

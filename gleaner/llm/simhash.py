@@ -68,15 +68,16 @@ def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(doc_id, print): the signed 64-bit fingerprint of every row's whole text."""
+    """(doc_id, row, print): the signed 64-bit fingerprint of every row's whole text, and the row's place in the scan."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [signed(simhash(t, shingle, seed)) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["doc_id", "print"])
+            prints = [signed(simhash(t, shingle, seed)) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.int64())],
+                                             names=["doc_id", "row", "print"])
 
-    texts = text_of(docs)
-    return texts.withColumn("text", texts["text"].cast("binary")).mapInArrow(run, "doc_id bigint, print bigint")
+    texts = text_of(docs).select("doc_id", F.monotonically_increasing_id().alias("row"), F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(run, "doc_id bigint, row bigint, print bigint")
 
 
 def forest(own: np.ndarray, other: np.ndarray | None, radius: int) -> list[tuple[int, int]]:
@@ -172,7 +173,7 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fingerprint, root and component_id.
+    """One row per row of ``docs``: doc_id, row (its place in the scan), fingerprint, root and component_id.
 
     ``component_id`` is the smallest doc_id reachable over links, ``root`` names
     the component (its smallest signed fingerprint, as hex). A null, empty or
@@ -191,10 +192,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
         "print", "first", F.coalesce("root", "print").alias("root"))
     names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     of_print = written(rooted.select("print", "root").join(names, "root"), "simhash-components")
-    return own.join(of_print, "print").select("doc_id", hexed("print").alias("fingerprint"), hexed("root").alias("root"),
+    return own.join(of_print, "print").select("doc_id", "row", hexed("print").alias("fingerprint"), hexed("root").alias("root"),
                                               "component_id")
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the smallest doc_id, of repeated ids the first row.
+
+    Rows are named by their place in the scan, so ``docs`` must be a table (or
+    anything else that gives the same partitions whenever it is read).
+    """
+    row = "row of the scan"                       # no column of documents has such a name
+    own = near_duplicates(docs)
+    best = own.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best"))
+    keep = best.select(F.col("best.row").alias(row))
+    return docs.withColumn(row, F.monotonically_increasing_id()).join(keep, row, "left_semi").select(*docs.columns)
+
+
 def hexed(name: str):
     return F.lower(F.lpad(F.hex(name), 16, "0"))
 

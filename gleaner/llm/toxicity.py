@@ -329,6 +329,17 @@ def train(docs: DataFrame, labels: DataFrame, held_out_fold: int = HELD_OUT_FOLD
     return fit([t for t, _ in got], [y for _, y in got])
 
 
+def learn(model: Model, tokens: list[list[bytes]], known: dict[bytes, float]) -> None:
+    """Margins of the tokens that are not known yet: each distinct token is judged once."""
+    if len(known) > MAX_CACHED:
+        known.clear()
+    fresh = list({t for ts in tokens for t in ts if t not in known})
+    units = [units_of(t) for t in fresh]
+    margin = iter(model.margins([u for us in units for u in us]).tolist())
+    for t, us in zip(fresh, units):
+        known[t] = max((next(margin) for _ in us), default=SILENT)
+
+
 def score_documents(docs: DataFrame, model: Model, held_out_fold: int = HELD_OUT_FOLD) -> DataFrame:
     """doc_id, held_out, score, predicted and the worst token (witness) of every row's whole text.
 
@@ -343,13 +354,7 @@ def score_documents(docs: DataFrame, model: Model, held_out_fold: int = HELD_OUT
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 tokens = [tokens_of(t) for t in part.column(2).to_pylist()]
-                if len(known) > MAX_CACHED:
-                    known.clear()
-                fresh = list({t for ts in tokens for t in ts if t not in known})
-                units = [units_of(t) for t in fresh]
-                margin = iter(model.margins([u for us in units for u in us]).tolist())
-                for t, us in zip(fresh, units):
-                    known[t] = max((next(margin) for _ in us), default=SILENT)
+                learn(model, tokens, known)
                 worst = [max(ts, key=known.__getitem__, default=None) for ts in tokens]
                 score = [model.probability([known[t] for t in ts]) for ts in tokens]
                 yield pa.RecordBatch.from_arrays(
@@ -361,6 +366,23 @@ def score_documents(docs: DataFrame, model: Model, held_out_fold: int = HELD_OUT
     return texts.mapInArrow(run, "doc_id bigint, held_out boolean, score double, predicted int, witness string")
 
 
+def not_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model does not predict to be toxic, with all their columns (no shuffle)."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, float] = {}
+        for batch in batches:
+            keep = []
+            for lo in range(0, batch.num_rows, 512):
+                tokens = [tokens_of((t or "").encode()) for t in batch.column(at).slice(lo, 512).to_pylist()]
+                learn(model, tokens, known)
+                keep += [model.probability([known[t] for t in ts]) < 0.5 for ts in tokens]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def q_toxicity(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return score_documents(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))

@@ -34,9 +34,10 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import spark_read, text_of, write_scratch
 
 CAPACITY = 4096
-GRAIN = 8
+GRAIN = 16
 GAP = 0.001                 # the linear program ends this near its bound
-MAX_CACHED = 500_000        # words remembered by a Python worker between batches
+MAX_CACHED = 1_000_000      # words remembered by a Python worker between batches
+STOPS = b".,;:!?"
 _WORKER: dict = {}
 
 
@@ -48,7 +49,10 @@ class WordCache:
     The tokenizer drops white space, no match of its pattern holds any, no
     special string holds any or strips its neighbours, and neither the
     normalisation nor the merges reach across it, so the ids of a text are those
-    of its words in turn. Each distinct word is encoded by the library once.
+    of its words in turn. It lower-cases, so ASCII words are looked up in lower
+    case; and a match of letters ends where punctuation begins, so the stops
+    after an ASCII letter are looked up apart. Each form is encoded by the
+    library once, many at a time with a special string between them.
     """
 
     def __init__(self, path: str):
@@ -59,19 +63,43 @@ class WordCache:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.between, self.between_id = max(special.items())
+        self.special = [s.encode() for s in special]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > MAX_CACHED:
             self.known.clear()
         known, words = self.known, [t.split() for t in texts]
-        fresh = list({w for ws in words for w in ws if w not in known})
-        for at in range(0, len(fresh), 4096):
-            some = fresh[at:at + 4096]
-            got = self.library.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
-            for w, e in zip(some, got):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        fresh = {w: self.forms(w) for w in {w for ws in words for w in ws if w not in known}}
+        self.look_up(list({f for fs in fresh.values() for f in fs if f not in known}))
+        for w, forms in fresh.items():
+            known[w] = b"".join([known[f] for f in forms])
         return [b"".join([known[w] for w in ws]) for ws in words]
 
+    def forms(self, word: bytes) -> tuple[bytes, ...]:
+        if any(s in word for s in self.special):
+            return (word,)
+        lower = word.lower()
+        if not word.isascii() or any(s in lower for s in self.special):
+            lower = word
+        core = lower.rstrip(STOPS)
+        if core != lower and core[-1:].isalpha():
+            return core, lower[len(core):]
+        return (lower,)
+
+    def look_up(self, forms: list[bytes]) -> None:
+        plain = [f for f in forms if not any(s in f for s in self.special)]
+        for f in set(forms) - set(plain):
+            self.known[f] = np.array(self.library.encode(f.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        for at in range(0, len(plain), 512):
+            some = plain[at:at + 512]
+            ids = np.array(self.library.encode(self.between.join([f.decode() for f in some]), add_special_tokens=False).ids, "<u4")
+            cuts = (4 * np.flatnonzero(ids == self.between_id)).tolist()
+            raw = ids.tobytes()
+            for f, lo, hi in zip(some, [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]):
+                self.known[f] = raw[lo:hi]
+
 
 def word_cache(path: str) -> WordCache:
     if path not in _WORKER:

@@ -171,9 +171,23 @@ def posted_parts(times_clean) -> dict[str, Column]:
             "unit": F.nullif(F.regexp_extract(t, POSTED_PATTERN, 2), F.lit(""))}
 
 
+#: Largest N of each unit; more would leave the calendar (years before 1).
+POSTED_MOST = {"year": 2000, "month": 24_000, "week": 104_000, "day": 730_000, "hour": 17_520_000,
+               "minute": 1_051_200_000, "second": 2**31 - 1, "microsecond": 2**31 - 1}
+
+
+def posted_in_range(n, unit) -> Column:
+    """Whether N units back is a date of the calendar (null unit or N: true)."""
+    n, unit = _c(n), _c(unit)
+    most = F.coalesce(*[F.when(unit == u, F.lit(m)) for u, m in POSTED_MOST.items()])
+    return F.coalesce(n <= most, F.lit(True))
+
+
 def posted_from_parts(n, unit, extracted_on) -> Column:
-    """extracted_on minus N units (month/year arithmetic clips to month end)."""
+    """extracted_on minus N units (month/year arithmetic clips to month end);
+    null when N leaves the calendar, so no row can end the job."""
     n, unit = _c(n), _c(unit)
+    n = F.when(posted_in_range(n, unit), n)
     zero = F.lit(0)
     secs = F.lit(0).cast("decimal(18,6)")
 
@@ -245,6 +259,7 @@ def rule_errors(wage_err, times_clean, posted_n, posted_unit, apply_by_col) -> C
         F.when(t.isNotNull() & ~has_posted, F.lit("C12_posted_missing")),
         F.when(has_posted & (~F.coalesce(_c(posted_unit).isin(*POSTED_UNITS), F.lit(False))
                              | _c(posted_n).isNull()), F.lit("C12_posted_unit")),
+        F.when(has_posted & ~posted_in_range(posted_n, posted_unit), F.lit("C12_posted_range")),
         F.when(t.isNotNull() & _c(apply_by_col).isNull(), F.lit("C13_apply_by")),
     ]
     return F.filter(F.array(*errs), lambda e: e.isNotNull())

@@ -33,12 +33,28 @@ class Element:
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
 
     # -- navigation -----------------------------------------------------------
+    def events(self):
+        """(entered, node) of all descendants in document order, elements also when left.
+
+        Walks keep their own stack, so a page may nest as deep as it likes.
+        """
+        stack = [iter(self.children)]
+        open_ = []
+        while stack:
+            node = next(stack[-1], None)
+            if node is None:
+                stack.pop()
+                if open_:
+                    yield False, open_.pop()
+            else:
+                yield True, node
+                if isinstance(node, Element):
+                    open_.append(node)
+                    stack.append(iter(node.children))
+
     def iter(self):
         """Descendant elements in document order."""
-        for ch in self.children:
-            if isinstance(ch, Element):
-                yield ch
-                yield from ch.iter()
+        return (node for entered, node in self.events() if entered and isinstance(node, Element))
 
     def find(self, tag: str, pred=None):
         for el in self.iter():
@@ -75,43 +91,36 @@ class Element:
 
     # -- content --------------------------------------------------------------
     def text(self) -> str:
-        out = []
-        self._text(out)
+        out, raw = [], 0
+        for entered, node in self.events():
+            if isinstance(node, Element):
+                if node.tag in RAW_TEXT:
+                    raw += 1 if entered else -1
+            elif not raw and node.kind == "text":
+                out.append(node.data)
         return "".join(out)
 
-    def _text(self, out):
-        for ch in self.children:
-            if isinstance(ch, Text):
-                if ch.kind == "text":
-                    out.append(ch.data)
-            elif ch.tag not in RAW_TEXT:
-                ch._text(out)
-
     def string(self):
         """The single string a tag holds (through single-child nesting)."""
-        if len(self.children) != 1:
-            return None
-        ch = self.children[0]
-        if isinstance(ch, Text):
-            return ch.data if ch.kind == "text" else None
-        return ch.string()
+        node = self
+        while isinstance(node, Element):
+            if len(node.children) != 1:
+                return None
+            node = node.children[0]
+        return node.data if node.kind == "text" else None
 
     def inner_html(self) -> str:
-        return "".join(_serialize(ch) for ch in self.children)
-
-
-def _serialize(node) -> str:
-    if isinstance(node, Text):
-        if node.kind == "comment":
-            return f"<!--{node.data}-->"
-        if node.kind == "raw":
-            return node.data
-        return escape(node.data, quote=False)
-    attrs = "".join(f' {k}="{escape(v, quote=True)}"' if v is not None else f" {k}"
-                    for k, v in node.attrs.items())
-    if node.tag in VOID:
-        return f"<{node.tag}{attrs}/>"
-    return f"<{node.tag}{attrs}>{node.inner_html()}</{node.tag}>"
+        out = []
+        for entered, node in self.events():
+            if isinstance(node, Text):
+                out.append(f"<!--{node.data}-->" if node.kind == "comment"
+                           else node.data if node.kind == "raw" else escape(node.data, quote=False))
+            elif not entered:
+                out.append("" if node.tag in VOID else f"</{node.tag}>")
+            else:
+                attrs = "".join(f' {k}="{escape(v, quote=True)}"' for k, v in node.attrs.items())
+                out.append(f"<{node.tag}{attrs}{'/' if node.tag in VOID else ''}>")
+        return "".join(out)
 
 
 class _Builder(HTMLParser):
@@ -223,48 +232,42 @@ def detail_fields(html: str | None) -> dict:
 _WS = re.compile(r"[ \t\r\n\f]+")
 
 
-def _md(node, out: list, list_stack: list):
-    if isinstance(node, Text):
-        if node.kind == "text":
-            out.append(_WS.sub(" ", node.data).replace("*", r"\*").replace("_", r"\_"))
-        return
-    tag = node.tag
-    if tag in RAW_TEXT:
-        return
+def _escaped(text: str) -> str:
+    return _WS.sub(" ", text).replace("*", r"\*").replace("_", r"\_")
+
 
-    def inner():
-        buf: list = []
-        for ch in node.children:
-            _md(ch, buf, list_stack)
-        return "".join(buf)
+def _item(bullet: str, body: str) -> str:
+    """A list item; lines after its first (nested lists) are indented under it."""
+    first, *rest = [x for x in body.strip().split("\n") if x.strip()] or [""]
+    return "\n".join([f"{bullet} {first}", *(" " * (len(bullet) + 1) + x for x in rest)]) + "\n"
 
+
+def _rendered(node: Element, body: str, lists: list) -> str:
+    """Markdown of an element whose children rendered to ``body``; ``lists`` are the lists still open around it."""
+    tag, t = node.tag, body.strip()
+    if tag in RAW_TEXT:
+        return ""
     if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-        out.append(f"\n\n{'#' * int(tag[1])} {inner().strip()}\n\n")
-    elif tag == "p":
-        out.append(f"\n\n{inner().strip()}\n\n")
-    elif tag == "br":
-        out.append("  \n")
-    elif tag in ("b", "strong"):
-        t = inner().strip()
-        out.append(f"**{t}**" if t else "")
-    elif tag in ("i", "em"):
-        t = inner().strip()
-        out.append(f"*{t}*" if t else "")
-    elif tag == "a":
-        t = inner().strip()
+        return f"\n\n{'#' * int(tag[1])} {t}\n\n"
+    if tag == "p":
+        return f"\n\n{t}\n\n"
+    if tag == "br":
+        return "  \n"
+    if tag in ("b", "strong"):
+        return f"**{t}**" if t else ""
+    if tag in ("i", "em"):
+        return f"*{t}*" if t else ""
+    if tag == "a":
         href = node.attrs.get("href")
-        out.append(f"[{t}]({href})" if href else t)
-    elif tag in ("ul", "ol"):
-        list_stack.append([tag, 0])
-        out.append("\n\n" + inner().strip("\n") + "\n\n")
-        list_stack.pop()
-    elif tag == "li":
-        kind = list_stack[-1] if list_stack else ["ul", 0]
+        return f"[{t}]({href})" if href else t
+    if tag in ("ul", "ol"):
+        nested = body.strip("\n")
+        return f"\n{nested}\n" if lists else f"\n\n{nested}\n\n"
+    if tag == "li":
+        kind = lists[-1] if lists else ["ul", 0]
         kind[1] += 1
-        bullet = f"{kind[1]}." if kind[0] == "ol" else "*"
-        out.append(f"{bullet} {inner().strip()}\n")
-    else:
-        out.append(inner())
+        return _item(f"{kind[1]}." if kind[0] == "ol" else "*", body)
+    return body
 
 
 def to_markdown(fragment: str | None) -> str | None:
@@ -272,9 +275,21 @@ def to_markdown(fragment: str | None) -> str | None:
     collapsed and the result is stripped."""
     if fragment is None:
         return None
-    out: list = []
-    _md(parse(fragment), out, [])
-    text = "".join(out)
+    parts: list[list[str]] = [[]]             # rendered children of each open element
+    lists: list[list] = []                    # open lists and their item counts
+    for entered, node in parse(fragment).events():
+        if isinstance(node, Text):
+            if node.kind == "text":
+                parts[-1].append(_escaped(node.data))
+        elif entered:
+            parts.append([])
+            if node.tag in ("ul", "ol"):
+                lists.append([node.tag, 0])
+        else:
+            if node.tag in ("ul", "ol"):
+                lists.pop()
+            parts[-2].append(_rendered(node, "".join(parts.pop()), lists))
+    text = "".join(parts[0])
     text = re.sub(r"[ ]+\n", lambda m: "  \n" if len(m.group(0)) >= 3 else "\n", text)
     text = re.sub(r"\n{3,}", "\n\n", text)
     return text.strip()

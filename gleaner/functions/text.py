@@ -78,10 +78,3 @@ def first_match(x, pattern: str) -> Column:
     """Whole text of the leftmost match, or null when there is none."""
     x = _c(x)
     return F.when(x.rlike(pattern), F.regexp_extract(x, pattern, 0))
-
-
-def group_or_null(x, pattern: str, idx: int) -> Column:
-    """Capture group ``idx`` of the leftmost match; null if no match or the
-    group did not take part (Spark returns '' for both)."""
-    g = F.regexp_extract(_c(x), pattern, idx)
-    return F.nullif(g, F.lit(""))

@@ -39,8 +39,8 @@ def model_catalog(spark: SparkSession) -> DataFrame:
 
 def whitespace_tokens(text) -> Column:
     """Default tokenizer: number of whitespace-separated words (native)."""
-    t = F.trim(F.col(text) if isinstance(text, str) else text)
-    return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"\s+"))).cast("bigint")
+    t = F.col(text) if isinstance(text, str) else text
+    return F.when(t.isNotNull(), F.size(F.regexp_extract_all(t, F.lit(r"\S+"), F.lit(0)))).cast("bigint")
 
 
 def count_tokens(df: DataFrame, text: str, by: list[str], tokenizer=None, out: str = "tokens") -> DataFrame:

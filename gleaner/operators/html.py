@@ -2,8 +2,7 @@
 
 H1 (links/cards) and H5 (body) are native regex projections: comments,
 script and style blocks are removed with ``regexp_replace``, tags are
-exploded with ``regexp_extract_all`` and attributes read with
-``regexp_extract`` — no Python worker, whole-stage codegen throughout.
+exploded and attributes tokenised with ``regexp_extract_all`` — no Python worker, whole-stage codegen throughout.
 
 H6 (the detail-page tree walks) and C9 (Markdown) need a real tree, so they
 run as ONE ``mapInPandas`` pass per Arrow batch using
@@ -14,6 +13,7 @@ pass (they do not push through it).
 from __future__ import annotations
 
 from collections.abc import Iterator
+from html.entities import name2codepoint
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -22,11 +22,13 @@ from pyspark.sql import types as T
 
 from gleaner.functions.dom import detail_fields as _walk
 from gleaner.functions.dom import to_markdown as _to_markdown
-from gleaner.session import spread
 
 _NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-# Attribute entities decoded for link values (the common five).
-_ENTITIES = (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+# One attribute of a start tag: a quoted value is consumed whole, so what it holds is never read as markup.
+_ATTRIBUTE = r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?"""
+_ENTITY = r"&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};|&[a-zA-Z][a-zA-Z0-9]*;"
+#: Named character references of HTML 4, from the standard library.
+_NAMED = {f"&{name};": chr(code) for name, code in name2codepoint.items()} | {"&apos;": "'"}
 
 
 def _c(x) -> Column:
@@ -38,19 +40,34 @@ def strip_noise(html) -> Column:
     return F.regexp_replace(_c(html), _NOISE, "")
 
 
+def _decoded(entity: Column) -> Column:
+    """The character of one reference, or the reference itself if there is none."""
+    number = F.coalesce(
+        F.conv(F.nullif(F.regexp_extract(entity, r"^&#[xX]([0-9a-fA-F]+);$", 1), F.lit("")), 16, 10).cast("bigint"),
+        F.nullif(F.regexp_extract(entity, r"^&#([0-9]+);$", 1), F.lit("")).cast("bigint"))
+    valid = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, number)), 8, "0")), "UTF-32")
+    names = F.create_map(*[F.lit(x) for pair in _NAMED.items() for x in pair])
+    return F.coalesce(char, F.try_element_at(names, entity), entity)
+
+
 def unescape_attr(x: Column) -> Column:
-    for ent, ch in _ENTITIES:
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    """Decode character references once: those of '&' last, so what they uncover stays as it is."""
+    found = F.array_distinct(F.regexp_extract_all(x, F.lit(_ENTITY), F.lit(0)))
+    ampersand = lambda e: _decoded(e) == "&"
+    ordered = F.concat(F.filter(found, lambda e: ~ampersand(e)), F.filter(found, ampersand))
+    return F.when(~x.contains("&"), x).otherwise(
+        F.aggregate(ordered, x, lambda acc, e: F.replace(acc, e, _decoded(e))))
 
 
 def attr(tag_text, name: str) -> Column:
-    """Value of attribute ``name`` in a start-tag text (null when absent)."""
-    pat = rf"""(?is)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    t = _c(tag_text)
-    val = F.coalesce(*[F.nullif(F.regexp_extract(t, pat, i), F.lit("")) for i in (1, 2, 3)])
-    present = t.rlike(pat)
-    return F.when(present, unescape_attr(F.coalesce(val, F.lit(""))))
+    """Value of attribute ``name`` in a start-tag text (null when absent, first wins)."""
+    body = F.regexp_replace(_c(tag_text), r"^<\s*[^\s/>]+", "")
+    part = lambda i: F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(i))
+    names = F.transform(part(1), F.lower)
+    at = F.array_position(names, F.lit(name.lower())).cast("int")
+    value = F.concat(*[F.coalesce(F.element_at(part(i), at), F.lit("")) for i in (2, 3, 4)])
+    return F.when(at > 0, unescape_attr(value))
 
 
 def extract_links(df: DataFrame, html: str = "html", tag: str = "a", where: dict[str, str] | None = None,
@@ -66,7 +83,7 @@ def extract_links(df: DataFrame, html: str = "html", tag: str = "a", where: dict
     body = strip_noise(html)
     if within:
         body = F.regexp_extract(body, rf"(?is)<{within}\b[^>]*>(.*?)(?:</{within}\s*>|$)", 1)
-    tags = F.regexp_extract_all(body, F.lit(rf"(?is)<{tag}\b[^>]*>"), F.lit(0))
+    tags = F.regexp_extract_all(body, F.lit(rf"""(?is)<{tag}\b(?:"[^"]*"|'[^']*'|[^'">])*>"""), F.lit(0))
     ex = df.select(*keep, F.posexplode(tags).alias("link_idx", "_tag"))
     if where:
         for k, v in where.items():
@@ -103,7 +120,7 @@ _OUT = {"wage": "wage_raw", "location": "location_raw", "employment_type": "empl
 def detail_fields(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """H6 + C9: raw detail fields (and the about section as Markdown) for each
     page, in one Python pass over Arrow batches."""
-    src = spread(df.select(*keep, F.col(html).alias("_html")))
+    src = df.select(*keep, F.col(html).alias("_html"))
     in_fields = [f for f in src.schema.fields if f.name != "_html"]
     schema = T.StructType(in_fields + DETAIL_SCHEMA.fields)
     keep_names = [f.name for f in in_fields]

@@ -93,6 +93,28 @@ def merged_view(log: DataFrame, fields: list[str] | None = None) -> DataFrame:
     return log.groupBy("key").agg(*aggs)
 
 
+def surviving(log: DataFrame) -> DataFrame:
+    """The change rows that decide some field of their key, with masks cut to those fields.
+
+    Per field that is the last row that sets it and the first that inserts it;
+    a key's first and last rows stay too, for its first batch and last
+    sequence number. One hash aggregate and one join on the key.
+    """
+    fields = [c for c in log.columns if c not in META]
+    at = [F.max(F.when(F.array_contains("_set", f), F.col("_seq"))).alias(f"set {f}") for f in fields]
+    at += [F.min(F.when(F.array_contains("_ins", f), F.col("_seq"))).alias(f"ins {f}") for f in fields]
+    deciding = log.groupBy(F.col("key").alias("decided key")).agg(
+        *at, F.min(F.struct("_batch", "_seq")).alias("first write"), F.max("_seq").alias("last write"))
+    rows = log.join(deciding, F.col("key") == F.col("decided key"))
+    cut = {m: F.filter(F.array(*[F.when(F.array_contains(m, f) & (F.col(f"{m[1:]} {f}") == F.col("_seq")), F.lit(f))
+                                 for f in fields]), lambda x: x.isNotNull()) for m in ("_set", "_ins")}
+    kept = rows.withColumns({"cut set": cut["_set"], "cut ins": cut["_ins"]}).where(
+        (F.size("cut set") > 0) | (F.size("cut ins") > 0) | (F.col("_seq") == F.col("last write"))
+        | (F.struct("_batch", "_seq") == F.col("first write")))
+    return kept.select(*[F.col("cut set").alias(c) if c == "_set" else F.col("cut ins").alias(c) if c == "_ins" else F.col(c)
+                         for c in log.columns])
+
+
 def first_writes(changes: DataFrame, order: str | Column = "_seq") -> DataFrame:
     """Per key the earliest change row (batch, then order) — skew-safe."""
     o = F.col(order) if isinstance(order, str) else order
@@ -118,7 +140,7 @@ def new_only(batch: DataFrame, log: DataFrame | None, batch_id: int | None = Non
         seen = seen.filter(F.col("_writer") == F.lit(writer))
     if batch_id is not None:
         seen = seen.filter(F.col("_batch") < F.lit(batch_id))
-    return firsts.join(seen.select("key").distinct(), "key", "left_anti")
+    return firsts.join(seen.select("key"), "key", "left_anti")
 
 
 def new_only_all(changes: DataFrame) -> DataFrame:
@@ -212,10 +234,9 @@ class Lake:
         idx.write.mode("overwrite").parquet(f"{self._index_root(writer)}/upto={upto}")
 
     def log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.option("mergeSchema", "true").parquet(self.log_path)
-        except Exception:
-            return None
+        """The change log, or None before the first write."""
+        fs, p = self._fs(self.log_path)
+        return self.spark.read.option("mergeSchema", "true").parquet(self.log_path) if fs.exists(p) else None
 
     def scan(self, fields: list[str] | None = None) -> DataFrame:
         """The collection as a table (merge-on-read)."""
@@ -225,15 +246,16 @@ class Lake:
         return merged_view(log, fields)
 
     def compact(self) -> str:
-        """Write the merged view as a new snapshot log (one row per key) to a
-        fresh path and return it; readers switch by reading that path."""
+        """Write the change rows that still matter to a fresh path and return it.
+
+        The snapshot is itself a change log: later writes, also ones with an
+        earlier sequence number, merge with it as with the full log.
+        """
         import uuid
 
-        view = self.scan()
-        fields = [c for c in view.columns if not c.startswith("_") and c != "key"]
-        snap = view.select("key", F.col("_last_seq").alias("_seq"), F.col("_first_batch").alias("_batch"),
-                           _arr(fields).alias("_set"), _arr([]).alias("_ins"), F.lit("snapshot").alias("_writer"),
-                           *fields)
+        log = self.log()
+        if log is None:
+            raise FileNotFoundError(self.log_path)
         path = f"{self.root}/snapshot-{uuid.uuid4().hex[:8]}"
-        snap.write.parquet(path)
+        surviving(log).write.parquet(path)
         return path

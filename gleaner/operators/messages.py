@@ -95,7 +95,8 @@ def decode_envelope(df: DataFrame, params_schema: T.StructType, defaults: dict |
     """M2: parse ``value``; returns (good, quarantine).
 
     Bad: not JSON, missing ``action`` or ``params``, a ``params`` key the
-    schema does not declare, or a declared key missing with no default.
+    schema does not declare, a declared key missing with no default, or a
+    value that is not of the declared type.
     """
     defaults = defaults or {}
     text = F.decode(_c(value), "UTF-8") if dict(df.dtypes).get(value) == "binary" else _c(value)
@@ -120,7 +121,10 @@ def decode_envelope(df: DataFrame, params_schema: T.StructType, defaults: dict |
         F.when(F.size(F.array_except(F.coalesce("_pk", F.array().cast("array<string>")), declared)) > 0,
                F.lit("M2_unexpected_param")),
     ] + [F.when(F.col("_pk").isNotNull() & ~F.array_contains("_pk", r), F.lit(f"M2_missing_{r}"))
-         for r in required]
+         for r in required] + [
+        # present, but not a value of the declared type: never a good row with a null
+        F.when(F.get_json_object("_text", f"$.params.{f.name}").isNotNull() & F.col(f"_m.params.{f.name}").isNull(),
+               F.lit(f"M2_bad_{f.name}")) for f in params_schema.fields]
     tagged = barrier(parsed.select(*keep, "_text", F.col("_m.action").alias("action"), *fields,
                                    F.filter(F.array(*errs), lambda e: e.isNotNull()).alias("_errors")),
                      "decode_envelope")
@@ -144,18 +148,13 @@ def dispatch_action(df: DataFrame, action: str, observation=None) -> DataFrame:
     return df.filter(hit)
 
 
-MAX_LISTENERS = 10_000
-
-
 def fan_out(messages: DataFrame, listeners: DataFrame) -> DataFrame:
     """M6: each listener of a topic receives every message of that topic.
 
-    ``listeners`` is a (topic, listener) configuration table; its size is
-    checked before it is broadcast, otherwise a shuffle join is used.
+    ``listeners`` is a (topic, listener) configuration table; how it is joined
+    is left to the planner, which knows its size.
     """
-    n = listeners.count()
-    side = F.broadcast(listeners) if n <= MAX_LISTENERS else listeners
-    return messages.join(side, "topic", "inner")
+    return messages.join(listeners, "topic", "inner")
 
 
 # -- M3 HTML payloads ----------------------------------------------------------

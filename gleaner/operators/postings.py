@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import clean as C
 from gleaner.functions.text import first_match, normalize
-from gleaner.session import spread
 
 # The cleaned record (the reference's 13 fields, plus url and scraped_at).
 CLEAN_FIELDS = ("about", "apply_by", "apply_type", "company", "documents", "employment_type",
@@ -58,7 +57,7 @@ def clean_postings(raw: DataFrame, extracted_on: str | Column = "extracted_on",
     else:
         about_col = F.col(about) if isinstance(about, str) else about
     k = [F.col(c) for c in keep]
-    s1 = spread(raw).select(
+    s1 = raw.select(
         *k, about_col.alias("about"), g["url"].alias("url"), ext.cast("timestamp_ntz").alias("scraped_at"),
         g["wage_raw"].alias("_wr"), g["location_raw"].alias("_lr"), g["apply_raw"].alias("_ar"),
         g["position_raw"].alias("_pr"), g["company_raw"].alias("_cr"), g["industry_raw"].alias("_ir"),

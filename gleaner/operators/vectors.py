@@ -1,19 +1,13 @@
 """Embedding and vector search.
 
-* E1 ``embed_chunks``: a user embedding function ``list[str] -> matrix`` is
-  called once per request inside ``mapInPandas`` (requests = consecutive
-  groups of ``batch`` rows, or an explicit request column streamed from
-  sorted batches one request at a time). A failing call marks every row of its request ``ok = false`` with
-  a null vector (all-or-nothing). The default function is a deterministic
-  feature-hashing embedder, so the pipeline runs offline.
-* E4 ``cosine_top_k``: the (size-checked, small) query matrix is broadcast;
-  each base partition computes ``B @ Q.T`` with numpy on unit vectors and
-  keeps only its local top-k per query, so at most
-  ``partitions x |Q| x k`` rows reach the final ``row_number() <= k``
-  window (planned as partial + final WindowGroupLimit). No pair table is
-  ever materialised.
-* E5 ``approx_top_k``: ``BucketedRandomProjectionLSH`` on unit vectors
-  (L2 order equals cosine order there); checked by recall against E4.
+* E1 ``embed_chunks``: a user embedding function ``list[str] -> matrix`` runs
+  inside ``mapInPandas``; a request whose calls do not all succeed fails as a
+  whole, with the error's text.
+* E4 ``cosine_top_k``: a bounded block of query vectors is broadcast; each
+  base partition computes ``B @ Q.T`` on unit vectors and keeps a running
+  top-k per query. No pair table is ever materialised.
+* E5 ``approx_top_k``: as E4, but only rows with a near sign signature are
+  scored; checked by recall against E4.
 * E6 ``check_vectors``: dimension / chunk length / column checks with a
   quarantine output.
 """
@@ -30,7 +24,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.operators.postings import barrier
-from gleaner.session import spread
 
 MAX_BROADCAST_QUERIES = 4096     # query vectors held per task; larger sets go in blocks
 SCORE_DIGITS = 6                 # scores are ranked at this precision, ties by id
@@ -49,75 +42,47 @@ def feature_hash_embedder(dim: int = 64) -> Callable[[list[str]], np.ndarray]:
     return embed
 
 
-def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object] | None = None, text: str = "chunk_txt",
-                 request: str | None = None, batch: int = 64, dim: int | None = None,
-                 admitted: str | None = None, max_request_rows: int = 2048) -> DataFrame:
-    """Add ``ok boolean`` and ``vec array<float>``; all-or-nothing per request.
+def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object], request: str | list[str], text: str = "chunk_txt",
+                 dim: int | None = None, admitted: str | None = None, rows_per_call: int = 2048) -> DataFrame:
+    """Add ``ok boolean``, ``error string`` and ``vec array<float>``; all-or-nothing per request.
 
-    Requests are consecutive groups of ``batch`` rows, or the rows sharing
-    the ``request`` column. Request rows are streamed in sorted Arrow batches
-    with one request buffered at a time; a request larger than
-    ``max_request_rows`` (an embedding API caps inputs per call) is sent as
-    sub-requests of that size, so no group is ever held whole in memory.
-
-    With ``admitted`` (a boolean column, e.g. from ``budget``), a request
-    with any refused row is not sent at all and fails as a whole, as a
-    limiter refusal does in the reference.
+    A request is the rows that share the ``request`` columns, however many and
+    wherever they lie. ``fn`` gets at most ``rows_per_call`` texts of one
+    request at a time (an embedding API caps the inputs of a call); if any of
+    a request's calls fails, no row of it gets a vector and all carry the first
+    error's text. With ``admitted`` (a boolean column, e.g. from ``budget``) a
+    request with a refused row is not sent at all.
     """
     if fn is None:
-        fn = feature_hash_embedder(dim or 64)
-    schema = T.StructType(df.schema.fields + [T.StructField("ok", T.BooleanType()),
-                                              T.StructField("vec", T.ArrayType(T.FloatType()))])
+        raise ValueError("embed_chunks needs an embedding function, e.g. feature_hash_embedder(64)")
+    keys = [request] if isinstance(request, str) else list(request)
+    whole = Window.partitionBy(*keys)
+    send = F.lit(True) if admitted is None else F.min(F.coalesce(F.col(admitted), F.lit(False))).over(whole)
+    src = df.withColumn("_send", send)
+    schema = T.StructType(src.schema.fields + [T.StructField("error", T.StringType()),
+                                               T.StructField("vec", T.ArrayType(T.FloatType()))])
 
     def call(pdf: pd.DataFrame) -> pd.DataFrame:
+        if not bool(pdf["_send"].iloc[0]):
+            return pdf.assign(error="refused by the budget", vec=None)
         texts = pdf[text].fillna("").tolist()
-        if admitted is not None and not bool(pdf[admitted].fillna(False).all()):
-            return pdf.assign(ok=False, vec=[None] * len(texts))
         try:
             mat = np.asarray(fn(texts), dtype=np.float32)
             if mat.ndim != 2 or mat.shape[0] != len(texts) or (dim is not None and mat.shape[1] != dim):
-                raise ValueError("embedding function returned a wrong shape")
-            return pdf.assign(ok=True, vec=list(mat))
-        except Exception:
-            return pdf.assign(ok=False, vec=[None] * len(texts))
-
-    if request is not None:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        src = df.repartition(n, request).sortWithinPartitions(request)
+                raise ValueError(f"the embedding function returned shape {mat.shape} for {len(texts)} texts")
+            return pdf.assign(error=None, vec=list(mat))
+        except Exception as exc:              # the caller's function may raise anything; it is reported, not hidden
+            return pdf.assign(error=f"{type(exc).__name__}: {exc}", vec=None)
 
-        def per_request(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            buf, size, cur = [], 0, None
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                keys = pdf[request].to_numpy()
-                cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(pdf)]
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    seg = pdf.iloc[a:b]
-                    if buf and keys[a] != cur:
-                        yield call(pd.concat(buf, ignore_index=True))
-                        buf, size = [], 0
-                    cur = keys[a]
-                    while len(seg):
-                        room = max_request_rows - size
-                        buf.append(seg.iloc[:room])
-                        size += min(room, len(seg))
-                        seg = seg.iloc[room:]
-                        if size >= max_request_rows:
-                            yield call(pd.concat(buf, ignore_index=True))
-                            buf, size = [], 0
-            if buf:
-                yield call(pd.concat(buf, ignore_index=True))
-
-        return src.mapInPandas(per_request, schema)
-    df = spread(df)
-
-    def per_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def calls(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for s in range(0, len(pdf), batch):
-                yield call(pdf.iloc[s:s + batch])
+            for _, own in pdf.groupby(keys, sort=False, dropna=False):
+                for at in range(0, len(own), rows_per_call):
+                    yield call(own.iloc[at:at + rows_per_call])
 
-    return df.mapInPandas(per_partition, schema)
+    sent = src.mapInPandas(calls, schema).withColumn("error", F.min("error").over(whole))
+    return sent.select(*df.columns, F.col("error").isNull().alias("ok"), "error",
+                       F.when(F.col("error").isNull(), F.col("vec")).alias("vec"))
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -125,95 +90,121 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.where(n == 0, 1.0, n)
 
 
-def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-                 qid_col: str = "query_id", qvec_col: str = "query_vec") -> DataFrame:
-    """Per query the k most cosine-similar base rows.
+def _usable(vec: str):
+    """Not null, and no component null or not a number."""
+    c = F.col(vec)
+    return F.coalesce(c.isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))), F.lit(False))
 
-    Output ``query_id, rank, id, score`` (score rounded to 6 places; ranks by
-    rounded score then id).
-    """
-    qsorted = queries.select(F.col(qid_col).alias("_qid"), F.col(qvec_col).alias("_qv"))
-    # Query sets are small by nature (search requests): one bounded collect
-    # decides. A larger set is cut into hash blocks of about
-    # MAX_BROADCAST_QUERIES / 2 vectors, each a separate scan of the base.
-    first = qsorted.limit(MAX_BROADCAST_QUERIES + 1).collect()
-    if not first:
-        raise ValueError("no queries")
+
+class _Best:
+    """The k best (score, id) of one query so far, with the rows they stand for."""
+
+    def __init__(self, k: int):
+        self.k, self.scores, self.ids, self.rows = k, np.empty(0), np.empty(0, object), []
+
+    def add(self, scores: np.ndarray, ids: np.ndarray, row_of) -> None:
+        if len(scores) > self.k:
+            worst = max(np.partition(scores, -self.k)[-self.k], self.scores[-1] if len(self.scores) == self.k else -np.inf)
+        else:
+            worst = self.scores[-1] if len(self.scores) == self.k else -np.inf
+        at = np.flatnonzero(scores >= worst)
+        s, i = np.concatenate([self.scores, scores[at]]), np.concatenate([self.ids, ids[at].astype(object)])
+        rows = self.rows + [row_of(n) for n in at]
+        best = sorted(range(len(s)), key=lambda n: (-s[n], i[n]))[:self.k]
+        self.scores, self.ids, self.rows = s[best], i[best], [rows[n] for n in best]
+
+
+def _query_blocks(queries: DataFrame, qid_col: str, qvec_col: str) -> list[list]:
+    """The usable queries in bounded blocks: one search request is one block."""
+    rows = queries.where(_usable(qvec_col)).select(F.col(qid_col).alias("_qid"), F.col(qvec_col).alias("_qv"))
+    first = rows.limit(MAX_BROADCAST_QUERIES + 1).collect()
     if len(first) <= MAX_BROADCAST_QUERIES:
-        parts = [first]
-    else:
-        n_q = queries.count()
-        n_blocks = 2 * ((n_q + MAX_BROADCAST_QUERIES - 1) // MAX_BROADCAST_QUERIES)
-        blk = qsorted.withColumn("_blk", F.pmod(F.xxhash64("_qid"), F.lit(n_blocks)))
-        parts = [blk.filter(F.col("_blk") == b).drop("_blk") for b in range(n_blocks)]
-    blocks = []
-    sc = base.sparkSession.sparkContext
-    id_type = base.schema[id_col].dataType
-    q_type = queries.schema[qid_col].dataType
-    schema = T.StructType([T.StructField(qid_col, q_type), T.StructField("id", id_type),
-                           T.StructField("score", T.DoubleType())])
-    src = spread(base.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v")))
-    for part in parts:
-        rows = part if isinstance(part, list) else part.collect()   # one bounded block
-        if not rows:
-            continue
+        return [first] if first else []
+    n = 2 * -(-rows.count() // MAX_BROADCAST_QUERIES)
+    blk = rows.withColumn("_blk", F.pmod(F.xxhash64("_qid"), F.lit(n)))
+    return [x for x in (blk.filter(F.col("_blk") == b).drop("_blk").collect() for b in range(n)) if x]
+
+
+def _top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str, qid_col: str, qvec_col: str,
+           keep: tuple[str, ...], candidates) -> DataFrame:
+    src = base.where(_usable(vec_col)).select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"), *keep)
+    schema = T.StructType([T.StructField(qid_col, queries.schema[qid_col].dataType),
+                           T.StructField("id", base.schema[id_col].dataType), T.StructField("score", T.DoubleType()),
+                           *[base.schema[c] for c in keep]])
+    found = None
+    for rows in _query_blocks(queries, qid_col, qvec_col):
         qids = [r["_qid"] for r in rows]
         if len(set(qids)) != len(qids):
             raise ValueError("query ids must be unique")
-        qmat = _unit(np.array([np.asarray(r["_qv"], dtype=np.float64) for r in rows]))
-        bq = sc.broadcast((qids, qmat))
+        q = base.sparkSession.sparkContext.broadcast((qids, _unit(np.array([r["_qv"] for r in rows], dtype=np.float64))))
 
-        def local_top(batches: Iterator[pd.DataFrame], bq=bq) -> Iterator[pd.DataFrame]:
-            ids_q, qm = bq.value
+        def local_top(batches: Iterator[pd.DataFrame], q=q) -> Iterator[pd.DataFrame]:
+            qids, qm = q.value
+            best = [_Best(k) for _ in qids]
             for pdf in batches:
                 if pdf.empty:
                     continue
                 bm = _unit(np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_v"]]))
-                sims = np.round(bm @ qm.T, SCORE_DIGITS)
-                ids = pdf["_id"].to_numpy()
-                kk = min(k, len(ids))
-                out_q, out_id, out_s = [], [], []
-                for j, qid in enumerate(ids_q):
-                    col = sims[:, j]
-                    order = np.lexsort((ids, -col))[:kk]
-                    out_q.extend([qid] * kk)
-                    out_id.extend(ids[order].tolist())
-                    out_s.extend(col[order].tolist())
-                yield pd.DataFrame({qid_col: out_q, "id": out_id, "score": out_s})
-
-        blocks.append(src.mapInPandas(local_top, schema))
-    if not blocks:
+                ids, payload = pdf["_id"].to_numpy(), [pdf[c].to_numpy() for c in keep]
+                for j, at in enumerate(candidates(bm, qm)):
+                    scores = np.round(bm[at] @ qm[j], SCORE_DIGITS)
+                    own = ids[at]
+                    best[j].add(scores, own, lambda n, at=at: tuple(p[at][n] for p in payload))
+            yield pd.DataFrame([(qid, i, s, *r) for qid, b in zip(qids, best) for s, i, r in zip(b.scores, b.ids, b.rows)],
+                               columns=[f.name for f in schema.fields])
+
+        part = src.mapInPandas(local_top, schema)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
         raise ValueError("no queries")
-    cand = blocks[0]
-    for b in blocks[1:]:
-        cand = cand.unionByName(b)
     w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col("id"))
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k) \
-        .select(qid_col, F.col("rank").cast("bigint"), "id", "score")
+    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(qid_col, F.col("rank").cast("bigint"), "id", "score", *keep))
+
+
+def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
+                 qid_col: str = "query_id", qvec_col: str = "query_vec", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per query the k most cosine-similar base rows.
+
+    Output ``query_id, rank, id, score`` (rounded to 6 places; ranks by rounded
+    score then id) and the ``keep`` columns of the base row, e.g. ``chunk_idx``
+    and ``chunk_txt``. Null vectors and vectors with null or NaN components
+    take no part. A partition keeps one running top k per query and emits it
+    once, so at most partitions x |queries| x k rows reach the final window.
+    """
+    every = lambda bm, qm: [slice(None)] * len(qm)
+    return _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, every)
+
+
+SIGNATURE_BITS, SIGNATURE_REACH = 384, 162
+PRIME = 2**31 - 1
+
+
+def signature_planes(dim: int, bits: int = SIGNATURE_BITS) -> np.ndarray:
+    """bits x dim random hyperplanes from an integer rule any engine can repeat."""
+    i = np.arange(bits * dim, dtype=np.int64)
+    h = (i * 48271 + 11) % PRIME
+    h = h * h % PRIME
+    return ((h * h + i) % PRIME / PRIME - 0.5).reshape(bits, dim)
 
 
 def approx_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-                 qid_col: str = "query_id", qvec_col: str = "query_vec", tables: int = 8,
-                 bucket_length: float = 0.5, seed: int = 7) -> DataFrame:
-    """E5: approximate top-k by cosine through LSH on unit vectors."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(df, idc, vc):
-        norm = F.sqrt(F.aggregate(F.col(vc), F.lit(0.0), lambda acc, x: acc + x.cast("double") * x))
-        u = F.transform(F.col(vc), lambda x: x.cast("double") / F.when(norm == 0, 1.0).otherwise(norm))
-        return df.select(F.col(idc).alias("_id"), array_to_vector(u).alias("features"))
-
-    b = unit(base, id_col, vec_col)
-    q = unit(queries, qid_col, qvec_col)
-    lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", numHashTables=tables,
-                                      bucketLength=bucket_length, seed=seed).fit(b)
-    pairs = lsh.approxSimilarityJoin(b, q, 2.0, distCol="dist")
-    cand = pairs.select(F.col("datasetB._id").alias(qid_col), F.col("datasetA._id").alias("id"),
-                        F.round(1 - F.col("dist") * F.col("dist") / 2, SCORE_DIGITS).alias("score"))
-    w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col("id"))
-    return cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k) \
-        .select(qid_col, F.col("rank").cast("bigint"), "id", "score")
+                 qid_col: str = "query_id", qvec_col: str = "query_vec", keep: tuple[str, ...] = (),
+                 bits: int = SIGNATURE_BITS, reach: int = SIGNATURE_REACH) -> DataFrame:
+    """E5: approximate top-k: exact scores only for rows whose sign signature is near the query's.
+
+    A signature has one bit per hyperplane. Unrelated vectors differ in half of
+    the bits, vectors at angle t in t/pi of them; rows that differ from the query
+    in at most ``reach`` bits are candidates. Signatures are compared by popcount inside the base partitions.
+    """
+
+    def near(bm: np.ndarray, qm: np.ndarray) -> list[np.ndarray]:
+        planes = signature_planes(bm.shape[1], bits).T
+        sign = lambda m: np.packbits(m @ planes > 0, axis=1)
+        b, q = sign(bm), sign(qm)
+        return [np.flatnonzero(np.bitwise_count(b ^ one).sum(axis=1, dtype=np.int64) <= reach) for one in q]
+
+    return _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, near)
 
 
 VECTOR_COLUMNS = ("application_id", "chunk_idx", "chunk_txt", "chunk_vec")

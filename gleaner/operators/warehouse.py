@@ -1,8 +1,7 @@
 """Table CRUD as set-based DataFrame operations.
 
 Plain Parquet tables have no in-place UPDATE/DELETE, so every mutating
-operation returns a *new snapshot* DataFrame (and ``write_snapshot`` puts it
-at a fresh path): updates are a join + ``coalesce``, deletes are a
+operation returns a *new snapshot* DataFrame: updates are a join + ``coalesce``, deletes are a
 ``left_anti`` join or a negated, null-safe filter. Id lists always travel as
 DataFrames and are joined, never inlined as a giant ``IN (...)`` literal.
 """
@@ -130,9 +129,13 @@ def update_where(base: DataFrame, where: Column, assignments: dict[str, Column])
 
 
 def update_by_ids(base: DataFrame, updates: DataFrame, key: str, fields: list[str]) -> DataFrame:
-    """Q6: per-id field update from an updates DataFrame (one row per id)."""
-    u = updates.select(F.col(key).alias("_k"), *[F.col(f).alias(f"_u_{f}") for f in fields],
-                       F.lit(True).alias("_hit"))
+    """Q6: per-id field update from an updates DataFrame.
+
+    Several updates of one id are reduced to the largest (by ``fields`` in
+    turn), so rows of ``base`` never multiply.
+    """
+    one = updates.groupBy(F.col(key).alias("_k")).agg(F.max(F.struct(*fields)).alias("_u"))
+    u = one.select("_k", *[F.col(f"_u.{f}").alias(f"_u_{f}") for f in fields], F.lit(True).alias("_hit"))
     joined = base.join(u, base[key] == u["_k"], "left")
     return joined.select(*[F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(base[c]).alias(c)
                            if c in fields else base[c] for c in base.columns])
@@ -141,13 +144,3 @@ def update_by_ids(base: DataFrame, updates: DataFrame, key: str, fields: list[st
 def delete_where(base: DataFrame, where: Column) -> DataFrame:
     """Q7: DELETE ... WHERE; rows where the predicate is null are kept."""
     return base.filter(~F.coalesce(where, F.lit(False)))
-
-
-def write_snapshot(df: DataFrame, spark: SparkSession, name: str) -> str:
-    """Write a snapshot to a fresh path under the shared checkpoint folder
-    (never overwrite a path that may still be read)."""
-    from gleaner.session import scratch_path
-
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return path

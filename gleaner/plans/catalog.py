@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import clean as C
 from gleaner.operators.chunk import chunk_stats, chunk_text
-from gleaner.operators.postings import clean_postings, validate_enriched
+from gleaner.operators.postings import clean_postings, route_dead_letters, validate_enriched
 from gleaner.plans import postings_fixture as PF
 from gleaner.plans.tables import table
 from gleaner.session import spread
@@ -226,7 +226,7 @@ def q_quarantine(spark, sf_dir):
     good, bad = validate_enriched(_clean(spark, sf_dir).withColumn("url", F.lit("u")),
                                   include_rule_errors=False)
     return (good.select(F.lit("good").alias("side"))
-            .unionByName(bad.select(F.lit("bad").alias("side")))
+            .unionByName(route_dead_letters(bad, stage_names=("bad",)).select(F.col("stage").alias("side")))
             .groupBy("side").agg(F.count(F.lit(1)).alias("n_rows")))
 
 

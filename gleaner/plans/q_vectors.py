@@ -14,19 +14,12 @@ from gleaner.plans.tables import table
 from gleaner.sources.topics import url_frontier
 
 _TOKEN_RE = "[^ \\t\\n\\r\\f\\x0B]+"   # one token = a run of non-whitespace
-
-
-def _tok(col: str):
-    return F.size(F.regexp_extract_all(F.col(col), F.lit(_TOKEN_RE), F.lit(0))).cast("bigint")
-
-
 _D_TOK = f"CAST(len(regexp_extract_all(chunk_txt, '{_TOKEN_RE}')) AS BIGINT)"
 _D_CHUNK_TOK = f"SELECT *, {_D_TOK} AS tokens FROM ({_D_CHUNKS})"
 
 
 def _chunk_tokens(spark, sf_dir):
-    c = _chunks(spark, sf_dir)
-    return c.withColumn("tokens", _tok("chunk_txt")).withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
+    return B.with_tokens(_chunks(spark, sf_dir), "chunk_txt").withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
 
 
 # -- A1 / A2 -------------------------------------------------------------------------
@@ -34,8 +27,7 @@ def _chunk_tokens(spark, sf_dir):
 @register("A1_count_tokens", f"SELECT doc_id, COUNT(*) AS n_chunks, CAST(SUM(tokens) AS BIGINT) AS tokens "
                              f"FROM ({_D_CHUNK_TOK}) GROUP BY doc_id")
 def q_count_tokens(spark, sf_dir):
-    c = _chunks(spark, sf_dir).withColumn("tokens", _tok("chunk_txt"))
-    return c.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("tokens").cast("bigint").alias("tokens"))
+    return B.count_tokens(_chunks(spark, sf_dir), "chunk_txt", ["doc_id"])
 
 
 _MODEL_OF_DOC = ("CASE doc_id % 3 WHEN 0 THEN 'nomic-embed-text' WHEN 1 THEN 'text-embedding-3-small' "
@@ -145,11 +137,26 @@ def q_yield(spark, sf_dir):
 
 # -- E1 / E4 / E5 / E6 / S7 ------------------------------------------------------------------
 
-@register("E1_embed_chunks", f"SELECT doc_id, chunk_idx, true AS ok, 64 AS dim FROM ({_D_CHUNKS})")
+def letter_statistics(texts: list[str]):
+    """A small embedding that SQL can repeat; it refuses texts with a pipe, so some requests fail."""
+    if any("|" in t for t in texts):
+        raise ValueError("a pipe in the text")
+    return [[len(t), t.count(" "), t.count("e"), t.count("\n")] for t in texts]
+
+
+@register("E1_embed_chunks", f"""
+SELECT doc_id, chunk_idx, ok, CASE WHEN ok THEN 4 END AS dim,
+       CASE WHEN ok THEN CAST(length(chunk_txt) + 10 * (length(chunk_txt) - length(replace(chunk_txt, ' ', '')))
+         + 100 * (length(chunk_txt) - length(replace(chunk_txt, 'e', '')))
+         + 1000 * (length(chunk_txt) - length(replace(chunk_txt, chr(10), ''))) AS BIGINT) END AS checked
+FROM (SELECT *, NOT bool_or(contains(chunk_txt, '|')) OVER (PARTITION BY doc_id) AS ok FROM ({_D_CHUNKS}))""")
 def q_embed(spark, sf_dir):
-    c = _chunk_tokens(spark, sf_dir).select("doc_id", "chunk_idx", "chunk_txt")
-    e = V.embed_chunks(c, V.feature_hash_embedder(64), "chunk_txt", batch=64, dim=64)
-    return e.select("doc_id", "chunk_idx", "ok", F.size("vec").alias("dim"))
+    c = _chunks(spark, sf_dir).select("doc_id", F.col("chunk_idx").cast("bigint").alias("chunk_idx"), "chunk_txt")
+    e = V.embed_chunks(c, letter_statistics, request="doc_id", dim=4)
+    total = F.aggregate(F.zip_with("vec", F.array(*[F.lit(x) for x in (1, 10, 100, 1000)]), lambda v, w: v.cast("bigint") * w),
+                        F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return e.select("doc_id", "chunk_idx", "ok", F.when(F.col("ok"), F.size("vec")).alias("dim"),
+                    F.when(F.col("ok"), total).alias("checked"))
 
 
 def label_centroids(spark, sf_dir):
@@ -172,12 +179,32 @@ SELECT query_id, CAST(rank AS BIGINT) AS rank, id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5"""
 
 
-@register("E4_cosine_top_k", _D_TOPK)
+@register("E4_cosine_top_k", _D_TOPK.replace("SELECT query_id, CAST(rank AS BIGINT) AS rank, id, score FROM",
+                                              "SELECT query_id, CAST(rank AS BIGINT) AS rank, r.id, score, e.label AS chunk_idx, "
+                                              "'vector ' || r.id AS chunk_txt FROM")
+          .replace(") WHERE rank <= 5", ") r JOIN embeddings e ON e.vec_id = r.id WHERE rank <= 5"))
 def q_topk(spark, sf_dir):
-    return V.cosine_top_k(table(spark, sf_dir, "embeddings"), label_centroids(spark, sf_dir), 5)
+    base = table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id", "embedding", "label AS chunk_idx", "'vector ' || vec_id AS chunk_txt")
+    return V.cosine_top_k(base, label_centroids(spark, sf_dir), 5, keep=("chunk_idx", "chunk_txt"))
+
+
+# the same hyperplanes from the same integer rule
+_D_APPROX = _D_TOPK.split("s AS (")[0] + f"""
+i AS (SELECT unnest(range({V.SIGNATURE_BITS} * 64)) AS i),
+h AS (SELECT i, (i * 48271 + 11) % {V.PRIME} AS a, a * a % {V.PRIME} AS h FROM i),
+p AS (SELECT i // 64 AS bit, list(CAST((h * h + i) % {V.PRIME} AS DOUBLE) / {V.PRIME} - 0.5 ORDER BY i) AS plane FROM h GROUP BY 1),
+bs AS (SELECT vec_id, bit, list_inner_product(v, plane) > 0 AS s FROM e CROSS JOIN p),
+qs AS (SELECT label, bit, list_inner_product(q, plane) > 0 AS s FROM c CROSS JOIN p),
+n AS (SELECT qs.label, bs.vec_id FROM qs JOIN bs USING (bit) GROUP BY ALL
+      HAVING count(*) FILTER (WHERE qs.s <> bs.s) <= {V.SIGNATURE_REACH}),
+s AS (SELECT c.label AS query_id, e.vec_id AS id, round(list_cosine_similarity(e.v, c.q), 6) AS score
+      FROM n JOIN e USING (vec_id) JOIN c ON c.label = n.label)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5"""
 
 
-@register("E5_approx_top_k", None)
+@register("E5_approx_top_k", _D_APPROX)
 def q_approx(spark, sf_dir):
     return V.approx_top_k(table(spark, sf_dir, "embeddings"), label_centroids(spark, sf_dir), 5)
 
@@ -212,9 +239,12 @@ def q_collection(spark, sf_dir):
     W.create_vectors(spark, name, 64, 512)          # present: a no-op
     rows = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("application_id"), F.col("label").cast("bigint").alias("chunk_idx"),
-        F.lit("").alias("chunk_txt"), F.col("embedding").alias("chunk_vec"))
+        F.concat(F.lit("vector "), "vec_id").alias("chunk_txt"), F.col("embedding").alias("chunk_vec"))
     good, _ = V.check_vectors(rows, 64, 512)
     W.append_table(good, name)
-    back = spark.table(name).groupBy(F.col("chunk_idx").cast("int").alias("label")).agg(
+    path = scratch_path(spark, name)
+    spark.table(name).write.parquet(path)             # the collection goes, what was read from it stays
+    W.drop_vectors(spark, name)
+    W.drop_vectors(spark, name)                       # absent: a no-op
+    return spark.read.parquet(path).groupBy(F.col("chunk_idx").cast("int").alias("label")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(F.size("chunk_vec")).alias("dim"))
-    return back

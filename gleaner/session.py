@@ -8,6 +8,7 @@ defaults while a cluster keeps its own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -55,6 +56,11 @@ def _apply_defaults(spark: SparkSession) -> None:
     checkpoint_dir(spark)
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage-cutting tables.
 
@@ -65,6 +71,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="gleaner-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -80,21 +88,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin rows over the task slots when a scan yields fewer
-    partitions than there are slots (a small single-row-group file is one
-    split). CPU-heavy passes (regex rules, Arrow/Python passes) then use every
-    core. On large inputs the scan already has enough splits and this is a
-    no-op, so it never adds a shuffle at scale. ``repartition(n)`` by number
-    is not coalesced back by AQE.
+def spread(df, partitions: int | None = None):
+    """Round-robin a small fixture table over the task slots.
+
+    For fixtures only: a one-file table is one split, and the CPU-heavy pass
+    after it would run on one core. Operators never call this; a large scan
+    has splits enough.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming:
-        return df
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    if "Exchange" in plan:
-        # already spread over shuffle partitions; asking an adaptive plan for
-        # its partition count could run its shuffle stages an extra time
-        return df
-    n = df.rdd.getNumPartitions()
-    return df if n >= target else df.repartition(target)
+    return df if df.isStreaming else df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)

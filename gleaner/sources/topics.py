@@ -28,14 +28,6 @@ RETENTION_HOURS = 24
 SEGMENT_HOURS = 12
 
 
-def kafka_available(spark: SparkSession) -> bool:
-    try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
-        return True
-    except Exception:
-        return False
-
-
 def ensure_dir(spark: SparkSession, path: str) -> None:
     """Create a folder through the Hadoop FileSystem API (works for any
     cluster file system, not only local disks)."""
@@ -115,6 +107,17 @@ def to_envelope(df: DataFrame, topic: str | Column, key: str | Column | None, va
                      k.cast("binary").alias("key"), v.cast("binary").alias("value"))
 
 
+def next_offset(spark: SparkSession, sink: str) -> int:
+    """One past the largest offset of the landed topics under ``sink``."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(sink)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p) or not any(st.getPath().getName().startswith("topic=") for st in fs.listStatus(p)):
+        return 0
+    top = spark.read.schema("offset bigint").option("recursiveFileLookup", "true").parquet(sink).agg(F.max("offset").alias("top")).first().top
+    return 0 if top is None else top + 1
+
+
 def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
             checkpoint: str | None = None, trigger: dict | None = None, query_name: str | None = None):
     """Keyed append to a topic.
@@ -134,6 +137,10 @@ def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
     out = df.select(t.alias("topic"), k.alias("key"), F.col("value").cast("binary").alias("value"),
                     *[c for c in ("partition", "offset", "timestamp") if c in cols])
     kafka = sink.startswith("kafka://")
+    if not kafka and "offset" not in cols and not df.isStreaming:
+        # unique and growing over publishes, with gaps as a broker's may have
+        out = out.withColumn("offset", F.lit(next_offset(df.sparkSession, sink)) + F.monotonically_increasing_id())
+        cols = [*cols, "offset"]
     if not kafka:
         out = to_envelope(out, F.col("topic"), F.col("key"), F.col("value"),
                           F.col("partition") if "partition" in cols else None,
@@ -187,18 +194,20 @@ def retain(landed: DataFrame, now, hours: int = RETENTION_HOURS, segment_hours:
 
     Rows fall into ``segment_hours`` segments; a whole segment is deleted
     once its *end* is older than ``now - hours`` (so rows may outlive the
-    retention by up to one segment, as with the broker's policy).
+    retention by up to one segment, as with the broker's policy). The oldest
+    kept segment is known beforehand, so the filter is one comparison with a
+    literal, which reaches the scan. ``now`` is wall-clock time
+    (a ``datetime`` or ISO text).
     """
-    seg = F.lit(segment_hours * 3600)
-
-    def wall_secs(x):
-        # wall-clock seconds (timestamp_ntz), independent of the session zone
-        return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                               x.cast("timestamp_ntz"))
-
-    seg_end = (F.floor(wall_secs(F.col(ts)) / seg) + 1) * seg
-    cutoff = wall_secs(F.lit(now)) - F.lit(hours * 3600)
-    return landed.filter(seg_end >= cutoff)
+    from datetime import datetime, timedelta
+
+    moment = datetime.fromisoformat(now) if isinstance(now, str) else now
+    epoch, segment = datetime(1970, 1, 1), timedelta(hours=segment_hours)
+    # kept: end of segment >= now - hours, that is start >= now - hours - segment
+    behind = moment.replace(tzinfo=None) - timedelta(hours=hours) - segment - epoch
+    oldest = epoch + -(-behind // segment) * segment
+    kind = dict(landed.dtypes)[ts]
+    return landed.filter(F.col(ts) >= F.lit(oldest.isoformat(sep=" ")).cast(kind))
 
 
 def compact_by_key(landed: DataFrame) -> DataFrame:

@@ -62,10 +62,19 @@ def drain(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: s
     return q
 
 
-def seq_now() -> "F.Column":
-    """Write order across writers: ingest time in microseconds, with a
-    per-row tiebreak inside one batch."""
-    return F.unix_micros(F.current_timestamp()) * F.lit(1000) + F.monotonically_increasing_id() % F.lit(1000)
+ROW_BITS, PARTITION_BITS = 24, 14
+
+
+def seq_in(batch_id: int) -> "F.Column":
+    """Write order of a batch's rows: batch, then input partition, then row.
+
+    It follows the source's order and not the clock, so a batch that is run
+    again numbers its rows as before. Holds 2^24 rows in each of 2^14
+    partitions of a batch.
+    """
+    at = F.monotonically_increasing_id()
+    return (F.lit(batch_id << (ROW_BITS + PARTITION_BITS)) + F.shiftleft(F.shiftright(at, 33), ROW_BITS)
+            + at.bitwiseAND(F.lit((1 << 33) - 1)))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -129,18 +138,18 @@ class NewOnlyWriter:
         self.lake, self.on_new, self.writer, self.base = lake, on_new, writer, base_batch
         self.compact_every = compact_every
         self.to_changes = to_changes or (lambda df, b: L.upsert_postings(
-            df.withColumn("_seq", seq_now()).withColumn("created_at", F.current_timestamp().cast("timestamp_ntz")),
-            b))
+            df.withColumn("_seq", seq_in(b)).withColumn("created_at", (
+                F.col("timestamp") if "timestamp" in df.columns else F.current_timestamp()).cast("timestamp_ntz")), b))
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         b = self.base + batch_id
         changes = self.to_changes(df, b).persist()
         try:
-            # only batches < b are consulted, so writing batch b below cannot
-            # change this result: a retry recomputes exactly the same rows
-            seen = self.lake.keys(self.writer, b)
-            self.on_new(L.new_only(changes, seen, b, writer=self.writer), b)
+            # only batches < b are consulted, so writing batch b cannot change
+            # what is new: the write comes first, nothing is passed on if it
+            # fails, and a retry passes on exactly the same rows
             self.lake.append(changes, self.writer)
+            self.on_new(L.new_only(changes, self.lake.keys(self.writer, b), b, writer=self.writer), b)
         finally:
             changes.unpersist()
         if self.compact_every and b > 0 and (b + 1) % self.compact_every == 0:
@@ -155,18 +164,27 @@ class NewOnlyWriter:
 
 @dataclass
 class PipelineConfig:
-    topics_root: str                     # landed topics folder or kafka://servers
+    topics_root: str                     # folder of landed topics
     lake_root: str
     checkpoint_root: str
     pages: DataFrame                     # fetch results: url, html, success
+    dead_letters: str                    # folder for every row that a stage rejects
     list_template: str = S.LIST_URL_TEMPLATE
     detail_template: str = C.DEFAULT_URL_TEMPLATE
     trigger: dict = field(default_factory=lambda: {"availableNow": True})
-    dead_letters: str | None = None      # folder for quarantined rows
+
+    def __post_init__(self):
+        if self.topics_root.startswith("kafka://"):
+            raise ValueError("the staged pipeline works on landed topics; land Kafka topics with read_topics and publish")
 
     def ckpt(self, stage: str) -> str:
         return f"{self.checkpoint_root.rstrip('/')}/{stage}"
 
+    def reject(self, bad: DataFrame, stage: str, batch_id: int) -> None:
+        """Dead letters of one stage and batch; a batch run again replaces its own."""
+        (P.route_dead_letters(bad, stage_names=(stage,)).drop("stage").write.mode("overwrite")
+         .parquet(f"{self.dead_letters.rstrip('/')}/stage={stage}/batch={batch_id}"))
+
 
 T = S.TOPICS
 
@@ -174,34 +192,37 @@ T = S.TOPICS
 def stage_list_extract(spark: SparkSession, cfg: PipelineConfig):
     """Stage 1: list commands -> page urls -> fetched list pages (packed)."""
     cmds = S.read_topics(spark, cfg.topics_root, [T["list_commands"]])
-    good, _ = M.decode_envelope(cmds, M.LIST_PARAMS, M.LIST_DEFAULTS)
-    urls = S.url_frontier(M.dispatch_action(good, M.ACTION_EXTRACT), cfg.list_template)
-    fetched = urls.join(cfg.pages, "url", "left")
-    ok, _ = S.split_fetch_results(fetched)
-    packed = M.pack_html(ok, "html")
-    return S.publish(packed, T["list_pages"], cfg.topics_root, checkpoint=cfg.ckpt("s1"),
-                     trigger=cfg.trigger, query_name="s1_list_extract")
+    base = resolve_base(spark, cfg.ckpt("s1"), [S.topic_path(cfg.topics_root, T["list_pages"])])
 
+    def batch(df: DataFrame, batch_id: int) -> None:
+        good, bad = M.decode_envelope(df.persist(), M.LIST_PARAMS, M.LIST_DEFAULTS)
+        cfg.reject(bad, "list_commands", base + batch_id)
+        urls = S.url_frontier(M.dispatch_action(good, M.ACTION_EXTRACT), cfg.list_template)
+        ok, _ = S.split_fetch_results(urls.join(cfg.pages, "url", "left"))
+        emit(M.pack_html(ok, "html"), T["list_pages"], cfg.topics_root, base + batch_id)
+        df.unpersist()
+
+    return micro_batch(cmds, batch, cfg.ckpt("s1"), trigger=cfg.trigger, query_name="s1_list_extract")
 
-def cards(list_pages: DataFrame, template: str) -> tuple[DataFrame, DataFrame]:
+
+def cards(list_pages: DataFrame, template: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Stage 2 body: list pages -> (job_id, role, url) cards, plus rejects."""
     links = H.extract_links(list_pages, "html", "a", where={"role": "button"},
-                            attrs=("href", "aria-label"), within="main")
+                            attrs=("href", "aria-label"), within="main", keep=keep)
     jid = C.job_id("href")
     role = C.clean_role("aria_label")
-    rows = links.select(jid.alias("job_id"), role.alias("role"), "href", "aria_label")
+    rows = links.select(*keep, jid.alias("job_id"), role.alias("role"), "href", "aria_label")
     rows = rows.withColumn("url", C.canonical_url("job_id", template))
     tagged = P.barrier(rows.withColumn("_errors", F.filter(F.array(
         F.when(F.col("job_id").isNull(), F.lit("H2_job_id")),
         F.when(F.col("role").isNull(), F.lit("H3_role"))), lambda e: e.isNotNull())), "cards")
-    return (tagged.filter(F.size("_errors") == 0).select("job_id", "role", "url"),
+    return (tagged.filter(F.size("_errors") == 0).select(*keep, "job_id", "role", "url"),
             tagged.filter(F.size("_errors") > 0))
 
 
 def stage_cards(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     """Stage 2: list pages -> upsert postings -> detail commands for NEW keys."""
     pages = S.read_topics(spark, cfg.topics_root, [T["list_pages"]])
-    good, _ = M.unpack_html(pages)
 
     def on_new(new: DataFrame, b: int) -> None:
         msgs = M.encode_envelope(new.select("job_id", "role", "url"), M.ACTION_EXTRACT,
@@ -213,36 +234,36 @@ def stage_cards(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     writer = NewOnlyWriter(lake, on_new, base_batch=base)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        df = df.persist()                 # read + inflate once for both outputs
-        ok, bad = cards(df, cfg.detail_template)
+        good, broken = M.unpack_html(df, keep=("timestamp",))
+        good = M.dispatch_action(good, M.ACTION_TRANSFORM).persist()      # read and inflate once for both outputs
+        ok, bad = cards(good, cfg.detail_template, keep=("timestamp",))
         writer(ok, batch_id)
-        if cfg.dead_letters:
-            P.route_dead_letters(bad, stage_names=("cards",)).write.mode("append").parquet(cfg.dead_letters)
-        df.unpersist()
+        cfg.reject(broken, "list_pages", base + batch_id)
+        cfg.reject(bad, "cards", base + batch_id)
+        good.unpersist()
 
-    return micro_batch(good, batch, cfg.ckpt("s2"), trigger=cfg.trigger, query_name="s2_cards")
+    return micro_batch(pages, batch, cfg.ckpt("s2"), trigger=cfg.trigger, query_name="s2_cards")
 
 
 def stage_detail_extract(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     """Stage 3: detail commands -> fetch status + packed body html."""
     cmds = S.read_topics(spark, cfg.topics_root, [T["detail_commands"]])
-    good, _ = M.decode_envelope(cmds, M.DETAIL_PARAMS)
-    fetched = M.dispatch_action(good, M.ACTION_EXTRACT).join(cfg.pages, "url", "left")
     base = resolve_base(spark, cfg.ckpt("s3"), [f"{lake.log_path}/_writer=status",
                                                 S.topic_path(cfg.topics_root, T["detail_pages"])])
 
     def batch(df: DataFrame, batch_id: int) -> None:
         batch_id = base + batch_id
-        df = df.withColumn("_seq", seq_now()).persist()
-        ok, status = S.split_fetch_results(df)
-        lake.append(L.set_status(status.withColumn("_seq", seq_now()), batch_id, ok="e2_success"), "status")
-        body = ok.select("url", H.main_html("html").alias("html"),
-                         F.current_timestamp().cast("timestamp_ntz").alias("created_at"))
+        good, bad = M.decode_envelope(df, M.DETAIL_PARAMS, keep=("timestamp",))
+        fetched = M.dispatch_action(good, M.ACTION_EXTRACT).join(cfg.pages, "url", "left").persist()
+        ok, status = S.split_fetch_results(fetched)
+        lake.append(L.set_status(status.withColumn("_seq", seq_in(batch_id)), batch_id, ok="e2_success"), "status")
+        body = ok.select("url", H.main_html("html").alias("html"), F.col("timestamp").cast("timestamp_ntz").alias("created_at"))
         emit(M.pack_html(body, "html", url="url", created_at="created_at"), T["detail_pages"],
              cfg.topics_root, batch_id)
-        df.unpersist()
+        cfg.reject(bad, "detail_commands", batch_id)
+        fetched.unpersist()
 
-    return micro_batch(fetched, batch, cfg.ckpt("s3"), trigger=cfg.trigger, query_name="s3_detail_extract")
+    return micro_batch(cmds, batch, cfg.ckpt("s3"), trigger=cfg.trigger, query_name="s3_detail_extract")
 
 
 ENRICHED = list(P.CLEAN_FIELDS) + ["url", "scraped_at"]
@@ -251,24 +272,23 @@ ENRICHED = list(P.CLEAN_FIELDS) + ["url", "scraped_at"]
 def stage_detail_transform(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     """Stage 4: detail pages -> fields -> clean -> validate -> lake + load topic."""
     pages = S.read_topics(spark, cfg.topics_root, [T["detail_pages"]])
-    good, _ = M.unpack_html(pages)
     base = resolve_base(spark, cfg.ckpt("s4"), [f"{lake.log_path}/_writer=enriched",
                                                 S.topic_path(cfg.topics_root, T["load"])])
 
     def batch(df: DataFrame, batch_id: int) -> None:
         batch_id = base + batch_id
-        fields = H.detail_fields(df, "html", keep=("url", "created_at"))
+        good, broken = M.unpack_html(df)
+        fields = H.detail_fields(M.dispatch_action(good, M.ACTION_TRANSFORM), "html", keep=("url", "created_at"))
         # one Python pass per batch: both validation outputs read the cache
-        clean = P.clean_postings(fields, "created_at").withColumn("_seq", seq_now()).persist()
+        clean = P.clean_postings(fields, "created_at").withColumn("_seq", seq_in(batch_id)).persist()
         ok, bad = P.validate_enriched(clean)
         lake.append(L.upsert_enriched(ok, batch_id, ENRICHED), "enriched")
         emit(M.encode_load_record(ok), T["load"], cfg.topics_root, batch_id)
-        if cfg.dead_letters:
-            P.route_dead_letters(bad.drop("_seq"), stage_names=("clean",)).write.mode("append") \
-                .parquet(cfg.dead_letters)
+        cfg.reject(broken, "detail_pages", batch_id)
+        cfg.reject(bad.drop("_seq"), "clean", batch_id)
         clean.unpersist()
 
-    return micro_batch(good, batch, cfg.ckpt("s4"), trigger=cfg.trigger, query_name="s4_detail_transform")
+    return micro_batch(pages, batch, cfg.ckpt("s4"), trigger=cfg.trigger, query_name="s4_detail_transform")
 
 
 def start_command(spark: SparkSession, root: str, start_page: int = 1, end_page: int = 40,

@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 # covered by test_pipeline / test_operators
 EAGER = {"T1_T2_T3_pipeline_load", "T4_new_only_stream", "S9_lake_scan_compact", "S6_applications_table",
          "S7_vector_collection", "S1_S2_publish_read_topics", "S3_replay", "M7_M8_load_record"}
-PYTHON_PASSES = {"M3_pack_unpack_html", "H6_C9_detail_fields", "E1_embed_chunks", "E4_cosine_top_k",
+PYTHON_PASSES = {"M3_pack_unpack_html", "H6_C9_detail_fields", "E1_embed_chunks", "E4_cosine_top_k", "E5_approx_top_k",
                  "A3_A4_budget", "A5_usage_report"}
 
 

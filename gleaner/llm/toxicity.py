@@ -36,8 +36,8 @@ HELD_OUT_FOLD = 0
 DECAY = 0.75
 LETTERS = 36                 # a-z and ten classes of other letters
 LONGEST = 24                 # letters of a unit; longer words are taken in overlapping windows
-LANDMARKS = 400
-NEGATIVES = 12_000
+LANDMARKS = 300
+NEGATIVES = 8000
 ROUNDS = 4
 CHANCE = 0.98                # quantile of surprise under shuffled labels that a witness must exceed
 COST = 5.0
@@ -119,7 +119,7 @@ def by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
         groups.setdefault(len(w), []).append(i)
     for length, where in groups.items():
         if length >= 3:
-            step = max(1, 4_000_000 // max(1, len(triples(length)[1])))
+            step = max(1, 1_000_000 // max(1, len(triples(length)[1])))
             for at in range(0, len(where), step):
                 some = where[at:at + step]
                 yield np.array(some), [words[i] for i in some]
@@ -145,7 +145,8 @@ def landmark_features(words: list[str]) -> np.ndarray:
         numbers, weight = features(codes(some))
         for j, row in zip(where, numbers):
             np.add.at(out[:, j], row, weight)
-    return out / np.maximum(np.sqrt((out * out).sum(axis=0)), 1e-6)
+    out /= np.maximum(np.sqrt(np.einsum("ij,ij->j", out, out)), 1e-6)
+    return out
 
 
 # --- the machine ------------------------------------------------------------------
@@ -157,8 +158,8 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float)
     ridge[-1, -1] = 1e-3
     for _ in range(25):
         inside = y * (x @ w) < 1
-        xa = x[inside] * weight[inside, None]
-        new = np.linalg.solve(ridge + cost * xa.T @ x[inside], cost * xa.T @ y[inside])
+        xi = x[inside] * np.sqrt(weight[inside, None])
+        new = np.linalg.solve(ridge + cost * xi.T @ xi, cost * xi.T @ (y[inside] * np.sqrt(weight[inside])))
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -172,8 +173,8 @@ def fit_machine(positive: list[str], negative: list[str], weight: np.ndarray, la
     values, vectors = np.linalg.eigh(gram)
     use = values > 1e-4 * values.max()
     root = vectors[:, use] / np.sqrt(values[use])                # gram^(-1/2) on its range
-    k = project(positive + negative, z).astype(float)
-    x = np.hstack([k @ root, np.ones((len(k), 1))])
+    x = np.ones((len(positive) + len(negative), root.shape[1] + 1))
+    np.matmul(project(positive + negative, z), root, out=x[:, :-1])
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
     w = squared_hinge(x, y, weight, COST)
     return (z @ (root @ w[:-1])).astype(np.float32)[:, None], float(w[-1])
@@ -207,14 +208,15 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def grams_of(words: set[str]) -> set[str]:
+    """Letter runs of 4 and 5."""
     return {w[i:i + n] for w in words for n in (4, 5) for i in range(max(1, len(w) - n + 1))}
 
 
-def surprise(grams: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
-    """Log-likelihood ratio of letter runs of 4 and 5 for toxic documents: where to start looking."""
+def surprise(docs: list[set[str]], toxic: np.ndarray) -> dict[str, float]:
+    """Log-likelihood ratio of letter runs for toxic documents: where to start looking."""
     pos, neg = Counter(), Counter()
-    for own, t in zip(grams, toxic):
-        (pos if t else neg).update(own)
+    for words, t in zip(docs, toxic):            # a document's runs are not kept: they are many
+        (pos if t else neg).update(grams_of(words))
     n_pos, n_neg = max(1, toxic.sum()), max(1, (~toxic).sum())
     out = {}
     for g, a in pos.items():
@@ -251,9 +253,16 @@ def fit(texts: list[bytes], labels: list[int]) -> Model:
     if not len(toxic) or not toxic.any() or toxic.all():
         return constant(float(toxic.mean()) if len(toxic) else 0.0)
     found: list[list[str]] = []              # units of each text, sentence by sentence
+    seen: dict[bytes, list[str]] = {}        # one string object for each distinct unit
     for t in texts:
-        sentences = SENTENCE.split(t.decode("utf-8", "replace"))
-        found.append([u for s in sentences for tok in tokens_of(s.encode()) for u in units_of(tok)])
+        own: list[str] = []
+        for s in SENTENCE.split(t.decode("utf-8", "replace")):
+            for tok in tokens_of(s.encode()):
+                if tok not in seen:
+                    seen[tok] = units_of(tok)
+                own += seen[tok]
+        found.append(own)
+    del seen
     kept = np.zeros(len(toxic), bool)
     for label in (True, False):
         kept[np.flatnonzero(toxic == label)[::4][:-1]] = True
@@ -269,11 +278,11 @@ def fit(texts: list[bytes], labels: list[int]) -> Model:
     # a unit may stand for a toxic document if its runs surprise more than those of documents with shuffled
     # labels do; a document without such a unit (its label is noise, or its insult unique) names no positive
     rnd = np.random.default_rng(SEED)
-    grams = [grams_of(d) for d in docs]
-    first = surprise(grams, toxic)
+    first = surprise(docs, toxic)
     shuffled = rnd.permutation(toxic)
-    by_chance = surprise(grams, shuffled)
-    chance = np.quantile([max((by_chance.get(g, 0.0) for g in own), default=0.0) for own, t in zip(grams, shuffled) if t], CHANCE)
+    by_chance = surprise(docs, shuffled)
+    chance = np.quantile([max((by_chance.get(g, 0.0) for g in grams_of(d)), default=0.0) for d, t in zip(docs, shuffled) if t], CHANCE)
+    del by_chance
     margin = np.array([max((first.get(g, 0.0) for g in grams_of({w})), default=0.0) for w in words])
     eligible = (margin > chance) & ~clean
     sure = None                                        # at first: every unit at least half as surprising as the text's worst

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,5 +52,15 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def worker_state(name: str) -> dict:
+    """A dictionary that lives as long as the Python worker.
+
+    The package is shipped by value, so a module's own globals are new in each
+    task; what later tasks should find again (loaded vocabularies, encoded
+    words) is kept under a module name of its own.
+    """
+    return sys.modules.setdefault("gleaner_worker_state", ModuleType("gleaner_worker_state")).__dict__.setdefault(name, {})
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -31,14 +31,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import spark_read, text_of, write_scratch
+from gleaner.llm.common import spark_read, text_of, worker_state, write_scratch
 
 CAPACITY = 4096
 GRAIN = 16
 GAP = 0.001                 # the linear program ends this near its bound
-MAX_CACHED = 1_000_000      # words remembered by a Python worker between batches
+MAX_CACHED = 800_000        # words remembered by a Python worker
 STOPS = b".,;:!?"
-_WORKER: dict = {}
 
 
 # --- tokens -----------------------------------------------------------------
@@ -102,9 +101,10 @@ class WordCache:
 
 
 def word_cache(path: str) -> WordCache:
-    if path not in _WORKER:
-        _WORKER[path] = WordCache(path)
-    return _WORKER[path]
+    held = worker_state("packing words")
+    if path not in held:
+        held[path] = WordCache(path)
+    return held[path]
 
 
 def pieces(docs: DataFrame, path: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:

@@ -22,6 +22,7 @@ by the number of classes.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ from gleaner.llm.common import spark_read, text_of, worker_state, write_scratch
 CAPACITY = 4096
 GRAIN = 16
 GAP = 0.001                 # the linear program ends this near its bound
-MAX_CACHED = 800_000        # words remembered by a Python worker
+MAX_CACHED = 1_600_000        # words remembered by a Python worker
 STOPS = b".,;:!?"
 
 
@@ -51,7 +52,8 @@ class WordCache:
     of its words in turn. It lower-cases, so ASCII words are looked up in lower
     case; and a match of letters ends where punctuation begins, so the stops
     after an ASCII letter are looked up apart. Each form is encoded by the
-    library once, many at a time with a special string between them.
+    library once, many at a time with a special string between them. Words with
+    a special string in any case of letters are encoded as they are.
     """
 
     def __init__(self, path: str):
@@ -64,7 +66,7 @@ class WordCache:
         self.known: dict[bytes, bytes] = {}
         special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         self.between, self.between_id = max(special.items())
-        self.special = [s.encode() for s in special]
+        self.special = re.compile(b"|".join(re.escape(s.encode()) for s in special), re.IGNORECASE).search
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if len(self.known) > MAX_CACHED:
@@ -77,20 +79,21 @@ class WordCache:
         return [b"".join([known[w] for w in ws]) for ws in words]
 
     def forms(self, word: bytes) -> tuple[bytes, ...]:
-        if any(s in word for s in self.special):
+        if self.special(word):
             return (word,)
-        lower = word.lower()
-        if not word.isascii() or any(s in lower for s in self.special):
-            lower = word
+        lower = word.lower() if word.isascii() else word
         core = lower.rstrip(STOPS)
         if core != lower and core[-1:].isalpha():
             return core, lower[len(core):]
         return (lower,)
 
     def look_up(self, forms: list[bytes]) -> None:
-        plain = [f for f in forms if not any(s in f for s in self.special)]
-        for f in set(forms) - set(plain):
-            self.known[f] = np.array(self.library.encode(f.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        plain = []
+        for f in forms:
+            if self.special(f):
+                self.known[f] = np.array(self.library.encode(f.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                plain.append(f)
         for at in range(0, len(plain), 512):
             some = plain[at:at + 512]
             ids = np.array(self.library.encode(self.between.join([f.decode() for f in some]), add_special_tokens=False).ids, "<u4")

@@ -121,20 +121,20 @@ def _fold(src: DataFrame, tl: int | None, ul: int | None, price_u: int) -> DataF
 
 def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "tokens",
            token_limit: float | None = None, usd_limit: float | None = None,
-           price: float | None = None, splits: int = 16, partitions: int | None = None,
-           mode: str = "auto") -> DataFrame:
+           price: float | None = None, partitions: int | None = None) -> DataFrame:
     """A3/A4: admit requests in ``order`` within each ``key`` under the limits.
 
     Token limit first; a request refused by tokens consumes nothing. Then the
     USD limit on ``tokens * price``; a request refused by USD keeps its
     tokens spent (as in the reference). Adds ``tok_ok`` and ``admitted``.
 
-    Exact and parallel, also for a key holding most of the rows:
+    Exact and parallel, also for a key holding most of the rows, whatever
+    sortable types ``order`` has:
 
-    1. per-key prefix sums in parallel: each key is cut into ``splits``
-       order ranges (``percentile_approx`` bounds, a partial aggregate), the
-       running sum is taken per range and range offsets are added from a
-       tiny per-key table;
+    1. rows are range-partitioned by key and order, so a key takes as many
+       partitions as its rows need; each partition takes running sums per
+       key, and what lies before it comes from a table of one row per key and
+       partition;
     2. tokens are non-negative, so every row whose prefix sums are within
        the limits comes before the first refusal and is admitted;
     3. after the first refusal only rows that still fit the remaining
@@ -145,15 +145,11 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
 
     USD is accounted in integer units of 1e-18 USD, so sums are exact and
     independent of the summation order.
-
-    ``mode='auto'`` first measures the largest key (one partial aggregate,
-    a single row to the driver): when no key exceeds half of a task's fair
-    share, the plain sorted fold already spreads the keys over the tasks and
-    is used directly; otherwise the parallel path above. ``'fold'`` and
-    ``'parallel'`` force a path.
     """
     from pyspark.sql import Window
 
+    from gleaner.session import scratch_path
+
     if usd_limit is not None and price is None:
         raise ValueError("USD limiting needs a price per token")
     if token_limit is None and usd_limit is None:
@@ -162,39 +158,28 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
     ul = None if usd_limit is None else usd_units(usd_limit)
     price_u = 0 if price is None else usd_units(price)
     dec = "decimal(38,0)"
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [c for c in df.columns] + ["tok_ok", "admitted"]
+
+    def fixed(frame: DataFrame, name: str) -> DataFrame:
+        # several branches read it, and ranges are sampled anew whenever they are computed
+        path = scratch_path(spark, name)
+        frame.write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path)
+
+    # 1. prefix sums over ranges
     src = df.withColumn("_bk", F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key])) \
             .withColumn("_t", F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
     src = src.withColumn("_c", (F.col("_t").cast(dec) * _dlit(price_u)).cast(dec))
-    n = partitions or int(src.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cols = [c for c in df.columns] + ["tok_ok", "admitted"]
-    if mode not in ("auto", "fold", "parallel"):
-        raise ValueError("mode must be 'auto', 'fold' or 'parallel'")
-    if mode == "auto":
-        biggest, total = src.groupBy("_bk").count().agg(F.max("count"), F.sum("count")).first()
-        mode = "parallel" if (biggest or 0) > max(1, (total or 0) / (2 * n)) else "fold"
-    if mode == "fold" or splits <= 1:
-        plain = src.withColumn("_t0", F.lit(0).cast("bigint")).withColumn("_c0", _dlit(0))
-        return _fold(plain.repartition(n, "_bk").sortWithinPartitions("_bk", *order), tl, ul, price_u) \
-            .select(*cols)
-    from pyspark import StorageLevel
-
-    # shared by several branches below, which prune different columns and so
-    # cannot reuse each other's exchanges: materialise once
-    src = src.persist(StorageLevel.MEMORY_AND_DISK)
-
-    # 1. bucketed prefix sums
-    o0 = F.col(order[0])
-    probs = [i / splits for i in range(1, splits)]
-    bounds = src.groupBy("_bk").agg(F.percentile_approx(o0, probs, 10000).alias("_bounds"))
-    rows = src.join(bounds, "_bk").withColumn(
-        "_bucket", F.coalesce(F.size(F.filter(F.col("_bounds"), lambda b: b < o0)), F.lit(0))).drop("_bounds")
+    rows = fixed(src.repartitionByRange(n, "_bk", *order).withColumn("_bucket", F.spark_partition_id()), "budget-ranges")
     w_local = Window.partitionBy("_bk", "_bucket").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_lt", F.sum("_t").over(w_local)).withColumn("_lc", F.sum("_c").over(w_local))
     tot = rows.groupBy("_bk", "_bucket").agg(F.sum("_t").alias("_bt"), F.sum("_c").alias("_bc"))
     w_off = Window.partitionBy("_bk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("_bk", "_bucket", F.coalesce(F.sum("_bt").over(w_off), F.lit(0)).alias("_ot"),
                      F.coalesce(F.sum("_bc").over(w_off), _dlit(0)).alias("_oc"))
+    rows = rows.withColumn("_lt", F.sum("_t").over(w_local)).withColumn("_lc", F.sum("_c").over(w_local))
     rows = rows.join(off, ["_bk", "_bucket"]).withColumn("_pt", F.col("_lt") + F.col("_ot")) \
         .withColumn("_pc", (F.col("_lc") + F.col("_oc")).cast(dec))
 
@@ -204,8 +189,7 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
         within = within & (F.col("_pt") <= F.lit(tl))
     if ul is not None:
         within = within & (F.col("_pc") <= _dlit(ul))
-    rows = rows.withColumn("_before", within).persist(StorageLevel.MEMORY_AND_DISK)
-    drop = ["_bk", "_t", "_c", "_bucket", "_lt", "_lc", "_ot", "_oc", "_pt", "_pc", "_before"]
+    rows = fixed(rows.withColumn("_before", within), "budget-sums")
     before = rows.filter("_before").withColumn("tok_ok", F.lit(True)).withColumn("admitted", F.lit(True))
     start = rows.groupBy("_bk").agg(
         F.coalesce(F.max(F.when(F.col("_before"), F.col("_pt"))), F.lit(0)).cast("bigint").alias("_t0"),

@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 
 def chunk_step(size: int, overlap: float) -> int:
-    """Start-to-start distance; validated like the reference."""
+    """Start-to-start distance of chunks of ``size`` that share the ``overlap`` part of their length."""
     if size <= 0:
-        raise ValueError("chunk size must be greater than zero")
-    if overlap < 0.0 or overlap > 1.0:
-        raise ValueError("overlap must be in the range [0.0, 1.0]")
+        raise ValueError(f"a chunk of {size} characters holds nothing")
+    if not 0.0 <= overlap <= 1.0:
+        raise ValueError(f"overlap {overlap} is no share between 0 and 1")
     return max(1, int(size * (1 - overlap)))
 
 

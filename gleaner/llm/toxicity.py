@@ -327,13 +327,18 @@ def train(docs: DataFrame, labels: DataFrame, held_out_fold: int = HELD_OUT_FOLD
     """
     known = labels.where("toxic is not null and doc_id is not null").select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).dropDuplicates(["doc_id"])
-    rows = (text_of(docs).where((fold_of("doc_id") != held_out_fold) & (F.octet_length("text") <= TRAIN_DOC_BYTES))
-            .join(known, "doc_id"))
-    sample = None
+    # ids are chosen first, from narrow columns: only the chosen rows' texts leave their partitions
+    sized = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.octet_length(F.coalesce("text", F.lit(""))).alias("size"))
+             .where((fold_of("doc_id") != held_out_fold) & (F.col("size") <= TRAIN_DOC_BYTES)).select("doc_id").distinct())
+    able = known.join(sized, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    chosen = None
     for label in (0, 1):
-        own = (rows.where(F.col("toxic") == label).withColumn("h", F.xxhash64("doc_id", "text"))
-               .orderBy("h", "doc_id").limit(per_class).select("text", "toxic"))
-        sample = own if sample is None else sample.unionByName(own)
+        own = able.where(F.col("toxic") == label).orderBy("h", "doc_id").limit(per_class)
+        chosen = own if chosen is None else chosen.unionByName(own)
+    texts = text_of(docs).where(F.octet_length("text") <= TRAIN_DOC_BYTES)
+    # a repeated id may bring several rows: the bound holds all the same
+    sample = (texts.join(F.broadcast(chosen), "doc_id").orderBy("h", F.xxhash64("text")).limit(2 * per_class)
+              .select("text", "toxic"))
     got = sorted((r.text.encode(), r.toxic) for r in sample.collect())       # at most 2 * per_class texts of bounded size
     return fit([t for t, _ in got], [y for _, y in got])
 

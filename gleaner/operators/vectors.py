@@ -7,7 +7,8 @@
   base partition computes ``B @ Q.T`` on unit vectors and keeps a running
   top-k per query. No pair table is ever materialised.
 * E5 ``approx_top_k``: as E4, but only rows with a near sign signature are
-  scored; checked by recall against E4.
+  scored; checked by recall against E4. ``fill`` searches queries with too few
+  near rows exactly.
 * E6 ``check_vectors``: dimension / chunk length / column checks with a
   quarantine output.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleaner.operators.postings import barrier
+from gleaner.session import scratch_path
 
 MAX_BROADCAST_QUERIES = 4096     # query vectors held per task; larger sets go in blocks
 SCORE_DIGITS = 6                 # scores are ranked at this precision, ties by id
@@ -190,12 +192,17 @@ def signature_planes(dim: int, bits: int = SIGNATURE_BITS) -> np.ndarray:
 
 def approx_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
                  qid_col: str = "query_id", qvec_col: str = "query_vec", keep: tuple[str, ...] = (),
-                 bits: int = SIGNATURE_BITS, reach: int = SIGNATURE_REACH) -> DataFrame:
+                 bits: int = SIGNATURE_BITS, reach: int = SIGNATURE_REACH, fill: bool = False) -> DataFrame:
     """E5: approximate top-k: exact scores only for rows whose sign signature is near the query's.
 
     A signature has one bit per hyperplane. Unrelated vectors differ in half of
     the bits, vectors at angle t in t/pi of them; rows that differ from the query
     in at most ``reach`` bits are candidates. Signatures are compared by popcount inside the base partitions.
+
+    A query with fewer than ``k`` rows within reach gets only those; with
+    ``fill`` it is searched again exactly, as by ``cosine_top_k``, so every query
+    gets k rows if the base has them. Filling writes the first search under
+    ``spark.checkpoint.dir`` at once, to see which queries are short.
     """
 
     def near(bm: np.ndarray, qm: np.ndarray) -> list[np.ndarray]:
@@ -204,7 +211,18 @@ def approx_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
         b, q = sign(bm), sign(qm)
         return [np.flatnonzero(np.bitwise_count(b ^ one).sum(axis=1, dtype=np.int64) <= reach) for one in q]
 
-    return _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, near)
+    found = _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, near)
+    if not fill:
+        return found
+    path = scratch_path(base.sparkSession, "approx-top-k")
+    found.write.parquet(path)
+    found = base.sparkSession.read.schema(found.schema).parquet(path)
+    full = found.where(F.col("rank") == k).select(qid_col)
+    short = queries.where(_usable(qvec_col)).join(full, qid_col, "left_anti")
+    if short.isEmpty():
+        return found
+    return found.join(full, qid_col, "left_semi").unionByName(
+        cosine_top_k(base, short, k, id_col, vec_col, qid_col, qvec_col, keep))
 
 
 VECTOR_COLUMNS = ("application_id", "chunk_idx", "chunk_txt", "chunk_vec")

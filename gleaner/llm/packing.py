@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import spark_read, text_of, worker_state, write_scratch
 
 CAPACITY = 4096
-GRAIN = 16
+GRAIN = 8
 GAP = 0.001                 # the linear program ends this near its bound
 MAX_CACHED = 1_600_000        # words remembered by a Python worker
 STOPS = b".,;:!?"

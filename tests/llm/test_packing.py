@@ -116,3 +116,11 @@ def test_pieces_carry_their_ids(documents):
 
 def test_query(spark, documents):
     assert q_packing(spark, SF).select("doc_id").distinct().count() == documents.count()
+
+
+def test_short_pieces_are_planned_near_their_length(spark):
+    """340 pieces of 24 tokens fill two sequences of 170; planned at 32 they would take three."""
+    text = "a " * 23
+    assert len(ids_of(text)) == 23
+    df = spark.createDataFrame([(i, text) for i in range(340)], "doc_id bigint, text string")
+    assert pack_documents(df, PATH).select("sequence_id").distinct().count() == 2

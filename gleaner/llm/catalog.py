@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, conversation, lm, packing, passages, quality, shard, simhash, token_count, topk, toxicity
+from gleaner.llm import bpe, collocation, conversation, lm, packing, passages, quality, shard, simhash, token_count, topk, toxicity
 
 QUERIES = {
     "op1_subsequence_kernel_toxicity": toxicity.q_toxicity,
@@ -16,8 +16,10 @@ QUERIES = {
     "op10_pivot_top_k": topk.q_top_k,
     "op9_compression_bands": quality.q_quality,
     "op12_rank_convergence_repair": conversation.q_conversations,
+    "op13_prefix_free_collocations": collocation.q_collocations,
 }
 ORACLES: dict[str, str] = {
     "op10_pivot_top_k": topk.ORACLE,
     "op12_rank_convergence_repair": conversation.ORACLE,
+    "op13_prefix_free_collocations": collocation.ORACLE,
 }

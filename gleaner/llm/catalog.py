@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gleaner.llm import bpe, collocation, conversation, lm, packing, passages, quality, shard, simhash, token_count, topk, toxicity
+from gleaner.llm import bpe, collocation, conversation, fingerprint, lm, packing, passages, quality, shard, simhash, token_count, topk, toxicity
 
 QUERIES = {
     "op1_subsequence_kernel_toxicity": toxicity.q_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_cutting_stock_packing": packing.q_packing,
     "op10_pivot_top_k": topk.q_top_k,
     "op9_compression_bands": quality.q_quality,
+    "op11_locally_consistent_fingerprints": fingerprint.q_fingerprints,
     "op12_rank_convergence_repair": conversation.q_conversations,
     "op13_prefix_free_collocations": collocation.q_collocations,
 }

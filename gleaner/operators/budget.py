@@ -6,17 +6,14 @@ A1/A2/A5/A6/A7 are plain hash aggregates and broadcast joins with the
 A3/A4 are an ordered fold per budget key: a request is admitted iff
 ``used + tokens <= limit``; a refused request does not consume, so a later
 smaller one may still fit. That is not a running sum; ``budget`` computes it
-exactly with parallel prefix sums up to the first refusal and a sequential
-fold (sorted Arrow batches, O(1) state) over only the requests that can
-still fit after it — so a key holding most of the rows is split across
-tasks instead of being walked by one.
+exactly with rounds of parallel prefix sums, each up to a key's next refusal,
+over only the requests that can still fit, so a key holding most of the rows
+is split across tasks instead of being walked by one. Requests that keep
+arriving are budgeted by ``gleaner.streaming.budget``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,37 +83,17 @@ def _dlit(v: int) -> Column:
     return F.lit(str(int(v))).cast("decimal(38,0)")
 
 
-_FOLD_OUT = [T.StructField("tok_ok", T.BooleanType()), T.StructField("admitted", T.BooleanType())]
-
+DEC = "decimal(38,0)"
 
-def _fold(src: DataFrame, tl: int | None, ul: int | None, price_u: int) -> DataFrame:
-    """Sequential fold over rows sorted by (key, order) within partitions,
-    starting each key from the counters in ``_t0`` / ``_c0``."""
-    schema = T.StructType([f for f in src.schema.fields] + _FOLD_OUT)
 
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur, tok_used, usd_used = None, 0, 0
-        for pdf in batches:
-            keys = pdf["_bk"].tolist()
-            toks = [int(x) for x in pdf["_t"].tolist()]
-            t0s, c0s = pdf["_t0"].tolist(), pdf["_c0"].tolist()
-            m = len(keys)
-            ok_t = np.zeros(m, dtype=bool)
-            ok = np.zeros(m, dtype=bool)
-            for i in range(m):
-                if keys[i] != cur:
-                    cur, tok_used, usd_used = keys[i], int(t0s[i]), int(c0s[i])
-                t = toks[i]
-                if tl is None or tok_used + t <= tl:
-                    ok_t[i] = True
-                    tok_used += t
-                    c = t * price_u
-                    if ul is None or usd_used + c <= ul:
-                        ok[i] = True
-                        usd_used += c
-            yield pdf.assign(tok_ok=ok_t, admitted=ok)
-
-    return src.mapInPandas(fold, schema)
+def limits(token_limit: float | None, usd_limit: float | None, price: float | None) -> tuple[int | None, int | None, int]:
+    """Token limit, USD limit and price in whole units; an argument error where they make no budget."""
+    if usd_limit is not None and price is None:
+        raise ValueError("USD limiting needs a price per token")
+    if token_limit is None and usd_limit is None:
+        raise ValueError("no limit given")
+    return (None if token_limit is None else int(token_limit), None if usd_limit is None else usd_units(usd_limit),
+            0 if price is None else usd_units(price))
 
 
 def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "tokens",
@@ -126,86 +103,88 @@ def budget(df: DataFrame, key: list[str], order: list[str], tokens: str = "token
 
     Token limit first; a request refused by tokens consumes nothing. Then the
     USD limit on ``tokens * price``; a request refused by USD keeps its
-    tokens spent (as in the reference). Adds ``tok_ok`` and ``admitted``.
+    tokens spent (as in the reference). Adds ``tok_ok`` and ``admitted``. Null
+    tokens count as 0; key columns are compared as they are, nulls as equal.
 
     Exact and parallel, also for a key holding most of the rows, whatever
-    sortable types ``order`` has:
-
-    1. rows are range-partitioned by key and order, so a key takes as many
-       partitions as its rows need; each partition takes running sums per
-       key, and what lies before it comes from a table of one row per key and
-       partition;
-    2. tokens are non-negative, so every row whose prefix sums are within
-       the limits comes before the first refusal and is admitted;
-    3. after the first refusal only rows that still fit the remaining
-       budget (``tokens <= remaining``) can change the counters; just those
-       go through the sequential fold (sorted Arrow batches, O(1) state),
-       starting from the counters at the first refusal. The rest are
-       refused outright.
-
-    USD is accounted in integer units of 1e-18 USD, so sums are exact and
-    independent of the summation order.
+    sortable types ``order`` has. Rows are range-partitioned by key and order
+    once, so a key takes as many partitions as its rows need. Then, in rounds
+    over the rows not decided yet, each round knowing its keys' counters:
+
+    1. rows whose cost no longer fits are refused by USD whatever comes, and
+       only their tokens count; running sums per key and partition, plus what
+       lies before the partition (a table of one row per key and partition),
+       decide every row up to the key's first violation of a limit;
+    2. the violating row is refused and the counters behind it are known;
+    3. of the rows behind it, those whose tokens do not fit any more can change
+       nothing and are refused at once; the others go to the next round.
+
+    A round ends by a row that fitted the budget left before it and does not
+    fit the one left after it, so what may still be admitted shrinks fast: a
+    budget takes a few rounds. USD is accounted in integer units of 1e-18 USD,
+    so sums are exact and independent of the summation order.
     """
-    from pyspark.sql import Window
+    from pyspark.sql import Observation, Window
 
     from gleaner.session import scratch_path
 
-    if usd_limit is not None and price is None:
-        raise ValueError("USD limiting needs a price per token")
-    if token_limit is None and usd_limit is None:
-        raise ValueError("no limit given")
-    tl = None if token_limit is None else int(token_limit)
-    ul = None if usd_limit is None else usd_units(usd_limit)
-    price_u = 0 if price is None else usd_units(price)
-    dec = "decimal(38,0)"
+    tl, ul, price_u = limits(token_limit, usd_limit, price)
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = [c for c in df.columns] + ["tok_ok", "admitted"]
 
-    def fixed(frame: DataFrame, name: str) -> DataFrame:
+    def fixed(frame: DataFrame, name: str) -> tuple[DataFrame, int]:
         # several branches read it, and ranges are sampled anew whenever they are computed
-        path = scratch_path(spark, name)
-        frame.write.parquet(path)
-        return spark.read.schema(frame.schema).parquet(path)
-
-    # 1. prefix sums over ranges
-    src = df.withColumn("_bk", F.concat_ws("\u0001", *[F.col(k).cast("string") for k in key])) \
-            .withColumn("_t", F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
-    src = src.withColumn("_c", (F.col("_t").cast(dec) * _dlit(price_u)).cast(dec))
-    rows = fixed(src.repartitionByRange(n, "_bk", *order).withColumn("_bucket", F.spark_partition_id()), "budget-ranges")
-    w_local = Window.partitionBy("_bk", "_bucket").orderBy(*order) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tot = rows.groupBy("_bk", "_bucket").agg(F.sum("_t").alias("_bt"), F.sum("_c").alias("_bc"))
-    w_off = Window.partitionBy("_bk").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select("_bk", "_bucket", F.coalesce(F.sum("_bt").over(w_off), F.lit(0)).alias("_ot"),
-                     F.coalesce(F.sum("_bc").over(w_off), _dlit(0)).alias("_oc"))
-    rows = rows.withColumn("_lt", F.sum("_t").over(w_local)).withColumn("_lc", F.sum("_c").over(w_local))
-    rows = rows.join(off, ["_bk", "_bucket"]).withColumn("_pt", F.col("_lt") + F.col("_ot")) \
-        .withColumn("_pc", (F.col("_lc") + F.col("_oc")).cast(dec))
-
-    # 2. rows before the first refusal
-    within = F.lit(True)
-    if tl is not None:
-        within = within & (F.col("_pt") <= F.lit(tl))
-    if ul is not None:
-        within = within & (F.col("_pc") <= _dlit(ul))
-    rows = fixed(rows.withColumn("_before", within), "budget-sums")
-    before = rows.filter("_before").withColumn("tok_ok", F.lit(True)).withColumn("admitted", F.lit(True))
-    start = rows.groupBy("_bk").agg(
-        F.coalesce(F.max(F.when(F.col("_before"), F.col("_pt"))), F.lit(0)).cast("bigint").alias("_t0"),
-        F.coalesce(F.max(F.when(F.col("_before"), F.col("_pc"))), _dlit(0)).cast(dec).alias("_c0"))
-    after = rows.filter(~F.col("_before")).join(start, "_bk")
-
-    # 3. only rows that still fit can change the counters
-    if tl is not None:
-        fits = F.col("_t") <= F.lit(tl) - F.col("_t0")
-    else:
-        fits = F.col("_c") <= _dlit(ul) - F.col("_c0")
-    rest = after.filter(~fits).withColumn("tok_ok", F.lit(tl is None)).withColumn("admitted", F.lit(False))
-    cand = after.filter(fits)
-    cand = cand.repartition(n, "_bk").sortWithinPartitions("_bk", *order)
-    folded = _fold(cand, tl, ul, price_u)
-    return before.select(*cols).unionByName(rest.select(*cols)).unionByName(folded.select(*cols))
+        path, seen = scratch_path(spark, name), Observation(name)
+        frame.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+        return spark.read.schema(frame.schema).parquet(path), int(seen.get["n"] or 0)
+
+    cost_units = (F.col("_t").cast(DEC) * _dlit(price_u)).cast(DEC)
+    src = df.withColumn("_k", F.struct(*key)).withColumn("_t", F.coalesce(F.col(tokens).cast("bigint"), F.lit(0).cast("bigint")))
+    src = src.withColumn("_c", cost_units).withColumn("_t0", F.lit(0).cast("bigint")).withColumn("_c0", _dlit(0))
+    ordered = src.repartitionByRange(n, "_k", *order).sortWithinPartitions("_k", *order)
+    left = ordered.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
+
+    in_part = Window.partitionBy("_k", "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before_part = Window.partitionBy("_k").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    affordable = F.lit(True) if ul is None else F.col("_c") <= (_dlit(ul) - F.col("_c0")).cast(DEC)
+    no_tokens = F.lit(False) if tl is None else F.col("_pt") > F.lit(tl) - F.col("_t0")
+    no_usd = F.lit(False) if ul is None else F.col("_usd") & (F.col("_pc") > (_dlit(ul) - F.col("_c0")).cast(DEC))
+
+    decided = []
+    left, _ = fixed(left, "budget-rows")
+    while True:
+        rows = left.withColumn("_usd", affordable)
+        spent = F.when(F.col("_usd"), F.col("_c")).otherwise(_dlit(0))
+        totals = rows.groupBy("_k", "_part").agg(F.sum("_t").alias("_t"), F.sum(spent).alias("_c"))
+        earlier = totals.select("_k", "_part", F.coalesce(F.sum("_t").over(before_part), F.lit(0)).alias("_ot"),
+                                F.coalesce(F.sum("_c").over(before_part), _dlit(0)).alias("_oc"))
+        sums = rows.withColumn("_pt", F.sum("_t").over(in_part)).withColumn("_pc", F.sum(spent).over(in_part)) \
+            .join(earlier, ["_k", "_part"]).withColumn("_pt", F.col("_pt") + F.col("_ot")) \
+            .withColumn("_pc", (F.col("_pc") + F.col("_oc")).cast(DEC)).drop("_ot", "_oc")
+        sums = sums.withColumn("_no_tok", no_tokens).withColumn("_bad", F.col("_no_tok") | no_usd)
+        sums, count = fixed(sums, "budget-sums")
+        if not count and decided:
+            break
+        own = F.when(F.col("_no_tok"), F.col("_t")).otherwise(F.lit(0))
+        first = sums.where("_bad").groupBy("_k").agg(F.min_by(F.struct(
+            F.col("_at").alias("at"), F.col("_no_tok").alias("no_tok"), (F.col("_t0") + F.col("_pt") - own).alias("t0"),
+            (F.col("_c0") + F.col("_pc") - F.when(F.col("_usd"), F.col("_c")).otherwise(_dlit(0))).cast(DEC).alias("c0")), "_at").alias("_v"))
+        seen = sums.join(first, "_k", "left")
+        behind = F.coalesce(F.col("_at") > F.col("_v.at"), F.lit(False))
+        at_it = F.coalesce(F.col("_at") == F.col("_v.at"), F.lit(False))
+        if tl is not None:
+            fits = F.col("_t") <= F.lit(tl) - F.col("_v.t0")
+        else:
+            fits = F.col("_c") <= (_dlit(ul) - F.col("_v.c0")).cast(DEC)
+        tok_ok = F.lit(True) if tl is None else F.when(behind, F.lit(False)).when(at_it, ~F.col("_v.no_tok")).otherwise(F.lit(True))
+        decided.append(seen.where(~behind | ~fits).select(
+            *df.columns, tok_ok.alias("tok_ok"), (~behind & ~at_it & F.col("_usd")).alias("admitted")))
+        left = seen.where(behind & fits).select(*df.columns, "_k", "_t", "_c", F.col("_v.t0").alias("_t0"), F.col("_v.c0").alias("_c0"),
+                                                "_at", "_part")
+    out = decided[0]
+    for more in decided[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def usage_report(budgeted: DataFrame, key: list[str], tokens: str = "tokens", token_limit: float | None = None,
@@ -235,8 +214,12 @@ def rate_audit(df: DataFrame, ts: str, model: str, tokens: str, catalog: DataFra
     rpm/tpm limits (the reference declares them but never enforces them)."""
     per = df.groupBy(F.window(F.col(ts).cast("timestamp"), window).alias("w"), F.col(model).alias("model")).agg(
         F.count(F.lit(1)).alias("n_requests"), F.sum(tokens).alias("n_tokens"))
-    cat = F.broadcast(catalog.select("model", "rpm_limit", "tpm_limit"))
-    out = per.join(cat, "model", "left")
+    return over_limits(per, catalog)
+
+
+def over_limits(per: DataFrame, catalog: DataFrame) -> DataFrame:
+    """Counts per window ``w`` and model beside the model's declared limits."""
+    out = per.join(catalog.select("model", "rpm_limit", "tpm_limit"), "model", "left")
     return out.select(F.col("w.start").cast("timestamp_ntz").alias("minute"), "model", "n_requests", "n_tokens",
                       (F.col("n_requests") > F.col("rpm_limit")).alias("over_rpm"),
                       (F.col("n_tokens") > F.col("tpm_limit")).alias("over_tpm"))

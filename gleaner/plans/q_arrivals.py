@@ -1,0 +1,58 @@
+"""Queries of the streaming forms: A3/A4 budgets and A6 audits over arriving requests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gleaner.operators import budget as B
+from gleaner.plans.catalog import ORACLES, register
+from gleaner.plans.q_vectors import _MODEL_OF_EVENT, PRICE, TOKEN_LIMIT, USD_LIMIT, _chunk_tokens
+from gleaner.plans.tables import table
+from gleaner.session import scratch_path
+from gleaner.streaming import budget as SB
+from gleaner.streaming import pipeline as PL
+
+ARRIVALS = 3
+
+
+def arriving(df, order: str):
+    """The table in ARRIVALS parts, each all before the next in ``order`` (equal widths of its range)."""
+    number = F.col(order).cast("double")
+    lo, hi = df.agg(F.min(number), F.max(number)).first()
+    if lo is None:
+        return []
+    step = (hi - lo) / ARRIVALS
+    part = F.least(F.floor((number - F.lit(lo)) / F.lit(step or 1.0)), F.lit(ARRIVALS - 1))
+    return [df.where(part == i) for i in range(ARRIVALS)]
+
+
+@register("A3_A4_budget_stream", ORACLES["A3_A4_budget"])
+def q_budget_stream(spark, sf_dir):
+    """Requests arrive in three landings; the query is started anew for each and goes on from its checkpoint."""
+    root = scratch_path(spark, "budget-stream")
+    requests = _chunk_tokens(spark, sf_dir).select("lang", "source", "doc_id", "chunk_idx", "tokens")
+    for part in arriving(requests, "doc_id"):
+        part.write.mode("append").parquet(f"{root}/requests")
+        stream = spark.readStream.schema(requests.schema).parquet(f"{root}/requests")
+        decided = SB.budget_stream(stream, ["lang", "source"], ["doc_id", "chunk_idx"], token_limit=TOKEN_LIMIT,
+                                   usd_limit=USD_LIMIT, price=PRICE)
+        PL.drain(decided, lambda df, b: df.write.mode("overwrite").parquet(f"{root}/decided/batch={b}"), f"{root}/ckpt")
+    out = spark.read.schema("doc_id bigint, chunk_idx bigint, tok_ok boolean, admitted boolean").parquet(f"{root}/decided")
+    return out.select("doc_id", "chunk_idx", "tok_ok", "admitted")
+
+
+@register("A6_rate_audit_stream", ORACLES["A6_rate_audit"])
+def q_rate_stream(spark, sf_dir):
+    """Events arrive in order in three landings; a heartbeat two days on lets the watermark pass the last window."""
+    root = scratch_path(spark, "audit-stream")
+    events = table(spark, sf_dir, "events").select(
+        "ts", F.expr(_MODEL_OF_EVENT).alias("model"), F.floor("value").cast("bigint").alias("tokens"))
+    beat = events.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")).where("ts is not null").select(
+        "ts", F.lit(None).cast("string").alias("model"), F.lit(0).cast("bigint").alias("tokens"))
+    for part in [*arriving(events.withColumn("at", F.col("ts").cast("timestamp")), "at"), beat]:
+        part.select("ts", "model", "tokens").write.mode("append").parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+    audit = SB.rate_audit_stream(stream, "ts", "model", "tokens", B.model_catalog(spark))
+    (audit.writeStream.outputMode("append").format("parquet").option("path", f"{root}/audit")
+     .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(audit.schema).parquet(f"{root}/audit")

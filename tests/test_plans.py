@@ -9,9 +9,9 @@ SF = "/root/testdata/sf0.001"
 # these run streams or write tables while being built; their operators are
 # covered by test_pipeline / test_operators
 EAGER = {"T1_T2_T3_pipeline_load", "T4_new_only_stream", "S9_lake_scan_compact", "S6_applications_table",
-         "S7_vector_collection", "S1_S2_publish_read_topics", "S3_replay", "M7_M8_load_record"}
-PYTHON_PASSES = {"M3_pack_unpack_html", "H6_C9_detail_fields", "E1_embed_chunks", "E4_cosine_top_k", "E5_approx_top_k",
-                 "A3_A4_budget", "A5_usage_report"}
+         "S7_vector_collection", "S1_S2_publish_read_topics", "S3_replay", "M7_M8_load_record",
+         "A3_A4_budget_stream", "A6_rate_audit_stream"}
+PYTHON_PASSES = {"M3_pack_unpack_html", "H6_C9_detail_fields", "E1_embed_chunks", "E4_cosine_top_k", "E5_approx_top_k"}
 
 
 def plan(spark, name):
@@ -22,7 +22,8 @@ def plan(spark, name):
 def test_no_pair_tables_and_python_only_where_intended(spark, name):
     p = plan(spark, name)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    has_python = any(k in p for k in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas"))
+    has_python = any(k in p for k in ("MapInPandas", "MapInArrow", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas",
+                                         "FlatMapCoGroupsInPandas"))
     assert has_python == (name in PYTHON_PASSES), name
 
 

@@ -3,12 +3,12 @@
 * E1 ``embed_chunks``: a user embedding function ``list[str] -> matrix`` runs
   inside ``mapInPandas``; a request whose calls do not all succeed fails as a
   whole, with the error's text.
-* E4 ``cosine_top_k``: a bounded block of query vectors is broadcast; each
-  base partition computes ``B @ Q.T`` on unit vectors and keeps a running
-  top-k per query. No pair table is ever materialised.
+* E4 ``cosine_top_k``: the base is dealt into parts of a bounded size and the
+  queries, a DataFrame of any size, stream past every part (``Q @ B.T`` on unit
+  vectors, top k per query and part). No pair table is ever materialised.
 * E5 ``approx_top_k``: as E4, but only rows with a near sign signature are
   scored; checked by recall against E4. ``fill`` searches queries with too few
-  near rows exactly.
+  near rows exactly. A stored index is in ``vector_index``.
 * E6 ``check_vectors``: dimension / chunk length / column checks with a
   quarantine output.
 """
@@ -20,6 +20,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +29,8 @@ from pyspark.sql import types as T
 from gleaner.operators.postings import barrier
 from gleaner.session import scratch_path
 
-MAX_BROADCAST_QUERIES = 4096     # query vectors held per task; larger sets go in blocks
+PART_FLOATS = 8_000_000          # vector components of a part, which one task holds: 64 MB
+SCORES_HELD = 4_000_000          # scores computed at a time
 SCORE_DIGITS = 6                 # scores are ranked at this precision, ties by id
 
 
@@ -98,70 +101,126 @@ def _usable(vec: str):
     return F.coalesce(c.isNotNull() & F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))), F.lit(False))
 
 
-class _Best:
-    """The k best (score, id) of one query so far, with the rows they stand for."""
-
-    def __init__(self, k: int):
-        self.k, self.scores, self.ids, self.rows = k, np.empty(0), np.empty(0, object), []
-
-    def add(self, scores: np.ndarray, ids: np.ndarray, row_of) -> None:
-        if len(scores) > self.k:
-            worst = max(np.partition(scores, -self.k)[-self.k], self.scores[-1] if len(self.scores) == self.k else -np.inf)
+def vectors_of(lists: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors by dimension: row numbers and a matrix."""
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    starts = np.cumsum(sizes) - sizes
+    out = {}
+    for d in np.unique(sizes):
+        rows = np.flatnonzero(sizes == d)
+        out[int(d)] = rows, _unit(flat[starts[rows][:, None] + np.arange(d)])
+    return out
+
+
+def best_rows(scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each row's k best entries above -inf; ties to the lower column."""
+    if scores.shape[1] > k:
+        least = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
+    else:
+        least = np.full(len(scores), -np.inf)
+    rows, cols = [], []
+    for i, (line, worst) in enumerate(zip(scores, least)):
+        at = np.flatnonzero((line >= worst) & (line > -np.inf))
+        at = at[np.argsort(-line[at], kind="stable")[:k]]
+        rows.append(np.full(len(at), i))
+        cols.append(at)
+    return np.concatenate(rows), np.concatenate(cols)
+
+
+class _Part:
+    """The base rows of one part, in the order of their ids, and the search of query rows among them."""
+
+    def __init__(self, table: pa.Table, candidates):
+        ids = table.column("_id").to_numpy()
+        self.table = table.take(pa.array(np.argsort(ids, kind="stable")))
+        self.by_dim = vectors_of(self.table.column("_v").combine_chunks())
+        self.candidates = candidates
+        if candidates and "_sig" in table.column_names:
+            stored = np.frombuffer(b"".join(self.table.column("_sig").to_pylist()), np.uint8).reshape(self.table.num_rows, -1)
+            self.marks = {d: stored[rows] for d, (rows, _) in self.by_dim.items()}
         else:
-            worst = self.scores[-1] if len(self.scores) == self.k else -np.inf
-        at = np.flatnonzero(scores >= worst)
-        s, i = np.concatenate([self.scores, scores[at]]), np.concatenate([self.ids, ids[at].astype(object)])
-        rows = self.rows + [row_of(n) for n in at]
-        best = sorted(range(len(s)), key=lambda n: (-s[n], i[n]))[:self.k]
-        self.scores, self.ids, self.rows = s[best], i[best], [rows[n] for n in best]
+            self.marks = {d: candidates.mark(m) for d, (_, m) in self.by_dim.items()} if candidates else {}
+
+    def search(self, queries: pa.RecordBatch, k: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Query rows, base rows and scores of the hits."""
+        for d, (q_rows, q) in vectors_of(queries.column("_v")).items():
+            if d not in self.by_dim:
+                continue
+            rows, base = self.by_dim[d]
+            if self.candidates:
+                for row, one, mark in zip(q_rows, q, self.candidates.mark(q)):
+                    at = self.candidates.near(self.marks[d], mark)
+                    scores = np.round(base[at] @ one, SCORE_DIGITS)[None, :]
+                    _, j = best_rows(scores, k)
+                    yield np.full(len(j), row), rows[at[j]], scores[0, j]
+                continue
+            step = max(1, SCORES_HELD // len(rows))
+            for at in range(0, len(q_rows), step):
+                scores = np.round(q[at:at + step] @ base.T, SCORE_DIGITS)
+                i, j = best_rows(scores, k)
+                yield q_rows[at + i], rows[j], scores[i, j]
+
+
+def search_parts(base: DataFrame, queries: DataFrame, k: int, qid_col: str, keep: tuple[str, ...] = (), candidates=None) -> DataFrame:
+    """The k best base rows of each query over the parts it visits.
+
+    ``base``: part, _id, _v and the ``keep`` columns; ``queries``: part, _qid
+    and _v, one row for each part to visit. A part's base rows are held by one
+    task and must fit there (see ``PART_FLOATS``); its queries stream past them,
+    so neither side is collected and no query set is too large. A part emits at
+    most k rows per query to the final window. With ``candidates`` only the rows
+    that these name are scored; a ``_sig`` column saves computing their marks.
+    """
+    q = queries.select("part", F.lit(1).alias("kind"), "_qid", F.col("_v").cast("array<double>").alias("_v"))
+    marks = [c for c in base.columns if c == "_sig"]
+    b = base.select("part", F.lit(0).alias("kind"), "_id", F.col("_v").cast("array<double>").alias("_v"), *marks, *keep)
+    both = b.unionByName(q, allowMissingColumns=True)
+    fields = [T.StructField(qid_col, queries.schema["_qid"].dataType), T.StructField("id", base.schema["_id"].dataType),
+              T.StructField("score", T.DoubleType()), *[base.schema[c] for c in keep]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held, rows = None, [], None
+        for batch in batches:
+            parts, kinds = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
+            cuts = np.flatnonzero((np.diff(parts) != 0) | (np.diff(kinds) != 0)) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if lo == hi:
+                    continue
+                own = batch.slice(lo, hi - lo)
+                if parts[lo] != part:
+                    part, held, rows = parts[lo], [], None
+                if kinds[lo] == 0:
+                    held.append(own)
+                    continue
+                if held and rows is None:
+                    rows, held = _Part(pa.Table.from_batches(held), candidates), []
+                for qi, bi, scores in rows.search(own, k) if rows else ():
+                    hit = rows.table.select(["_id", *keep]).take(pa.array(bi)).combine_chunks().columns
+                    flat = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in hit]
+                    yield pa.RecordBatch.from_arrays([own.column("_qid").take(pa.array(qi)), flat[0], pa.array(scores), *flat[1:]],
+                                                     names=[f.name for f in fields])
+
+    found = both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(run, T.StructType(fields))
+    w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col("id"))
+    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+            .select(qid_col, F.col("rank").cast("bigint"), "id", "score", *keep))
 
 
-def _query_blocks(queries: DataFrame, qid_col: str, qvec_col: str) -> list[list]:
-    """The usable queries in bounded blocks: one search request is one block."""
-    rows = queries.where(_usable(qvec_col)).select(F.col(qid_col).alias("_qid"), F.col(qvec_col).alias("_qv"))
-    first = rows.limit(MAX_BROADCAST_QUERIES + 1).collect()
-    if len(first) <= MAX_BROADCAST_QUERIES:
-        return [first] if first else []
-    n = 2 * -(-rows.count() // MAX_BROADCAST_QUERIES)
-    blk = rows.withColumn("_blk", F.pmod(F.xxhash64("_qid"), F.lit(n)))
-    return [x for x in (blk.filter(F.col("_blk") == b).drop("_blk").collect() for b in range(n)) if x]
+def query_rows(queries: DataFrame, qid_col: str, qvec_col: str) -> DataFrame:
+    """_qid and _v of the usable queries; of several rows with one id the least vector is searched."""
+    return queries.where(_usable(qvec_col)).groupBy(F.col(qid_col).alias("_qid")).agg(
+        F.min(F.col(qvec_col).cast("array<double>")).alias("_v"))
 
 
 def _top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str, vec_col: str, qid_col: str, qvec_col: str,
            keep: tuple[str, ...], candidates) -> DataFrame:
     src = base.where(_usable(vec_col)).select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"), *keep)
-    schema = T.StructType([T.StructField(qid_col, queries.schema[qid_col].dataType),
-                           T.StructField("id", base.schema[id_col].dataType), T.StructField("score", T.DoubleType()),
-                           *[base.schema[c] for c in keep]])
-    found = None
-    for rows in _query_blocks(queries, qid_col, qvec_col):
-        qids = [r["_qid"] for r in rows]
-        if len(set(qids)) != len(qids):
-            raise ValueError("query ids must be unique")
-        q = base.sparkSession.sparkContext.broadcast((qids, _unit(np.array([r["_qv"] for r in rows], dtype=np.float64))))
-
-        def local_top(batches: Iterator[pd.DataFrame], q=q) -> Iterator[pd.DataFrame]:
-            qids, qm = q.value
-            best = [_Best(k) for _ in qids]
-            for pdf in batches:
-                if pdf.empty:
-                    continue
-                bm = _unit(np.stack([np.asarray(v, dtype=np.float64) for v in pdf["_v"]]))
-                ids, payload = pdf["_id"].to_numpy(), [pdf[c].to_numpy() for c in keep]
-                for j, at in enumerate(candidates(bm, qm)):
-                    scores = np.round(bm[at] @ qm[j], SCORE_DIGITS)
-                    own = ids[at]
-                    best[j].add(scores, own, lambda n, at=at: tuple(p[at][n] for p in payload))
-            yield pd.DataFrame([(qid, i, s, *r) for qid, b in zip(qids, best) for s, i, r in zip(b.scores, b.ids, b.rows)],
-                               columns=[f.name for f in schema.fields])
-
-        part = src.mapInPandas(local_top, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        raise ValueError("no queries")
-    w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col("id"))
-    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select(qid_col, F.col("rank").cast("bigint"), "id", "score", *keep))
+    floats = src.agg(F.sum(F.size("_v").cast("bigint")).alias("n")).first()["n"] or 0
+    parts = max(1, -(-floats // PART_FLOATS))
+    dealt = src.withColumn("part", F.pmod(F.xxhash64("_id"), F.lit(parts)))
+    asked = query_rows(queries, qid_col, qvec_col).withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))))
+    return search_parts(dealt, asked, k, qid_col, keep, candidates)
 
 
 def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
@@ -171,11 +230,11 @@ def cosine_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
     Output ``query_id, rank, id, score`` (rounded to 6 places; ranks by rounded
     score then id) and the ``keep`` columns of the base row, e.g. ``chunk_idx``
     and ``chunk_txt``. Null vectors and vectors with null or NaN components
-    take no part. A partition keeps one running top k per query and emits it
-    once, so at most partitions x |queries| x k rows reach the final window.
+    take no part; a query meets only base vectors of its own dimension; no
+    queries or no base rows give no rows. The base is dealt once, by id, into
+    parts of a bounded size, and the queries go to every part.
     """
-    every = lambda bm, qm: [slice(None)] * len(qm)
-    return _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, every)
+    return _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, None)
 
 
 SIGNATURE_BITS, SIGNATURE_REACH = 384, 162
@@ -190,6 +249,36 @@ def signature_planes(dim: int, bits: int = SIGNATURE_BITS) -> np.ndarray:
     return ((h * h + i) % PRIME / PRIME - 0.5).reshape(bits, dim)
 
 
+class Signatures:
+    """Candidates by sign signatures: one bit per hyperplane, near in at most ``reach`` differing bits."""
+
+    def __init__(self, bits: int, reach: int):
+        self.bits, self.reach = bits, reach
+
+    def mark(self, m: np.ndarray) -> np.ndarray:
+        return np.packbits(m @ signature_planes(m.shape[1], self.bits).T > 0, axis=1)
+
+    def differing(self, base: np.ndarray, query: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(base ^ query).sum(axis=1, dtype=np.int64)
+
+    def near(self, base: np.ndarray, query: np.ndarray) -> np.ndarray:
+        return np.flatnonzero(self.differing(base, query) <= self.reach)
+
+
+class NearestSignatures(Signatures):
+    """Candidates are the ``share`` of a part's rows with the nearest signatures, ``least`` rows at least, and all that tie with them."""
+
+    def __init__(self, share: float, least: int, bits: int = SIGNATURE_BITS):
+        super().__init__(bits, bits)
+        self.share, self.least = share, least
+
+    def near(self, base: np.ndarray, query: np.ndarray) -> np.ndarray:
+        differing, wanted = self.differing(base, query), max(self.least, int(np.ceil(self.share * len(base))))
+        if wanted >= len(base):
+            return np.arange(len(base))
+        return np.flatnonzero(differing <= np.partition(differing, wanted - 1)[wanted - 1])
+
+
 def approx_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
                  qid_col: str = "query_id", qvec_col: str = "query_vec", keep: tuple[str, ...] = (),
                  bits: int = SIGNATURE_BITS, reach: int = SIGNATURE_REACH, fill: bool = False) -> DataFrame:
@@ -205,13 +294,7 @@ def approx_top_k(base: DataFrame, queries: DataFrame, k: int, id_col: str = "vec
     ``spark.checkpoint.dir`` at once, to see which queries are short.
     """
 
-    def near(bm: np.ndarray, qm: np.ndarray) -> list[np.ndarray]:
-        planes = signature_planes(bm.shape[1], bits).T
-        sign = lambda m: np.packbits(m @ planes > 0, axis=1)
-        b, q = sign(bm), sign(qm)
-        return [np.flatnonzero(np.bitwise_count(b ^ one).sum(axis=1, dtype=np.int64) <= reach) for one in q]
-
-    found = _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, near)
+    found = _top_k(base, queries, k, id_col, vec_col, qid_col, qvec_col, keep, Signatures(bits, reach))
     if not fill:
         return found
     path = scratch_path(base.sparkSession, "approx-top-k")

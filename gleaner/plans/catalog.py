@@ -233,4 +233,3 @@ def q_quarantine(spark, sf_dir):
 # Query modules register themselves on import (kept last: they import
 # ``register`` from here).
 from gleaner.plans import q_html, q_lake, q_messages, q_stream, q_vectors  # noqa: E402,F401
-from gleaner.plans import q_arrivals  # noqa: E402,F401  (its queries build on q_vectors)

@@ -7,11 +7,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from gleaner.operators import budget as B
+from gleaner.operators import vector_index as VI
 from gleaner.operators import vectors as V
 from gleaner.operators import warehouse as W
-from gleaner.plans.catalog import _D_CHUNKS, _chunks, register
+from gleaner.plans.catalog import _D_CHUNKS, ORACLES, _chunks, register
 from gleaner.plans.tables import table
+from gleaner.session import scratch_path
 from gleaner.sources.topics import url_frontier
+from gleaner.streaming import budget as SB
+from gleaner.streaming import pipeline as PL
 
 _TOKEN_RE = "[^ \\t\\n\\r\\f\\x0B]+"   # one token = a run of non-whitespace
 _D_TOK = f"CAST(len(regexp_extract_all(chunk_txt, '{_TOKEN_RE}')) AS BIGINT)"
@@ -209,6 +213,38 @@ def q_approx(spark, sf_dir):
     return V.approx_top_k(table(spark, sf_dir, "embeddings"), label_centroids(spark, sf_dir), 5)
 
 
+# the same searches with every fiftieth row as a query
+_D_ROWS = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+s AS (SELECT c.vec_id AS query_id, e.vec_id AS id, round(list_cosine_similarity(e.v, c.v), 6) AS score
+      FROM e CROSS JOIN e c WHERE c.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS BIGINT) AS rank, id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5"""
+
+
+def rows_as_queries(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").where("vec_id % 50 = 0").selectExpr("vec_id AS query_id", "embedding AS query_vec")
+
+
+@register("E4_cosine_top_k_rows", _D_ROWS)
+def q_topk_rows(spark, sf_dir):
+    return V.cosine_top_k(table(spark, sf_dir, "embeddings"), rows_as_queries(spark, sf_dir), 5)
+
+
+@register("E5_index_top_k", None)
+def q_index(spark, sf_dir):
+    """Approximate: the nearest cells of a stored index; recall is tested against E4."""
+    index = VI.build_index(table(spark, sf_dir, "embeddings"), scratch_path(spark, "vector-index"))
+    return index.search(rows_as_queries(spark, sf_dir), 5)
+
+
+@register("E5_index_exact_top_k", _D_ROWS)
+def q_index_exact(spark, sf_dir):
+    """Exact: the cells whose bound allows a better row are visited as well."""
+    index = VI.build_index(table(spark, sf_dir, "embeddings"), scratch_path(spark, "vector-index"))
+    return index.search(rows_as_queries(spark, sf_dir), 5, exact=True)
+
+
 _E6_ROWS = {
     "application_id": "vec_id", "chunk_idx": "CAST(label AS BIGINT)",
     "chunk_txt": "repeat('x', CAST(vec_id % 700 AS INT))",
@@ -232,8 +268,6 @@ def q_check_vectors(spark, sf_dir):
 @register("S7_vector_collection", "SELECT label, COUNT(*) AS n_rows, CAST(MIN(len(embedding)) AS INTEGER) AS dim "
                                   "FROM embeddings GROUP BY label")
 def q_collection(spark, sf_dir):
-    from gleaner.session import scratch_path
-
     name = f"vectors_{uuid.uuid4().hex[:8]}"
     W.create_vectors(spark, name, 64, 512, location=scratch_path(spark, name))
     W.create_vectors(spark, name, 64, 512)          # present: a no-op
@@ -248,3 +282,51 @@ def q_collection(spark, sf_dir):
     W.drop_vectors(spark, name)                       # absent: a no-op
     return spark.read.parquet(path).groupBy(F.col("chunk_idx").cast("int").alias("label")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(F.size("chunk_vec")).alias("dim"))
+
+
+# -- A3 / A4 / A6 as requests arrive -----------------------------------------------------------
+
+ARRIVALS = 3
+
+
+def arriving(df, order: str):
+    """The table in ARRIVALS parts, each all before the next in ``order`` (equal widths of its range)."""
+    number = F.col(order).cast("double")
+    lo, hi = df.agg(F.min(number), F.max(number)).first()
+    if lo is None:
+        return []
+    step = (hi - lo) / ARRIVALS
+    part = F.least(F.floor((number - F.lit(lo)) / F.lit(step or 1.0)), F.lit(ARRIVALS - 1))
+    return [df.where(part == i) for i in range(ARRIVALS)]
+
+
+@register("A3_A4_budget_stream", ORACLES["A3_A4_budget"])
+def q_budget_stream(spark, sf_dir):
+    """Requests arrive in three landings; the query is started anew for each and goes on from its checkpoint."""
+    root = scratch_path(spark, "budget-stream")
+    requests = _chunk_tokens(spark, sf_dir).select("lang", "source", "doc_id", "chunk_idx", "tokens")
+    for part in arriving(requests, "doc_id"):
+        part.write.mode("append").parquet(f"{root}/requests")
+        stream = spark.readStream.schema(requests.schema).parquet(f"{root}/requests")
+        decided = SB.budget_stream(stream, ["lang", "source"], ["doc_id", "chunk_idx"], token_limit=TOKEN_LIMIT,
+                                   usd_limit=USD_LIMIT, price=PRICE)
+        PL.drain(decided, lambda df, b: df.write.mode("overwrite").parquet(f"{root}/decided/batch={b}"), f"{root}/ckpt")
+    out = spark.read.schema("doc_id bigint, chunk_idx bigint, tok_ok boolean, admitted boolean").parquet(f"{root}/decided")
+    return out.select("doc_id", "chunk_idx", "tok_ok", "admitted")
+
+
+@register("A6_rate_audit_stream", ORACLES["A6_rate_audit"])
+def q_rate_stream(spark, sf_dir):
+    """Events arrive in order in three landings; a heartbeat two days on lets the watermark pass the last window."""
+    root = scratch_path(spark, "audit-stream")
+    events = table(spark, sf_dir, "events").select(
+        "ts", F.expr(_MODEL_OF_EVENT).alias("model"), F.floor("value").cast("bigint").alias("tokens"))
+    beat = events.agg((F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts")).where("ts is not null").select(
+        "ts", F.lit(None).cast("string").alias("model"), F.lit(0).cast("bigint").alias("tokens"))
+    for part in [*arriving(events.withColumn("at", F.col("ts").cast("timestamp")), "at"), beat]:
+        part.select("ts", "model", "tokens").write.mode("append").parquet(f"{root}/events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+    audit = SB.rate_audit_stream(stream, "ts", "model", "tokens", B.model_catalog(spark))
+    (audit.writeStream.outputMode("append").format("parquet").option("path", f"{root}/audit")
+     .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(audit.schema).parquet(f"{root}/audit")

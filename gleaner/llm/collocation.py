@@ -11,15 +11,16 @@ of a window ends inside it; so every occurrence is counted in one chunk, the
 one whose body (the words before the next window) it starts in, weighted by the
 chunk's frequency.
 
-Scale. Counts are exact, and no table of phrases is broadcast. A phrase that
-occurs often consists of shorter ones that do, so the dictionary is read three
-times: words and the 64-bit hashes of all word pairs; pairs that may be frequent
-and hashes of word triples made of such pairs; triples that may be, and
-quadruples made of them. What may be frequent is told by a bit table of a fixed
-size, which only ever lets too much through: on a corpus far larger than the
-table was sized for, more is shuffled and the result is the same. Blocks of
-chunks add up their own phrases by exact keys before anything is shuffled, so a
-phrase that is everywhere moves once per block.
+Scale. Counts are exact, and no table of phrases is broadcast. The dictionary is
+written once, in blocks of chunks whose words are numbers. A phrase that occurs
+often consists of shorter ones that do, so the blocks are read four times: words;
+64-bit hashes of the pairs of words that may be frequent; pairs that may be, and
+hashes of triples made of such pairs; triples that may be, and quadruples made
+of them. What may be frequent is told by a bit table of a fixed size, which only
+ever lets too much through: on a corpus far larger than the table was sized for,
+more is shuffled and the result is the same. A block adds up its own phrases by
+exact keys before anything is shuffled, so a phrase that is everywhere moves
+once per block.
 """
 
 from __future__ import annotations
@@ -28,19 +29,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import drop_scratch, spark_read, write_scratch
+from gleaner.llm.lm import planes, unplanes
 
 LONGEST = 4                  # words of a phrase
 OVERLAP = LONGEST - 1        # words of a trigger window
 TRIGGER = 12                 # one window in so many starts a chunk
 LEAST = 30                   # occurrences of a candidate
 TOP = 2000                   # phrases reported for each language
-BLOCK_WORDS = 1_000_000
-CHUNKS_HELD = 200_000        # distinct chunks that a task adds up before it hands them on
+BLOCK_BYTES = 8_000_000      # of chunks in a block of the dictionary
+TEXT_BYTES = 16_000_000      # parsed together; one text may be longer
 TABLE_BITS = 26              # log2 of the bits that tell what may be frequent: 8 MB
 
 BREAKS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
@@ -52,12 +55,33 @@ def mix(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> SHIFT)
 
 
-def pieces_of(text: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece that has any; A-Z lower-cased."""
-    for piece in text.lower().translate(BREAKS).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield words
+def pieces_of(texts: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The words of all pieces end to end, A-Z lower-cased, and the number of words of each piece that has any."""
+    pieces = pc.split_pattern(pa.array([texts.lower().translate(BREAKS)], pa.binary()), b"\n").flatten()
+    split = pc.ascii_split_whitespace(pieces.view(pa.string()))
+    words = split.flatten().view(pa.binary())
+    there = pc.binary_length(words).to_numpy() > 0          # blanks at a piece's ends leave empty words
+    ends = np.concatenate([[0], np.cumsum(there)])[split.offsets.to_numpy()]
+    lengths = np.diff(ends)
+    return words.filter(pa.array(there)), lengths[lengths > 0]
+
+
+def numbered(words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Words as numbers, and the distinct words."""
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary
+
+
+def hashed_words(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), np.uint64, len(words))
+
+
+def joined(words: pa.Array, ids: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The stretches of ``lengths`` words from ``starts`` on, as text with spaces."""
+    ends = np.cumsum(lengths)
+    at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
+    offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, words.take(pa.array(ids[at]))), b" ")
 
 
 def spans(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,71 +109,81 @@ def dictionary(docs: DataFrame, trigger: int = TRIGGER) -> DataFrame:
     """(lang, chunk, body, freq): the distinct chunks of each language and how often the parse has them."""
     out = pa.schema([("lang", pa.string()), ("chunk", pa.binary()), ("body", pa.int32()), ("freq", pa.int64())])
 
+    def parsed(lang: str, texts: list[bytes]) -> pa.Table:
+        words, lengths = pieces_of(b"\n".join(texts))
+        ids, distinct = numbered(words)
+        starts, ends, bodies = cuts(hashed_words(distinct)[ids], lengths, trigger)
+        chunks = pa.table({"chunk": joined(distinct, ids, starts, ends - starts), "body": pa.array(bodies.astype(np.int32))})
+        counts = chunks.group_by(["chunk", "body"]).aggregate([([], "count_all")])
+        return pa.table([pa.repeat(pa.scalar(lang), counts.num_rows), counts["chunk"], counts["body"], counts["count_all"]], schema=out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        held: dict[tuple, int] = {}
-
-        def block(words: list[bytes], lengths: list[int], langs: list[str]) -> None:
-            if len(known) > BLOCK_WORDS:
-                known.clear()
-            for w in set(words).difference(known):
-                known[w] = xxhash.xxh64_intdigest(w)
-            hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-            sizes = np.array(lengths)
-            starts, ends, bodies = cuts(hashes, sizes, trigger)
-            piece = np.searchsorted(np.cumsum(sizes), starts, side="right")
-            for a, e, b, p in zip(starts.tolist(), ends.tolist(), bodies.tolist(), piece.tolist()):
-                key = (langs[p], b" ".join(words[a:e]), b)
-                held[key] = held.get(key, 0) + 1
-
-        def hand_on() -> pa.RecordBatch:
-            cols = list(zip(*held)) or [[], [], []]
-            batch = pa.RecordBatch.from_arrays([*(pa.array(c, f.type) for c, f in zip(cols, out)), pa.array(list(held.values()), pa.int64())], schema=out)
-            held.clear()
-            return batch
-
-        words, lengths, langs = [], [], []
+        held: dict[str, list[bytes]] = {}
+        size = 0
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for piece in pieces_of(text):
-                    words += piece
-                    lengths.append(len(piece))
-                    langs.append(lang)
-                if len(words) >= BLOCK_WORDS // 4:
-                    block(words, lengths, langs)
-                    words, lengths, langs = [], [], []
-                    if len(held) >= CHUNKS_HELD:
-                        yield hand_on()
-        if words:
-            block(words, lengths, langs)
-        yield hand_on()
+                held.setdefault(lang, []).append(text)
+                size += len(text)
+                if size >= TEXT_BYTES:
+                    for item in held.items():
+                        yield from parsed(*item).to_batches()
+                    held, size = {}, 0
+        for item in held.items():
+            yield from parsed(*item).to_batches()
 
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    parsed = texts.mapInArrow(run, "lang string, chunk binary, body int, freq bigint")
-    return parsed.groupBy("lang", "chunk", "body").agg(F.sum("freq").alias("freq"))
+    found = texts.mapInArrow(run, "lang string, chunk binary, body int, freq bigint")
+    return found.groupBy("lang", "chunk", "body").agg(F.sum("freq").alias("freq"))
 
 
 # --- counts in the dictionary ----------------------------------------------------
 
+BLOCK = ["langs", "words", "lang", "ids", "lengths", "bodies", "freqs"]
+
+
+def blocks(chunks: DataFrame) -> DataFrame:
+    """The dictionary in blocks of about BLOCK_BYTES: chunks laid end to end, words and languages as numbers."""
+    out = pa.schema([("langs", pa.list_(pa.string())), *((c, pa.binary()) for c in BLOCK[1:])])
+
+    def pack(held: pa.Table) -> pa.RecordBatch:
+        lang, langs = numbered(held["lang"].combine_chunks())
+        split = pc.split_pattern(held["chunk"].combine_chunks(), b" ")
+        ids, words = numbered(split.flatten())
+        numbers = (lang, ids, np.diff(split.offsets.to_numpy()), held["body"].to_numpy(), held["freq"].to_numpy())
+        row = ([langs.to_pylist()], [b" ".join(words.to_pylist())], *([planes(n)] for n in numbers))
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, out)], schema=out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += pc.sum(pc.binary_length(batch.column("chunk"))).as_py()
+            if size >= BLOCK_BYTES:
+                yield pack(pa.Table.from_batches(held))
+                held, size = [], 0
+        if held:
+            yield pack(pa.Table.from_batches(held))
+
+    return chunks.select("lang", "chunk", "body", "freq").mapInArrow(
+        run, "langs array<string>, words binary, lang binary, ids binary, lengths binary, bodies binary, freqs binary")
+
+
 class Block:
     """Chunks laid end to end, with exact keys and hashes of the phrases that start in their bodies."""
 
-    def __init__(self, langs: list[str], chunks: list[list[bytes]], bodies: list[int], freqs: list[int]):
-        lengths = np.array([len(c) for c in chunks])
-        names: dict[str, int] = {}
-        words: dict[bytes, int] = {}
-        lang = np.array([names.setdefault(x, len(names)) for x in langs])
-        ids = np.fromiter((words.setdefault(w, len(words)) for c in chunks for w in c), np.int64, int(lengths.sum()))
-        self.langs, self.words = list(names), list(words)
+    def __init__(self, langs, words, lang, ids, lengths, bodies, freqs):
+        lengths = unplanes(lengths, "<i4").astype(np.int64)
+        ids = unplanes(ids, "<i4").astype(np.int64)
+        self.langs, self.words = langs, pc.split_pattern(pa.array([words], pa.binary()), b" ").flatten()
         first, self.end = spans(lengths)
         self.at = np.arange(len(ids))
-        self.inside = self.at - first < np.repeat(np.array(bodies), lengths)
-        self.freq = np.repeat(np.array(freqs, np.int64), lengths)
-        self.lang = np.repeat(lang, lengths)
+        self.inside = self.at - first < np.repeat(unplanes(bodies, "<i4"), lengths)
+        self.freq = np.repeat(unplanes(freqs, "<i8"), lengths)
+        self.lang = np.repeat(unplanes(lang, "<i4").astype(np.int64), lengths)
         self.ids = np.concatenate([ids, np.zeros(LONGEST, np.int64)])
         seeds = np.array([xxhash.xxh64_intdigest(x.encode(), seed=1) for x in self.langs], np.uint64)
-        known = np.array([xxhash.xxh64_intdigest(w) for w in self.words], np.uint64)
-        self.word_hash = known[self.ids]
+        self.word_hash = hashed_words(self.words)[self.ids]
         self.seed = seeds[self.lang]
 
     def hashes(self, n: int) -> np.ndarray:
@@ -163,22 +197,25 @@ class Block:
         """Whether a phrase of ``n`` words to count here starts at each position."""
         return self.inside & (self.at + n <= self.end)
 
-    def phrases(self, n: int, chosen: np.ndarray) -> Iterator[tuple[str, bytes, int]]:
+    def phrases(self, n: int, chosen: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
         """Language, words and weighted count of the distinct phrases among those at ``chosen``."""
         key = self.lang[chosen]
         for k in range(n):
             key = key * len(self.words) + self.ids[chosen + k]
             if k < n - 1:
                 key = np.unique(key, return_inverse=True)[1]
-        _, place, which = np.unique(key, return_index=True, return_inverse=True)
-        for at, f in zip(chosen[place].tolist(), sums(which, self.freq[chosen], len(place)).tolist()):
-            yield self.langs[self.lang[at]], b" ".join([self.words[i] for i in self.ids[at:at + n].tolist()]), f
+        order, starts, totals = added_up(key, self.freq[chosen])
+        at = chosen[order[starts]]
+        return (pa.array(self.langs, pa.string()).take(pa.array(self.lang[at])),
+                joined(self.words, self.ids, at, np.full(len(at), n)), totals)
 
 
-def sums(groups: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    out = np.zeros(n, np.int64)
-    np.add.at(out, groups, values)
-    return out
+def added_up(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A sorting order of the keys, where each distinct key starts in it, and the sum of its values."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return order, starts, np.add.reduceat(values[order], starts) if len(keys) else np.zeros(0, np.int64)
 
 
 def may_be(h: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -202,18 +239,18 @@ def bit_table(frequent: DataFrame):
     return frequent.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
-def counted(chunks: DataFrame, strings, hashed: int = 0, table=None, least: int = LEAST) -> DataFrame:
+def counted(packed: DataFrame, strings: list[int], hashed: int = 0, table=None, least: int = LEAST) -> DataFrame:
     """(n, lang, phrase, h, f) with f >= ``least``: phrases of the lengths ``strings`` and hashes of those of ``hashed`` words.
 
-    With a ``table``, a phrase counts only if it may be frequent: if the table
-    has it, or all its parts of the table's length. Rows of n = 0 hold the words
-    of each language, whatever their number.
+    With a ``table`` of the hashes of frequent phrases of some length, a phrase
+    counts only if it may be frequent: if the table has it, or all its parts of
+    that length; the length is the least of ``strings``, or one less than
+    ``hashed``. Without, rows of n = 0 hold the words of each language.
     """
-    size = min(strings)
+    size = min(strings, default=hashed - 1)
     out = pa.schema([("n", pa.int32()), ("lang", pa.string()), ("phrase", pa.binary()), ("h", pa.int64()), ("f", pa.int64())])
 
-    def count(rows: list[tuple], bits: np.ndarray | None) -> pa.RecordBatch:
-        block = Block(*map(list, zip(*rows)))
+    def count(block: Block, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         hit = None if bits is None else np.concatenate([may_be(block.hashes(size), bits), np.zeros(LONGEST, bool)])
 
         def chosen(n: int) -> np.ndarray:
@@ -223,59 +260,68 @@ def counted(chunks: DataFrame, strings, hashed: int = 0, table=None, least: int
                     ok = ok & hit[k:k + len(ok)]
             return np.flatnonzero(ok)
 
-        found = [(n, *p) for n in strings for p in block.phrases(n, chosen(n))]
+        def rows(n: int, lang: pa.Array, phrase: pa.Array, f: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(f), n, np.int32)), lang, phrase, pa.nulls(len(f), pa.int64()), pa.array(f)], schema=out)
+
+        for n in strings:
+            yield rows(n, *block.phrases(n, chosen(n)))
         if bits is None:
-            totals = sums(block.lang, np.where(block.inside, block.freq, 0), len(block.langs))
-            found += [(0, lang, b"", int(t)) for lang, t in zip(block.langs, totals)]
-        n, lang, phrase, f = map(list, zip(*found)) if found else ([], [], [], [])
-        parts = [pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(lang, pa.string()), pa.array(phrase, pa.binary()),
-                                             pa.nulls(len(n), pa.int64()), pa.array(f, pa.int64())], schema=out)]
+            order, starts, totals = added_up(block.lang, np.where(block.inside, block.freq, 0))
+            yield rows(0, pa.array(block.langs, pa.string()).take(pa.array(block.lang[order[starts]])), pa.array([b""] * len(totals), pa.binary()), totals)
         if hashed:
             at = chosen(hashed)
-            h, which = np.unique(block.hashes(hashed)[at], return_inverse=True)
-            parts.append(pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(h), hashed, np.int32)), pa.nulls(len(h), pa.string()), pa.nulls(len(h), pa.binary()),
-                pa.array(h.view(np.int64)), pa.array(sums(which, block.freq[at], len(h)))], schema=out))
-        return parts
+            h = block.hashes(hashed)[at]
+            order, starts, totals = added_up(h, block.freq[at])
+            h = h[order[starts]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), hashed, np.int32)), pa.nulls(len(h), pa.string()),
+                                              pa.nulls(len(h), pa.binary()), pa.array(h.view(np.int64)), pa.array(totals)], schema=out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if table is None else np.frombuffer(table.value, np.uint64)
-        rows, words = [], 0
         for batch in batches:
-            for lang, chunk, body, freq in zip(*(c.to_pylist() for c in batch.columns)):
-                chunk = chunk.split(b" ")
-                rows.append((lang, chunk, body, freq))
-                words += len(chunk)
-                if words >= BLOCK_WORDS:
-                    yield from count(rows, bits)
-                    rows, words = [], 0
-        if rows:
-            yield from count(rows, bits)
-
-    found = chunks.select("lang", "chunk", "body", "freq").mapInArrow(run, "n int, lang string, phrase binary, h bigint, f bigint")
+            for i in range(batch.num_rows):
+                yield from count(Block(*(batch.column(c)[i].as_py() for c in BLOCK)), bits)
+
+    found = packed.mapInArrow(run, "n int, lang string, phrase binary, h bigint, f bigint")
     return found.groupBy("n", "lang", "phrase", "h").agg(F.sum("f").alias("f")).where((F.col("f") >= least) | (F.col("n") == 0))
 
 
+def hashes_of(words: DataFrame) -> DataFrame:
+    """The hash of each counted word, as a block has it for one word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seeds = [xxhash.xxh64_intdigest(x.encode(), seed=1) for x in batch.column(0).to_pylist()]
+            known = [xxhash.xxh64_intdigest(w) for w in batch.column(1).to_pylist()]
+            h = mix(np.array(seeds, np.uint64) + np.array(known, np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "h bigint")
+
+
 def phrase_counts(docs: DataFrame, least: int = LEAST, trigger: int = TRIGGER) -> DataFrame:
     """(n, lang, phrase, f): every phrase of 1 to 4 words with f >= ``least``, and each language's number of words as n = 0."""
-    spark, scratch = docs.sparkSession, []
+    spark, scratch, tables = docs.sparkSession, [], []
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         scratch.append(write_scratch(df, name))
         return spark_read(spark, scratch[-1], df)
 
-    chunks = keep(dictionary(docs, trigger), "phrase-chunks")
-    ones = keep(counted(chunks, [1], hashed=2, least=least), "phrase-words")
-    pairs = bit_table(ones.where("h is not null"))
-    twos = keep(counted(chunks, [2], hashed=3, table=pairs, least=least), "phrase-pairs")
-    triples = bit_table(twos.where("h is not null"))
-    more = counted(chunks, [3, 4], table=triples, least=least)
+    def table(hashes: DataFrame):
+        tables.append(bit_table(hashes))
+        return tables[-1]
+
+    packed = keep(blocks(dictionary(docs, trigger)), "phrase-blocks")
+    ones = keep(counted(packed, [1], least=least), "phrase-words")
+    pairs = keep(counted(packed, [], 2, table(hashes_of(ones.where("n = 1"))), least), "phrase-pair-hashes")
+    twos = keep(counted(packed, [2], 3, table(pairs), least), "phrase-pairs")
+    more = counted(packed, [3, 4], 0, table(twos.where("h is not null")), least)
     every = ones.unionByName(twos).unionByName(more).where("h is null").select("n", "lang", F.col("phrase").cast("string").alias("phrase"), "f")
     path = write_scratch(every, "phrase-counts")
     for p in scratch:
         drop_scratch(spark, p)
-    pairs.destroy()
-    triples.destroy()
+    for t in tables:
+        t.destroy()
     return spark_read(spark, path, every)
 
 

@@ -16,16 +16,21 @@ The document store of the reference (upsert by key, ``$set`` /
   then ``left_anti`` against keys first written by *earlier* batches — so a
   replayed batch re-emits exactly the same rows.
 
-``Lake`` persists the log as Parquet under a root folder (one sub-folder per
-batch) and compacts it into a snapshot that is itself a valid change log.
+``_seq`` is the order of the writes, a number or any other sortable value (the
+pipeline uses a struct of the source's offsets). ``Lake`` persists the log as
+Parquet under a root folder, in runs that are merged as they pile up.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 META = ("key", "_seq", "_batch", "_set", "_ins", "_writer")
 
@@ -40,13 +45,14 @@ def change_rows(df: DataFrame, key: str | Column, seq: str | Column, batch_id: i
     """Turn a DataFrame of writes into change-log rows.
 
     ``set_fields`` / ``insert_fields`` map field name -> value expression.
+    Writers of one lake must number their writes in one type.
     """
     set_fields = set_fields or {}
     insert_fields = insert_fields or {}
     k = F.col(key) if isinstance(key, str) else key
     s = F.col(seq) if isinstance(seq, str) else seq
     b = F.lit(batch_id) if isinstance(batch_id, int) else batch_id
-    cols = [k.cast("string").alias("key"), s.cast("bigint").alias("_seq"), b.cast("bigint").alias("_batch"),
+    cols = [k.cast("string").alias("key"), s.alias("_seq"), b.cast("bigint").alias("_batch"),
             _arr(list(set_fields)).alias("_set"), _arr(list(insert_fields)).alias("_ins")]
     for name, v in {**insert_fields, **set_fields}.items():
         cols.append((F.col(v) if isinstance(v, str) else v).alias(name))
@@ -150,93 +156,182 @@ def new_only_all(changes: DataFrame) -> DataFrame:
     return first_writes(changes)
 
 
+@dataclass(frozen=True)
+class Run:
+    """Change rows of the batches ``lo`` to ``hi`` of one writer; a level is merged from runs of the level below."""
+
+    level: int
+    lo: int
+    hi: int
+    path: str
+
+    def holds(self, other: "Run") -> bool:
+        return self.lo <= other.lo and other.hi <= self.hi and self.level > other.level
+
+
 class Lake:
-    """A change-log collection stored as Parquet (S9 scan + U1-U5 writes)."""
+    """A change-log collection stored as Parquet (S9 scan + U1-U5 writes).
+
+    Every writer has runs: an appended batch is a run of level 0, and as soon
+    as a level has ``fan_in`` runs they are merged into one of the next level
+    that keeps only the rows that still decide something. A reader takes the
+    few runs that no complete larger run holds, so what it reads grows with the
+    keys and not with the number of batches. Merged rows lie in hash buckets of
+    their key, and a merge writes only the buckets its runs touched. A run counts
+    once its ``_SUCCESS`` marker is there; runs that a merge replaced are
+    deleted at the writer's next merge, when their last readers are gone.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16, fan_in: int = 8):
+        self.spark, self.root, self.buckets, self.fan_in = spark, root.rstrip("/"), buckets, fan_in
+        self._schemas: dict[str, T.StructType] = {}
+        self._written: dict[str, list[Run]] = {}     # complete runs of writers that write through this object
 
     @property
     def log_path(self) -> str:
         return f"{self.root}/log"
 
-    def append(self, changes: DataFrame, writer: str = "default") -> None:
-        """Append change rows under ``_writer=<writer>/_batch=<id>``; a
-        retried batch rewrites only its own partition (idempotent), and
-        concurrent writers never touch each other's partitions."""
-        (changes.withColumn("_writer", F.lit(writer)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_writer", "_batch").parquet(self.log_path))
+    def writer_path(self, writer: str) -> str:
+        return f"{self.log_path}/_writer={writer}"
+
+    # -- files --------------------------------------------------------------------
 
     def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
 
-    def _index_root(self, writer: str) -> str:
-        return f"{self.root}/key_index/_writer={writer}"
-
-    def _index_marks(self, writer: str) -> list[int]:
-        """Batch marks of the written key indexes (``upto=<b>`` folders that
-        hold a ``_SUCCESS`` marker)."""
-        fs, p = self._fs(self._index_root(writer))
-        if not fs.exists(p):
-            return []
-        marks = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("upto=") and fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(
-                    st.getPath(), "_SUCCESS")):
-                marks.append(int(name[len("upto="):]))
-        return sorted(marks)
-
-    def _log_keys(self, writer: str | None, lo: int | None, hi: int | None) -> DataFrame | None:
-        try:
-            df = self.spark.read.schema("key string, _writer string, _batch bigint").parquet(self.log_path)
-        except Exception as exc:
-            if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
+    def _children(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+    def writers(self) -> list[str]:
+        return sorted(n.removeprefix("_writer=") for n in self._children(self.log_path) if n.startswith("_writer="))
+
+    def _all_runs(self, writer: str) -> list[Run]:
+        out = []
+        for name in self._children(self.writer_path(writer)):
+            if name.startswith("run="):
+                level, lo, hi = map(int, name.removeprefix("run=").split(".."))
+                path = f"{self.writer_path(writer)}/{name}"
+                fs, done = self._fs(f"{path}{self._folder(level)}/_SUCCESS")
+                if fs.exists(done):
+                    out.append(Run(level, lo, hi, path))
+        return out
+
+    @staticmethod
+    def _folder(level: int) -> str:
+        """A batch is written as it comes, under one bucket of its own; merges deal it into the buckets of its keys."""
+        return "/bucket=-1" if level == 0 else ""
+
+    @staticmethod
+    def _live(every: list[Run]) -> list[Run]:
+        return sorted((r for r in every if not any(o.holds(r) for o in every)), key=lambda r: (r.lo, r.level))
+
+    def runs(self, writer: str) -> list[Run]:
+        """The runs to read: complete ones that no larger one holds."""
+        return self._live(self._all_runs(writer))
+
+    def _schema(self, writer: str) -> T.StructType | None:
+        """The fields that a writer's batches have had so far, kept beside its runs."""
+        if writer not in self._schemas:
+            names = sorted(n for n in self._children(self.writer_path(writer)) if n.startswith("_schema-"))
+            if not names:
                 return None
-            raise
-        if writer is not None:
-            df = df.filter(F.col("_writer") == F.lit(writer))
-        if lo is not None:
-            df = df.filter(F.col("_batch") >= F.lit(lo))
-        if hi is not None:
-            df = df.filter(F.col("_batch") < F.lit(hi))
-        return df.select("key", "_batch")
-
-    def keys(self, writer: str | None = None, before_batch: int | None = None) -> DataFrame | None:
-        """Keys already written (optionally by one writer, before a batch).
-
-        Reads only the ``key`` column and prunes ``_writer``/``_batch``
-        partitions. With a key index (``compact_keys``) it reads the index
-        (one row per key) plus only the log batches written after it, so
-        the per-batch new-only check grows with distinct keys, not history.
-        """
-        marks = [m for m in self._index_marks(writer) if before_batch is None or m <= before_batch] \
-            if writer is not None else []
-        lo = marks[-1] if marks else None
-        recent = self._log_keys(writer, lo, before_batch)
-        if lo is None:
-            return recent
-        idx = self.spark.read.schema("key string, _batch bigint").parquet(f"{self._index_root(writer)}/upto={lo}")
-        return idx if recent is None else idx.unionByName(recent)
-
-    def compact_keys(self, writer: str, upto: int) -> None:
-        """Write the key index of ``writer`` for batches < ``upto``: one row
-        per key with its first batch (deterministic, so a retried batch
-        rewrites identical content)."""
-        src = self.keys(writer, upto)
-        if src is None:
+            fs, p = self._fs(f"{self.writer_path(writer)}/{names[-1]}")
+            stream = fs.open(p)
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            stream.close()
+            self._schemas[writer] = T.StructType.fromJson(json.loads(text))
+        return self._schemas[writer]
+
+    def _remember(self, writer: str, schema: T.StructType) -> None:
+        known = self._schema(writer)
+        fields = {f.name: T.StructField(f.name, f.dataType) for f in (*(known.fields if known else ()), *schema.fields)}
+        if known is not None and len(fields) == len(known.fields):
             return
-        idx = src.groupBy("key").agg(F.min("_batch").alias("_batch"))
-        idx.write.mode("overwrite").parquet(f"{self._index_root(writer)}/upto={upto}")
+        self._schemas[writer] = T.StructType(list(fields.values()))
+        fs, p = self._fs(f"{self.writer_path(writer)}/_schema-{len(fields):06d}")
+        stream = fs.create(p, True)
+        stream.writeBytes(self._schemas[writer].json())
+        stream.close()
+
+    # -- writes -------------------------------------------------------------------
+
+    def append(self, changes: DataFrame, writer: str = "default", batch: int | None = None) -> None:
+        """Append change rows as a run.
 
-    def log(self) -> DataFrame | None:
-        """The change log, or None before the first write."""
-        fs, p = self._fs(self.log_path)
-        return self.spark.read.option("mergeSchema", "true").parquet(self.log_path) if fs.exists(p) else None
+        ``batch`` says that all rows are of that batch; without it the rows
+        tell. A batch that is written again replaces its own run, or nothing
+        if a merge has taken the run up (its rows are the same). Writers never
+        touch each other's runs.
+        """
+        if batch is None:
+            span = changes.agg(F.min("_batch").alias("lo"), F.max("_batch").alias("hi")).first()
+            if span["lo"] is None:
+                return
+            run = Run(0, span["lo"], span["hi"], "")
+        else:
+            run = Run(0, batch, batch, "")
+        if writer not in self._written:
+            self._written[writer] = self._all_runs(writer)
+        if any(o.holds(run) for o in self._written[writer]):
+            return
+        self._remember(writer, changes.schema)
+        self._write(changes, writer, run)
+        self._merge(writer)
+
+    def _write(self, rows: DataFrame, writer: str, run: Run) -> None:
+        path = f"{self.writer_path(writer)}/run={run.level}..{run.lo}..{run.hi}"
+        if run.level == 0:
+            rows.write.mode("overwrite").parquet(path + self._folder(0))
+        else:
+            bucket = F.pmod(F.xxhash64("key"), F.lit(self.buckets)).cast("int")
+            rows.withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        done = replace(run, path=path)
+        self._written[writer] = [r for r in self._written[writer] if r != done] + [done]
+
+    def _merge(self, writer: str) -> None:
+        """Merge full levels, and delete what earlier merges replaced."""
+        while True:
+            live = self._live(self._written[writer])
+            level = next((n for n in sorted({r.level for r in live}) if sum(r.level == n for r in live) >= self.fan_in), None)
+            if level is None:
+                return
+            full = [r for r in live if r.level == level]
+            gone = [r for r in self._written[writer] if r not in live]
+            rows = self._read(writer, full)
+            self._write(surviving(rows.select(*self._schema(writer).names)), writer,
+                        Run(level + 1, min(r.lo for r in full), max(r.hi for r in full), ""))
+            for r in gone:
+                fs, p = self._fs(r.path)
+                fs.delete(p, True)
+            self._written[writer] = [r for r in self._written[writer] if r not in gone]
+
+    # -- reads --------------------------------------------------------------------
+
+    def _read(self, writer: str, runs: list[Run]) -> DataFrame | None:
+        if not runs:
+            return None
+        schema = T.StructType([*self._schema(writer).fields, T.StructField("bucket", T.IntegerType())])
+        return self.spark.read.schema(schema).option("basePath", self.writer_path(writer)).parquet(*[r.path for r in runs]).drop("run")
+
+    def log(self, writer: str | None = None) -> DataFrame | None:
+        """The change log (of one writer or of all), or None before the first write."""
+        parts = []
+        for w in [writer] if writer is not None else self.writers():
+            rows = self._read(w, self.runs(w))
+            if rows is not None:
+                parts.append(rows.drop("bucket").withColumn("_writer", F.lit(w)))
+        return union_changes(*parts) if parts else None
+
+    def keys(self, writer: str, before_batch: int | None = None) -> DataFrame | None:
+        """(key, _batch, bucket) rows of keys already written, by one writer and before a batch; a merged key has a row or two."""
+        live = self._live(self._written[writer]) if writer in self._written else self.runs(writer)
+        rows = self._read(writer, [r for r in live if before_batch is None or r.lo < before_batch])
+        if rows is None:
+            return None
+        rows = rows.select("key", "_batch", "bucket")
+        return rows if before_batch is None else rows.filter(F.col("_batch") < F.lit(before_batch))
 
     def scan(self, fields: list[str] | None = None) -> DataFrame:
         """The collection as a table (merge-on-read)."""
@@ -251,8 +346,6 @@ class Lake:
         The snapshot is itself a change log: later writes, also ones with an
         earlier sequence number, merge with it as with the full log.
         """
-        import uuid
-
         log = self.log()
         if log is None:
             raise FileNotFoundError(self.log_path)

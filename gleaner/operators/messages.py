@@ -13,6 +13,8 @@ Arrow-batched ``pandas_udf`` over a binary column (base64 stays native).
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -148,6 +150,50 @@ def dispatch_action(df: DataFrame, action: str, observation=None) -> DataFrame:
     return df.filter(hit)
 
 
+@dataclass(frozen=True)
+class Listener:
+    """Who hears which topics, with which parameters a message must have, and what is done with a batch.
+
+    ``sink(good, bad, batch_id)`` must be idempotent by batch id: it is called
+    again for a batch that failed half-way.
+    """
+
+    name: str
+    topics: tuple[str, ...]
+    params: T.StructType
+    sink: Callable[[DataFrame, DataFrame, int], None]
+    action: str | None = None
+    defaults: dict | None = None
+
+
+def deliver(listeners: list[Listener]) -> Callable[[DataFrame, int], None]:
+    """M6 with a decoder per listener: a ``foreachBatch`` function.
+
+    The batch is read once; every listener gets all messages of its topics,
+    decoded by its own parameters (and only its ``action``, if it names one). A
+    sink that fails does not keep the others from theirs; then the batch fails
+    and is run again, and what was already delivered is written over.
+    """
+
+    def batch(df: DataFrame, batch_id: int) -> None:
+        df = df.persist()
+        failed = []
+        try:
+            for one in listeners:
+                good, bad = decode_envelope(df.where(F.col("topic").isin(*one.topics)), one.params, one.defaults,
+                                            keep=tuple(c for c in ("topic", "partition", "offset", "timestamp") if c in df.columns))
+                try:
+                    one.sink(dispatch_action(good, one.action) if one.action else good, bad, batch_id)
+                except Exception as exc:          # reported below, after the other listeners had the batch
+                    failed.append((one.name, exc))
+        finally:
+            df.unpersist()
+        if failed:
+            raise RuntimeError(f"batch {batch_id}: listeners {[n for n, _ in failed]} failed") from failed[0][1]
+
+    return batch
+
+
 def fan_out(messages: DataFrame, listeners: DataFrame) -> DataFrame:
     """M6: each listener of a topic receives every message of that topic.
 
@@ -220,7 +266,11 @@ def encode_load_record(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def decode_load_record(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()
                        ) -> tuple[DataFrame, DataFrame]:
-    """M8: validate, inflate ``about``, parse timestamps -> (good, quarantine)."""
+    """M8: validate, inflate ``about``, parse timestamps -> (good, quarantine).
+
+    A good record has every field of the load record as a key, null where its
+    type allows it, and values of the declared types.
+    """
     text = F.decode(F.col(value), "UTF-8") if dict(df.dtypes).get(value) == "binary" else F.col(value)
     m = df.select(*keep, text.alias("_text"), F.from_json(text, LOAD_SCHEMA).alias("_m"))
     about_txt = unpack_text(F.col("_m.about"))
@@ -235,7 +285,12 @@ def decode_load_record(df: DataFrame, value: str = "value", keep: tuple[str, ...
                    F.col("_m.topic").alias("_topic"), F.col("_m.action").alias("_action"),
                    F.col("_m.about_codec").alias("_codec"), F.col("_m.about").alias("_about_raw"),
                    F.col("_m.apply_by").alias("_apply_raw"), F.col("_m.posted_at").alias("_posted_raw"))
+    keys = F.coalesce(F.json_object_keys("_text"), F.array().cast("array<string>"))
     errs = F.filter(F.array(
+        *[F.when(~F.array_contains(keys, f), F.lit(f"M8_missing_{f}")) for f in LOAD_FIELDS],
+        # there, but not a value of the declared type: never a good row with a null
+        *[F.when(F.get_json_object("_text", f"$.{f}").isNotNull() & F.col(f).isNull(), F.lit(f"M8_bad_{f}"))
+          for f in LOAD_FIELDS if f not in ("about", "apply_by", "posted_at")],
         F.when(F.col("_topic").isNull() | (F.col("_topic") != LOAD_TOPIC), F.lit("M8_topic")),
         F.when(F.col("_action").isNull() | (F.col("_action") != ACTION_LOAD), F.lit("M8_action")),
         F.when(F.col("_codec").isNull() | (F.col("_codec") != "zlib"), F.lit("M8_codec")),

@@ -128,13 +128,15 @@ def update_where(base: DataFrame, where: Column, assignments: dict[str, Column])
                          if c in assignments else F.col(c) for c in base.columns])
 
 
-def update_by_ids(base: DataFrame, updates: DataFrame, key: str, fields: list[str]) -> DataFrame:
+def update_by_ids(base: DataFrame, updates: DataFrame, key: str, fields: list[str], order: str | None = None) -> DataFrame:
     """Q6: per-id field update from an updates DataFrame.
 
-    Several updates of one id are reduced to the largest (by ``fields`` in
-    turn), so rows of ``base`` never multiply.
+    Of several updates of one id the last in ``order`` (a column of
+    ``updates``) counts, so rows of ``base`` never multiply; without ``order``
+    the largest by ``fields`` in turn.
     """
-    one = updates.groupBy(F.col(key).alias("_k")).agg(F.max(F.struct(*fields)).alias("_u"))
+    last = F.struct(*([order] if order else []), *fields)
+    one = updates.groupBy(F.col(key).alias("_k")).agg(F.max(last).alias("_u"))
     u = one.select("_k", *[F.col(f"_u.{f}").alias(f"_u_{f}") for f in fields], F.lit(True).alias("_hit"))
     joined = base.join(u, base[key] == u["_k"], "left")
     return joined.select(*[F.when(F.col("_hit"), F.col(f"_u_{c}")).otherwise(base[c]).alias(c)

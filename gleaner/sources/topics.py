@@ -9,6 +9,8 @@ schema, so both paths share all operators.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def topic_path(root: str, topic: str) -> str:
 _STORED = [f for f in ENVELOPE_SCHEMA.fields if f.name != "topic"]
 
 
-def read_topics(spark: SparkSession, source: str, topics: list[str], start: str = "earliest",
+def read_topics(spark: SparkSession, source: str, topics: list[str], start: str | datetime | dict[str, int] = "earliest",
                 streaming: bool = True, options: dict | None = None) -> DataFrame:
     """Subscribe to a set of topics.
 
@@ -53,6 +55,13 @@ def read_topics(spark: SparkSession, source: str, topics: list[str], start: str
     or the root folder of landed topics. Returns envelope rows of those
     topics only (a topic folder that does not exist yet is skipped in batch
     mode; a stream waits for it to appear).
+
+    ``start`` is ``earliest``, ``latest``, a time (messages stamped from then
+    on) or, for landed topics, a first offset per topic (others from the
+    earliest; Kafka takes its own JSON of offsets per partition). For landed
+    topics ``latest`` is resolved when this is called, from the recorded
+    offsets; a query that shall go on from its checkpoint keeps the positions
+    of ``latest_offsets`` and passes them.
     """
     from functools import reduce
 
@@ -62,32 +71,50 @@ def read_topics(spark: SparkSession, source: str, topics: list[str], start: str
     if source.startswith("kafka://"):
         reader = spark.readStream if streaming else spark.read
         r = (reader.format("kafka").option("kafka.bootstrap.servers", source[len("kafka://"):])
-             .option("subscribe", ",".join(topics)).option("startingOffsets", start))
+             .option("subscribe", ",".join(topics)))
+        if isinstance(start, datetime):
+            r = r.option("startingTimestamp", str(int(start.timestamp() * 1000)))
+        else:
+            r = r.option("startingOffsets", start)
         for k, v in options.items():
             r = r.option(k, v)
         return r.load().select(*[f.name for f in ENVELOPE_SCHEMA.fields])
+    if start == "latest":
+        start = latest_offsets(spark, source, topics)
+    elif isinstance(start, str) and start != "earliest":
+        start = datetime.fromisoformat(start)
     frames = []
     for t in topics:
         path = topic_path(source, t)
         if streaming:
             ensure_dir(spark, path)
-            r = spark.readStream.schema(T.StructType(_STORED))
+            # a topic's messages lie in its folder (publish) and in folders of batches (the pipeline)
+            r = spark.readStream.schema(T.StructType(_STORED)).option("recursiveFileLookup", "true")
             for k, v in options.items():
                 r = r.option(k, v)
             df = r.parquet(path)
         else:
             try:
-                df = spark.read.schema(T.StructType(_STORED)).parquet(path)
+                df = spark.read.schema(T.StructType(_STORED)).option("recursiveFileLookup", "true").parquet(path)
             except Exception as exc:   # topic never written
                 if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
                     raise
                 continue
+        if isinstance(start, datetime):
+            df = df.where(F.col("timestamp") >= F.lit(start))
+        elif isinstance(start, dict) and t in start:
+            df = df.where(F.col("offset") >= F.lit(start[t]))
         frames.append(df.select(F.lit(t).alias("topic"), *[f.name for f in _STORED]))
     if not frames:
         return spark.createDataFrame([], ENVELOPE_SCHEMA)
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def latest_offsets(spark: SparkSession, source: str, topics: list[str]) -> dict[str, int]:
+    """The offset that the next message of each landed topic will have at least."""
+    return {t: next_offset(spark, topic_path(source, t)) for t in topics}
+
+
 def to_envelope(df: DataFrame, topic: str | Column, key: str | Column | None, value: str | Column,
                 partition: Column | None = None, offset: Column | None = None,
                 timestamp: Column | None = None) -> DataFrame:
@@ -107,17 +134,42 @@ def to_envelope(df: DataFrame, topic: str | Column, key: str | Column | None, va
                      k.cast("binary").alias("key"), v.cast("binary").alias("value"))
 
 
-def next_offset(spark: SparkSession, sink: str) -> int:
-    """One past the largest offset of the landed topics under ``sink``."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(sink)
+def _offset_marks(spark: SparkSession, folder: str):
+    """File system, folder and (batch, next offset, name) of the marks that writers of a topic left."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_offsets")
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p) or not any(st.getPath().getName().startswith("topic=") for st in fs.listStatus(p)):
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return fs, p, sorted((int(n.split("..")[0]), int(n.split("..")[1]), n) for n in names if ".." in n and not n.startswith("."))
+
+
+def next_offset(spark: SparkSession, folder: str, batch: int | None = None) -> int:
+    """The offset that the next message of a topic (``folder``) gets, from the marks of earlier writes, without reading messages.
+
+    For a pipeline's ``batch`` only marks of earlier batches (and of publishes,
+    batch -1) count, so a batch that is written again numbers its messages as
+    before. A folder without marks, landed by something else, is read once.
+    """
+    fs, p, marks = _offset_marks(spark, folder)
+    mine = [n for b, n, _ in marks if batch is None or b < batch]
+    if marks or not fs.exists(p.getParent()):
+        return max(mine, default=0)
+    files = [st for st in fs.listStatus(p.getParent()) if not st.getPath().getName().startswith(("_", "."))]
+    if not files:
         return 0
-    top = spark.read.schema("offset bigint").option("recursiveFileLookup", "true").parquet(sink).agg(F.max("offset").alias("top")).first().top
+    top = spark.read.schema("offset bigint").option("recursiveFileLookup", "true").parquet(folder).agg(F.max("offset").alias("top")).first().top
     return 0 if top is None else top + 1
 
 
+def record_offset(spark: SparkSession, folder: str, offset: int, batch: int = -1, kept: int = 100) -> None:
+    """Mark where the offsets of a written batch (-1: a publish) end; old marks go."""
+    fs, p, marks = _offset_marks(spark, folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(p)
+    fs.create(path(p, f"{batch}..{offset}"), True).close()
+    for _, _, name in marks[:-kept]:
+        fs.delete(path(p, name), False)
+
+
 def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
             checkpoint: str | None = None, trigger: dict | None = None, query_name: str | None = None):
     """Keyed append to a topic.
@@ -137,9 +189,10 @@ def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
     out = df.select(t.alias("topic"), k.alias("key"), F.col("value").cast("binary").alias("value"),
                     *[c for c in ("partition", "offset", "timestamp") if c in cols])
     kafka = sink.startswith("kafka://")
+    folder = sink if topic is None else topic_path(sink, topic)
     if not kafka and "offset" not in cols and not df.isStreaming:
         # unique and growing over publishes, with gaps as a broker's may have
-        out = out.withColumn("offset", F.lit(next_offset(df.sparkSession, sink)) + F.monotonically_increasing_id())
+        out = out.withColumn("offset", F.lit(next_offset(df.sparkSession, folder)) + F.monotonically_increasing_id())
         cols = [*cols, "offset"]
     if not kafka:
         out = to_envelope(out, F.col("topic"), F.col("key"), F.col("value"),
@@ -164,12 +217,15 @@ def publish(df: DataFrame, topic: str | None, sink: str, key: str | None = None,
     from pyspark.sql import Observation
 
     obs = Observation("publish")
-    out = out.observe(obs, F.count(F.lit(1)).alias("n"))
+    top = F.lit(None).cast("bigint") if kafka else F.max("offset")
+    out = out.observe(obs, F.count(F.lit(1)).alias("n"), top.alias("top"))
     if kafka:
         out.select("topic", "key", "value").write.format("kafka") \
             .option("kafka.bootstrap.servers", sink[len("kafka://"):]).save()
     else:
         out.write.mode("append").partitionBy("topic").parquet(sink)
+        if obs.get["top"] is not None:
+            record_offset(df.sparkSession, folder, max(obs.get["top"] + 1, next_offset(df.sparkSession, folder)))
     return int(obs.get["n"] or 0)
 
 
@@ -199,7 +255,7 @@ def retain(landed: DataFrame, now, hours: int = RETENTION_HOURS, segment_hours:
     literal, which reaches the scan. ``now`` is wall-clock time
     (a ``datetime`` or ISO text).
     """
-    from datetime import datetime, timedelta
+    from datetime import timedelta
 
     moment = datetime.fromisoformat(now) if isinstance(now, str) else now
     epoch, segment = datetime(1970, 1, 1), timedelta(hours=segment_hours)

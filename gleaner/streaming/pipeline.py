@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions import clean as C
@@ -62,19 +62,20 @@ def drain(stream: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: s
     return q
 
 
-ROW_BITS, PARTITION_BITS = 24, 14
+def order_of(df: DataFrame, batch_id: int, item: str | None = None) -> Column:
+    """Order of a batch's writes: the batch, then the source's (offset, partition), then the place within a message.
 
-
-def seq_in(batch_id: int) -> "F.Column":
-    """Write order of a batch's rows: batch, then input partition, then row.
-
-    It follows the source's order and not the clock, so a batch that is run
-    again numbers its rows as before. Holds 2^24 rows in each of 2^14
-    partitions of a batch.
+    It follows the source and not the clock or the scan, which takes large
+    files first, so the newer message wins wherever its file lies, and a batch
+    that is run again orders its rows as before. Without an ``offset`` column
+    the place in the frame stands for it.
     """
-    at = F.monotonically_increasing_id()
-    return (F.lit(batch_id << (ROW_BITS + PARTITION_BITS)) + F.shiftleft(F.shiftright(at, 33), ROW_BITS)
-            + at.bitwiseAND(F.lit((1 << 33) - 1)))
+    there = df.columns
+    return F.struct(
+        F.lit(batch_id).cast("bigint").alias("batch"),
+        (F.col("offset").cast("bigint") if "offset" in there else F.monotonically_increasing_id()).alias("offset"),
+        (F.col("partition").cast("int") if "partition" in there else F.lit(0)).alias("partition"),
+        (F.lit(0) if item is None else F.col(item)).cast("bigint").alias("item"))
 
 
 def _fs(spark: SparkSession, path: str):
@@ -84,17 +85,16 @@ def _fs(spark: SparkSession, path: str):
 
 
 def next_batch(spark: SparkSession, folders: list[str]) -> int:
-    """One past the largest ``batch=``/``_batch=`` partition in ``folders``."""
+    """One past the largest batch in ``folders``, by their ``batch=<id>`` and ``run=<level>..<lo>..<hi>`` entries."""
     top = -1
     for folder in folders:
         fs, p = _fs(spark, folder)
         if not fs.exists(p):
             continue
         for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            for prefix in ("batch=", "_batch="):
-                if name.startswith(prefix) and name[len(prefix):].lstrip("-").isdigit():
-                    top = max(top, int(name[len(prefix):]))
+            name, _, value = st.getPath().getName().partition("=")
+            if name in ("batch", "run") and value.split("..")[-1].lstrip("-").isdigit():
+                top = max(top, int(value.split("..")[-1]))
     return top + 1
 
 
@@ -121,12 +121,24 @@ def resolve_base(spark: SparkSession, checkpoint: str, folders: list[str]) -> in
     return base
 
 
-def emit(df: DataFrame, topic: str, root: str, batch_id: int) -> None:
-    """Publish a batch's messages under ``topic=<t>/batch=<id>`` (a retried
-    batch replaces its own files)."""
-    out = S.to_envelope(df, F.lit(topic), F.col("key") if "key" in df.columns else None, F.col("value"))
-    (out.drop("topic").withColumn("batch", F.lit(batch_id)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(S.topic_path(root, topic)))
+def emit(df: DataFrame, topic: str, root: str, batch_id: int, order: str | None = None) -> None:
+    """Publish a batch's messages under ``topic=<t>/batch=<id>`` (a retried batch replaces its own files).
+
+    Offsets go on from those of the batches before, so they are unique in the
+    topic and grow with the batch and, within it, with ``order``; there are
+    gaps between, as a broker's log may have. Where they end is recorded once
+    the batch is written.
+    """
+    path = S.topic_path(root, topic)
+    if order is not None:
+        df = df.sort(order)
+    offset = F.lit(S.next_offset(df.sparkSession, path, batch_id)) + F.monotonically_increasing_id()
+    out = S.to_envelope(df, F.lit(topic), F.col("key") if "key" in df.columns else None, F.col("value"), offset=offset)
+    seen = Observation(f"emit-{topic}")
+    (out.drop("topic").observe(seen, F.max("offset").alias("top")).write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+    top = seen.get["top"]
+    if top is not None:
+        S.record_offset(df.sparkSession, path, top + 1, batch_id)
 
 
 class NewOnlyWriter:
@@ -134,11 +146,10 @@ class NewOnlyWriter:
 
     def __init__(self, lake: L.Lake, on_new: Callable[[DataFrame, int], None],
                  to_changes: Callable[[DataFrame, int], DataFrame] | None = None,
-                 writer: str = "postings", base_batch: int = 0, compact_every: int = 20):
+                 writer: str = "postings", base_batch: int = 0):
         self.lake, self.on_new, self.writer, self.base = lake, on_new, writer, base_batch
-        self.compact_every = compact_every
         self.to_changes = to_changes or (lambda df, b: L.upsert_postings(
-            df.withColumn("_seq", seq_in(b)).withColumn("created_at", (
+            df.withColumn("_seq", order_of(df, b, "item" if "item" in df.columns else None)).withColumn("created_at", (
                 F.col("timestamp") if "timestamp" in df.columns else F.current_timestamp()).cast("timestamp_ntz")), b))
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
@@ -148,14 +159,10 @@ class NewOnlyWriter:
             # only batches < b are consulted, so writing batch b cannot change
             # what is new: the write comes first, nothing is passed on if it
             # fails, and a retry passes on exactly the same rows
-            self.lake.append(changes, self.writer)
-            self.on_new(L.new_only(changes, self.lake.keys(self.writer, b), b, writer=self.writer), b)
+            self.lake.append(changes, self.writer, b)
+            self.on_new(L.new_only(changes, self.lake.keys(self.writer, b), b), b)
         finally:
             changes.unpersist()
-        if self.compact_every and b > 0 and (b + 1) % self.compact_every == 0:
-            # fold the key history into a one-row-per-key index so later
-            # batches anti-join against distinct keys only
-            self.lake.compact_keys(self.writer, b + 1)
 
 
 # ---------------------------------------------------------------------------
@@ -187,6 +194,7 @@ class PipelineConfig:
 
 
 T = S.TOPICS
+SOURCE = ("offset", "partition")          # where a message stands in its topic; goes with it through a stage
 
 
 def stage_list_extract(spark: SparkSession, cfg: PipelineConfig):
@@ -195,11 +203,12 @@ def stage_list_extract(spark: SparkSession, cfg: PipelineConfig):
     base = resolve_base(spark, cfg.ckpt("s1"), [S.topic_path(cfg.topics_root, T["list_pages"])])
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        good, bad = M.decode_envelope(df.persist(), M.LIST_PARAMS, M.LIST_DEFAULTS)
+        good, bad = M.decode_envelope(df.persist(), M.LIST_PARAMS, M.LIST_DEFAULTS, keep=SOURCE)
         cfg.reject(bad, "list_commands", base + batch_id)
-        urls = S.url_frontier(M.dispatch_action(good, M.ACTION_EXTRACT), cfg.list_template)
+        urls = S.url_frontier(M.dispatch_action(good, M.ACTION_EXTRACT), cfg.list_template, keep=SOURCE)
+        urls = urls.withColumn("order", order_of(urls, base + batch_id, "page")).select("url", "order")
         ok, _ = S.split_fetch_results(urls.join(cfg.pages, "url", "left"))
-        emit(M.pack_html(ok, "html"), T["list_pages"], cfg.topics_root, base + batch_id)
+        emit(M.pack_html(ok, "html", keep=("order",)), T["list_pages"], cfg.topics_root, base + batch_id, "order")
         df.unpersist()
 
     return micro_batch(cmds, batch, cfg.ckpt("s1"), trigger=cfg.trigger, query_name="s1_list_extract")
@@ -211,12 +220,12 @@ def cards(list_pages: DataFrame, template: str, keep: tuple[str, ...] = ()) -> t
                             attrs=("href", "aria-label"), within="main", keep=keep)
     jid = C.job_id("href")
     role = C.clean_role("aria_label")
-    rows = links.select(*keep, jid.alias("job_id"), role.alias("role"), "href", "aria_label")
+    rows = links.select(*keep, F.col("link_idx").alias("item"), jid.alias("job_id"), role.alias("role"), "href", "aria_label")
     rows = rows.withColumn("url", C.canonical_url("job_id", template))
     tagged = P.barrier(rows.withColumn("_errors", F.filter(F.array(
         F.when(F.col("job_id").isNull(), F.lit("H2_job_id")),
         F.when(F.col("role").isNull(), F.lit("H3_role"))), lambda e: e.isNotNull())), "cards")
-    return (tagged.filter(F.size("_errors") == 0).select(*keep, "job_id", "role", "url"),
+    return (tagged.filter(F.size("_errors") == 0).select(*keep, "item", "job_id", "role", "url"),
             tagged.filter(F.size("_errors") > 0))
 
 
@@ -225,18 +234,18 @@ def stage_cards(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     pages = S.read_topics(spark, cfg.topics_root, [T["list_pages"]])
 
     def on_new(new: DataFrame, b: int) -> None:
-        msgs = M.encode_envelope(new.select("job_id", "role", "url"), M.ACTION_EXTRACT,
-                                 {"job_id": "job_id", "role": "role", "url": "url"})
-        emit(msgs, T["detail_commands"], cfg.topics_root, b)
+        msgs = M.encode_envelope(new.select("_seq", "job_id", "role", "url"), M.ACTION_EXTRACT,
+                                 {"job_id": "job_id", "role": "role", "url": "url"}, keep=("_seq",))
+        emit(msgs, T["detail_commands"], cfg.topics_root, b, "_seq")
 
-    base = resolve_base(spark, cfg.ckpt("s2"), [f"{lake.log_path}/_writer=postings",
+    base = resolve_base(spark, cfg.ckpt("s2"), [lake.writer_path("postings"),
                                                 S.topic_path(cfg.topics_root, T["detail_commands"])])
     writer = NewOnlyWriter(lake, on_new, base_batch=base)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        good, broken = M.unpack_html(df, keep=("timestamp",))
+        good, broken = M.unpack_html(df, keep=("timestamp", *SOURCE))
         good = M.dispatch_action(good, M.ACTION_TRANSFORM).persist()      # read and inflate once for both outputs
-        ok, bad = cards(good, cfg.detail_template, keep=("timestamp",))
+        ok, bad = cards(good, cfg.detail_template, keep=("timestamp", *SOURCE))
         writer(ok, batch_id)
         cfg.reject(broken, "list_pages", base + batch_id)
         cfg.reject(bad, "cards", base + batch_id)
@@ -248,18 +257,20 @@ def stage_cards(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
 def stage_detail_extract(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     """Stage 3: detail commands -> fetch status + packed body html."""
     cmds = S.read_topics(spark, cfg.topics_root, [T["detail_commands"]])
-    base = resolve_base(spark, cfg.ckpt("s3"), [f"{lake.log_path}/_writer=status",
+    base = resolve_base(spark, cfg.ckpt("s3"), [lake.writer_path("status"),
                                                 S.topic_path(cfg.topics_root, T["detail_pages"])])
 
     def batch(df: DataFrame, batch_id: int) -> None:
         batch_id = base + batch_id
-        good, bad = M.decode_envelope(df, M.DETAIL_PARAMS, keep=("timestamp",))
-        fetched = M.dispatch_action(good, M.ACTION_EXTRACT).join(cfg.pages, "url", "left").persist()
-        ok, status = S.split_fetch_results(fetched)
-        lake.append(L.set_status(status.withColumn("_seq", seq_in(batch_id)), batch_id, ok="e2_success"), "status")
-        body = ok.select("url", H.main_html("html").alias("html"), F.col("timestamp").cast("timestamp_ntz").alias("created_at"))
-        emit(M.pack_html(body, "html", url="url", created_at="created_at"), T["detail_pages"],
-             cfg.topics_root, batch_id)
+        good, bad = M.decode_envelope(df, M.DETAIL_PARAMS, keep=("timestamp", *SOURCE))
+        asked = M.dispatch_action(good, M.ACTION_EXTRACT)
+        asked = asked.select("url", F.col("timestamp").cast("timestamp_ntz").alias("created_at"), order_of(asked, batch_id).alias("_seq"))
+        fetched = asked.join(cfg.pages, "url", "left").persist()
+        ok, status = S.split_fetch_results(fetched, keep=("_seq",))
+        lake.append(L.set_status(status, batch_id, ok="e2_success"), "status", batch_id)
+        body = ok.select("url", H.main_html("html").alias("html"), "created_at", "_seq")
+        emit(M.pack_html(body, "html", url="url", created_at="created_at", keep=("_seq",)), T["detail_pages"],
+             cfg.topics_root, batch_id, "_seq")
         cfg.reject(bad, "detail_commands", batch_id)
         fetched.unpersist()
 
@@ -272,18 +283,19 @@ ENRICHED = list(P.CLEAN_FIELDS) + ["url", "scraped_at"]
 def stage_detail_transform(spark: SparkSession, cfg: PipelineConfig, lake: L.Lake):
     """Stage 4: detail pages -> fields -> clean -> validate -> lake + load topic."""
     pages = S.read_topics(spark, cfg.topics_root, [T["detail_pages"]])
-    base = resolve_base(spark, cfg.ckpt("s4"), [f"{lake.log_path}/_writer=enriched",
+    base = resolve_base(spark, cfg.ckpt("s4"), [lake.writer_path("enriched"),
                                                 S.topic_path(cfg.topics_root, T["load"])])
 
     def batch(df: DataFrame, batch_id: int) -> None:
         batch_id = base + batch_id
-        good, broken = M.unpack_html(df)
-        fields = H.detail_fields(M.dispatch_action(good, M.ACTION_TRANSFORM), "html", keep=("url", "created_at"))
+        good, broken = M.unpack_html(df, keep=SOURCE)
+        pages = M.dispatch_action(good, M.ACTION_TRANSFORM).withColumn("_seq", order_of(good, batch_id))
+        fields = H.detail_fields(pages, "html", keep=("url", "created_at", "_seq"))
         # one Python pass per batch: both validation outputs read the cache
-        clean = P.clean_postings(fields, "created_at").withColumn("_seq", seq_in(batch_id)).persist()
+        clean = P.clean_postings(fields, "created_at", keep=("_seq",)).persist()
         ok, bad = P.validate_enriched(clean)
-        lake.append(L.upsert_enriched(ok, batch_id, ENRICHED), "enriched")
-        emit(M.encode_load_record(ok), T["load"], cfg.topics_root, batch_id)
+        lake.append(L.upsert_enriched(ok, batch_id, ENRICHED), "enriched", batch_id)
+        emit(M.encode_load_record(ok, keep=("_seq",)), T["load"], cfg.topics_root, batch_id, "_seq")
         cfg.reject(broken, "detail_pages", batch_id)
         cfg.reject(bad.drop("_seq"), "clean", batch_id)
         clean.unpersist()

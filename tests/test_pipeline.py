@@ -1,5 +1,7 @@
 """End-to-end staged pipeline (T1-T4) on file topics, with restart and replay."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,19 +108,96 @@ def test_new_only_writer_replay_is_idempotent(spark, tmp_path):
     assert lake.log().filter(F.col("_batch") == 1).count() == 2   # replay replaced, not appended
 
 
-def test_key_index_keeps_new_only_exact(spark, tmp_path):
-    """With a key index every 2 batches the emitted keys are unchanged."""
+def test_merged_runs_keep_new_only_exact(spark, tmp_path):
+    """Runs merged every 2 batches: the emitted keys are unchanged, also for a batch that a merge has taken up."""
     emitted = {}
-    lake = L.Lake(spark, str(tmp_path / "lake"))
-    writer = PL.NewOnlyWriter(lake, lambda df, b: emitted.__setitem__(b, sorted(r.key for r in df.collect())),
-                              compact_every=2)
+    lake = L.Lake(spark, str(tmp_path / "lake"), buckets=4, fan_in=2)
+    writer = PL.NewOnlyWriter(lake, lambda df, b: emitted.__setitem__(b, sorted(r.key for r in df.collect())))
     batches = [[1, 2], [2, 3], [1, 4], [5, 3], [4, 6], [7]]
     for b, ids in enumerate(batches):
         writer(spark.createDataFrame([(i, "r", f"u{i}") for i in ids], "job_id long, role string, url string"), b)
     assert emitted == {0: ["u1", "u2"], 1: ["u3"], 2: ["u4"], 3: ["u5"], 4: ["u6"], 5: ["u7"]}
-    assert lake._index_marks("postings") == [2, 4, 6]
+    assert [(r.level, r.lo, r.hi) for r in lake.runs("postings")] == [(2, 0, 3), (1, 4, 5)]
     writer(spark.createDataFrame([(5, "r", "u5"), (3, "r", "u3")], "job_id long, role string, url string"), 3)
-    assert emitted[3] == ["u5"]        # a replayed batch reads only the index below it and re-emits the same
+    assert emitted[3] == ["u5"]
+    assert PL.next_batch(spark, [lake.writer_path("postings")]) == 6
+
+
+def test_newer_message_wins_wherever_its_file_lies(spark, tmp_path):
+    """One micro-batch of a small older file and a large newer one: the scan takes the large one first."""
+    topic = str(tmp_path / "topic")
+    schema = "url string, role string, job_id bigint, offset bigint, partition int, filler string"
+    old = [("K", "old", 1, 5, 0, "")]
+    new = [("K", "new", 2, 2000, 0, "x")] + [(f"u{i}", "r", i, 1000 + i, 0, "y" * 400) for i in range(900)]
+    for rows in (old, new):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(topic)
+    lake = L.Lake(spark, str(tmp_path / "lake"))
+    writer = PL.NewOnlyWriter(lake, lambda df, b: None)
+    PL.drain(spark.readStream.schema(schema).parquet(topic), writer, str(tmp_path / "ck"))
+    row = lake.scan().where("key = 'K'").first()
+    assert (row.role, row.job_id) == ("new", 1)                    # last write wins, the first insert stays
+
+
+def test_offsets_of_emitted_topics(spark, tmp_path):
+    root, topic = str(tmp_path), "t"
+
+    def batch(b, rows):
+        df = spark.createDataFrame(rows, "key string, value string, n int").repartition(5)
+        PL.emit(df, topic, root, b, "n")
+
+    batch(0, [("a", "0", 0), ("b", "0", 1), ("a", "1", 2)])
+    batch(1, [("a", "2", 0), ("c", "2", 1)])
+    first = {r.offset for r in S.read_topics(spark, root, [topic], streaming=False).collect()}
+    batch(1, [("a", "2", 0), ("c", "2", 1)])                       # delivered again: the same offsets
+    batch(2, [("b", "3", 0)])
+    rows = S.read_topics(spark, root, [topic], streaming=False)
+    got = rows.orderBy("offset").collect()
+    assert len({r.offset for r in got}) == 6 and first < {r.offset for r in got}
+    assert [(bytes(r.key).decode(), bytes(r.value).decode()) for r in got] == [
+        ("a", "0"), ("b", "0"), ("a", "1"), ("a", "2"), ("c", "2"), ("b", "3")]
+    newest = {bytes(r.key).decode(): bytes(r.value).decode() for r in S.compact_by_key(rows).collect()}
+    assert newest == {"a": "2", "b": "3", "c": "2"}                # S11
+    cut = S.replay(rows, topic, from_offset=got[2].offset, to_offset=got[4].offset)
+    assert sorted(bytes(r.value).decode() for r in cut.collect()) == ["1", "2", "2"]      # S3
+    assert S.publish(spark.createDataFrame([("d", "4")], "key string, value string"), topic, root) == 1
+    assert S.read_topics(spark, root, [topic], streaming=False).orderBy(F.desc("offset")).first().key == b"d"
+
+
+def test_fifty_batches_stay_a_few_runs(spark, tmp_path):
+    """Files and bytes that a reader takes do not grow with the batches; the view equals the full log's."""
+    lake, full, sizes = L.Lake(spark, str(tmp_path / "lake"), buckets=2, fan_in=4), [], []
+    for b in range(50):
+        rows = spark.createDataFrame([(f"u{(7 * b + i) % 40}", b, f"r{b}.{i}", i) for i in range(12)],
+                                     "url string, _seq long, role string, job_id long").withColumn("created_at", F.lit(f"t{b}"))
+        changes = L.upsert_postings(rows, b)
+        full.append(changes)
+        lake.append(changes, "postings", b)
+        if b in (9, 49):
+            runs = lake.runs("postings")
+            sizes.append((len(runs), sum(len(list(Path(r.path).rglob("*.parquet"))) for r in runs)))
+            # a run holds two rows a key at most: its first and its last
+            assert all(spark.read.parquet(r.path).groupBy("key").count().where("count > 2").isEmpty() for r in runs if r.level)
+    assert [n for n, _ in sizes] == [2 + 2, 3 + 0 + 2] and sizes[1][1] <= 1.5 * sizes[0][1]      # 10 and 50 batches, in base 4
+    key = lambda r: tuple(map(str, (r.key, r.role, r.job_id, r.created_at, r._first_batch, r._last_seq)))
+    assert sorted(map(key, lake.scan().collect())) == sorted(map(key, L.merged_view(L.union_changes(*full)).collect()))
+    assert len(list((tmp_path / "lake/log/_writer=postings").glob("run=*"))) <= 3 * 3 + 2 * 4     # what merges replaced is gone
+
+
+def test_a_merge_writes_only_touched_buckets(spark, tmp_path):
+    lake = L.Lake(spark, str(tmp_path / "lake"), buckets=64, fan_in=2)
+    for b in range(2):
+        rows = spark.createDataFrame([("one key", b, "r", 1)], "url string, _seq long, role string, job_id long").withColumn("created_at", F.lit("t"))
+        lake.append(L.upsert_postings(rows, b), "postings", b)
+    (run,) = lake.runs("postings")
+    assert run.level == 1 and len(list((tmp_path / "lake/log/_writer=postings" / f"run=1..0..1").glob("bucket=*"))) == 1
+
+
+def test_new_fields_of_later_batches_are_read(spark, tmp_path):
+    lake = L.Lake(spark, str(tmp_path / "lake"), fan_in=2)
+    for b, field in enumerate(["position", "company", "about"]):
+        lake.append(L.upsert_enriched(spark.createDataFrame([("u", b, field)], f"url string, _seq long, {field} string"), b, ["url", field]), "e", b)
+    row = L.Lake(spark, str(tmp_path / "lake")).scan().first()
+    assert (row.position, row.company, row.about) == ("position", "company", "about")
 
 
 def test_drain_and_micro_batch_on_file_topic(spark, tmp_path):
@@ -138,8 +217,9 @@ def test_drain_and_micro_batch_on_file_topic(spark, tmp_path):
 
 def test_resolve_base_is_fixed_per_checkpoint(spark, tmp_path):
     out = tmp_path / "topic"
-    for b in (0, 1, 4):
+    for b in (0, 1):
         (out / f"batch={b}").mkdir(parents=True)
+    (out / "run=1..2..4").mkdir()
     ck = str(tmp_path / "ck")
     assert PL.next_batch(spark, [str(out), str(tmp_path / "missing")]) == 5
     assert PL.resolve_base(spark, ck, [str(out)]) == 5     # new checkpoint: after existing output

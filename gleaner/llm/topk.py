@@ -8,9 +8,14 @@ an upper bound on the score. Candidates are evaluated in the order of that
 bound until it falls below the k-th best score so far: what is left cannot
 enter the result.
 
-Vectors travel in blocks. Each query block meets every base block, dealt over
-units of (query block, part of the base); a unit streams its base blocks and
-keeps a running top k per query, so it emits at most k rows per query.
+Before that every query is scored against a bounded sample of the rows: its k-th
+best score there is one that the result cannot fall below, so all parts start
+with a threshold.
+
+Vectors travel in blocks. The base is dealt once, over parts of a bounded number
+of blocks that a task holds; the query blocks go to every part and stream past
+its base blocks with a running top k per query, so a part emits at most k rows
+per query.
 """
 
 from __future__ import annotations
@@ -25,29 +30,33 @@ from pyspark.sql import functions as F
 from gleaner.llm.common import spark_read, write_scratch
 
 SCALE = 64
-PIVOTS = 32
+PIVOTS = 64
 PIVOT_SAMPLE = 2000       # rows that pivots are picked from; any pivots give exact results
 BASE_BLOCK = 2048         # vectors
 QUERY_BLOCK = 512
-UNIT_BLOCKS = 128         # base blocks of a unit at most
-EVALUATED_AT_ONCE = 128
+PART_BLOCKS = 64          # base blocks of a part at most
+FIRST, LATER = 64, 1024   # candidates evaluated between two looks at the threshold: at first, and then
 SLACK = 1e-5              # relative, above the rounding of float32 distances
 NO_ID = np.iinfo(np.int64).max
 
-BLOCK_SCHEMA = "dim int, ids binary, rows binary, vectors binary, table binary, n int"
-BLOCK_NAMES = ["dim", "ids", "rows", "vectors", "table", "n"]
+LONG = 2**63 - 1
+
+BLOCK_SCHEMA = "dim int, wide boolean, ids binary, rows binary, vectors binary, table binary, n int"
+BLOCK_NAMES = ["dim", "wide", "ids", "rows", "vectors", "table", "n"]
 
 
 def usable(vectors: DataFrame, scale: int) -> DataFrame:
-    """(vec_id, row, v): the scaled integer vectors of the rows that take part."""
-    v = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale))
+    """(vec_id, row, v, wide): the scaled integer vectors (as doubles, which hold them exactly) of the rows that take part.
+
+    ``wide`` rows have a norm of 2^31 or more, so that their scores may leave 62 bits.
+    """
+    v = F.transform("embedding", lambda x: F.rint(x.cast("double") * scale - F.when(F.rint(x.cast("double") * scale) > x.cast("double") * scale, 1.0).otherwise(0.0)))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x.cast("double"))
                       & (F.abs(x.cast("double")) < F.lit(float("inf"))))
-    # integers up to 2^31 in norm keep every score inside a long
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda s, x: s + F.pow(x.cast("double") * scale, 2)))
-    fits = F.coalesce(finite, F.lit(False)) & (norm < 2.0**31 - F.size("embedding"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     return (vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), "embedding")
-            .withColumn("row", F.monotonically_increasing_id()).where(fits).select("vec_id", "row", v.alias("v")))
+            .withColumn("row", F.monotonically_increasing_id()).where(F.coalesce(finite, F.lit(False)))
+            .select("vec_id", "row", v.alias("v")).withColumn("wide", norm >= 2.0**31 - F.size("v")))
 
 
 def pick_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -62,11 +71,15 @@ def pick_pivots(sample: np.ndarray, n: int) -> np.ndarray:
 
 
 def pivots_by_dimension(vectors: DataFrame, n: int, sample: int) -> dict[int, np.ndarray]:
-    rows = vectors.orderBy(F.xxhash64("v", "vec_id"), "row").limit(sample).select("v").collect()
+    return {d: pick_pivots(x, n) for d, (x, _) in sampled(vectors, sample).items()}
+
+
+def sampled(vectors: DataFrame, n: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Vectors and row numbers of at most ``n`` rows that are not wide, chosen by hash, by dimension."""
     by_dim: dict[int, list] = {}
-    for r in rows:
-        by_dim.setdefault(len(r.v), []).append(r.v)
-    return {d: pick_pivots(np.array(v, dtype=np.int64).reshape(len(v), d), n) for d, v in by_dim.items() if d}
+    for r in vectors.where("not wide").orderBy(F.xxhash64("v", "vec_id"), "row").limit(n).select("v", "row").collect():
+        by_dim.setdefault(len(r.v), []).append(r)
+    return {d: (np.array([r.v for r in rows]), np.array([r.row for r in rows])) for d, rows in by_dim.items() if d}
 
 
 def distances(x: np.ndarray, pivots: np.ndarray | None) -> np.ndarray:
@@ -80,83 +93,107 @@ def blocks(vectors: DataFrame, size: int, pivots: dict[int, np.ndarray]) -> Data
     """Rows packed into blocks of one dimension with their pivot distances."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[int, list] = {}
+        waiting: dict[tuple[int, bool], list] = {}
 
-        def block(dim: int) -> pa.RecordBatch:
-            got = waiting.pop(dim)
-            x = np.array([r[2] for r in got], dtype="<i4").reshape(len(got), dim)
-            table = distances(x, pivots.get(dim))
+        def block(kind: tuple[int, bool]) -> pa.RecordBatch:
+            (dim, wide), got = kind, waiting.pop(kind)
+            x = np.array([r[2] for r in got], dtype="<f8" if wide else "<i4").reshape(len(got), dim)
+            table = distances(x, None if wide else pivots.get(dim))
             return pa.RecordBatch.from_arrays(
-                [pa.array([dim], pa.int32()), pa.array([np.array([NO_ID if r[0] is None else r[0] for r in got], "<i8").tobytes()]),
+                [pa.array([dim], pa.int32()), pa.array([wide]), pa.array([np.array([NO_ID if r[0] is None else r[0] for r in got], "<i8").tobytes()]),
                  pa.array([np.array([r[1] for r in got], "<i8").tobytes()]), pa.array([x.tobytes()]),
                  pa.array([table.astype("<f4").tobytes()]), pa.array([len(got)], pa.int32())], names=BLOCK_NAMES)
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                own = waiting.setdefault(len(row[2]), [])
+                own = waiting.setdefault((len(row[2]), row[3]), [])
                 own.append(row)
                 if len(own) == size:
-                    yield block(len(row[2]))
-        for dim in list(waiting):
-            yield block(dim)
+                    yield block((len(row[2]), row[3]))
+        for kind in list(waiting):
+            yield block(kind)
 
-    return vectors.mapInArrow(run, BLOCK_SCHEMA)
+    return vectors.select("vec_id", "row", "v", "wide").mapInArrow(run, BLOCK_SCHEMA)
 
 
 class Block:
     def __init__(self, row: dict):
         self.ids = np.frombuffer(row["ids"], "<i8")
         self.rows = np.frombuffer(row["rows"], "<i8")
-        self.x = np.frombuffer(row["vectors"], "<i4").reshape(row["n"], row["dim"])
+        self.dim, self.wide = row["dim"], row["wide"]
+        self.x = np.frombuffer(row["vectors"], "<f8" if row["wide"] else "<i4").reshape(row["n"], row["dim"]).astype(float)
         self.table = np.frombuffer(row["table"], "<f4").reshape(row["n"], -1)
         self.norm = self.table[:, -1].astype(float)
 
+    def whole(self) -> np.ndarray:
+        """The components as Python integers, for scores of any size."""
+        return np.array([[int(c) for c in v] for v in self.x.tolist()], dtype=object).reshape(self.x.shape)
+
 
 class Running:
-    """The top k of a block's queries over the base blocks seen so far."""
+    """The top k of a block's queries over the base blocks seen so far; ``floor`` is a score that the result cannot fall below."""
 
-    def __init__(self, queries: Block, k: int):
-        self.q, self.k = queries, k
-        self.top = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in queries.ids]   # scores, ids
+    def __init__(self, queries: Block, k: int, floor: np.ndarray | None = None):
+        self.q, self.k, self.floor = queries, k, floor
+        self.top = [(np.empty(0, object), np.empty(0, np.int64)) for _ in queries.ids]   # scores, ids
         self.evaluated = 0
 
+    def merge(self, i: int, base: Block, some: np.ndarray, scores: np.ndarray) -> None:
+        s, n = np.concatenate([self.top[i][0], scores]), np.concatenate([self.top[i][1], base.ids[some]])
+        best = np.lexsort((n, -s))[:self.k] if s.dtype != object else np.array(
+            sorted(range(len(s)), key=lambda j: (-s[j], n[j]))[:self.k], dtype=np.int64)
+        self.top[i] = s[best], n[best]
+
+    def worst(self, i: int):
+        """The score below which nothing can enter query i's result, if that is known yet."""
+        scores = self.top[i][0]
+        own = scores[-1] if len(scores) == self.k else None
+        floor = None if self.floor is None else self.floor[i]
+        return own if floor is None or np.isnan(floor) else floor if own is None else max(own, floor)
+
     def see(self, base: Block) -> None:
         q = self.q
-        x = base.x.astype(float)
+        if q.wide or base.wide:
+            mine, others = q.whole(), base.whole()
+            for i in range(len(q.ids)):
+                some = np.flatnonzero(base.rows != q.rows[i])
+                self.evaluated += len(some)
+                scores = [max(-LONG - 1, min(LONG, sum(a * b for a, b in zip(mine[i], v)))) for v in others[some]]
+                self.merge(i, base, some, np.array(scores, dtype=object))
+            return
         exact = q.norm.max() * base.norm.max() < 2.0**52       # then float64 sums are exact integers
-        rows = x if exact else base.x.astype(np.int64)
-        half = (base.norm ** 2) / 2
-        pivots = np.ascontiguousarray(base.table.T)
-        for i in range(len(q.ids)):
-            gap = np.zeros(len(half), np.float32)
-            for p, d in zip(pivots, q.table[i]):
-                np.maximum(gap, np.abs(p - d), out=gap)
-            slack = SLACK * (base.norm + q.norm[i])
-            near = np.maximum(gap - slack, 0)
-            bound = half + (q.norm[i] ** 2 - near ** 2) / 2 + slack * (base.norm + q.norm[i]) + 1
-            scores, ids = self.top[i]
-            worst = scores[-1] if len(scores) == self.k else None
-            order = np.flatnonzero(bound >= worst) if worst is not None else np.arange(len(bound))
-            order = order[np.argsort(-bound[order], kind="stable")]
-            order = order[base.rows[order] != q.rows[i]]
-            own = q.x[i].astype(rows.dtype)
-            at = 0
-            while at < len(order) and not (len(scores) == self.k and bound[order[at]] < scores[-1]):
-                some = order[at:at + EVALUATED_AT_ONCE]
-                at += len(some)
+        rows, asked = (base.x, q.x) if exact else (base.x.astype(np.int64), q.x.astype(np.int64))
+        gap, each = np.zeros((len(q.ids), len(base.ids)), np.float32), np.empty((len(q.ids), len(base.ids)), np.float32)
+        for mine, others in zip(q.table.T, np.ascontiguousarray(base.table.T)):
+            np.subtract(mine[:, None], others, out=each)
+            np.maximum(gap, np.abs(each, out=each), out=gap)
+        both = base.norm + q.norm[:, None]
+        near = np.maximum(gap - SLACK * both, 0)
+        bounds = (base.norm ** 2 + q.norm[:, None] ** 2 - near ** 2) / 2 + SLACK * both ** 2 + 1
+        for i, bound in enumerate(bounds):
+            worst = self.worst(i)
+            order = np.flatnonzero((base.rows != q.rows[i]) if worst is None else (bound >= worst) & (base.rows != q.rows[i]))
+            order = order[np.argsort(-bound[order])]
+            at, step = 0, FIRST
+            while at < len(order):
+                some = order[at:at + step]
+                if worst is not None and bound[some[0]] < worst:
+                    break
+                at, step = at + len(some), LATER
                 self.evaluated += len(some)
-                s = np.concatenate([scores, (rows[some] @ own).astype(np.int64)])
-                n = np.concatenate([ids, base.ids[some]])
-                best = np.lexsort((n, -s))[:self.k]
-                scores, ids = s[best], n[best]
-            self.top[i] = scores, ids
+                scores = rows[some] @ asked[i]
+                if worst is not None:
+                    some, scores = some[scores >= worst], scores[scores >= worst]
+                if len(some):
+                    self.merge(i, base, some, scores.astype(np.int64))
+                    worst = self.worst(i)
 
     def result(self) -> pa.RecordBatch:
         n = [len(s) for s, _ in self.top]
         ids = np.concatenate([i for _, i in self.top])
         return pa.RecordBatch.from_arrays(
             [pa.array(np.repeat(self.q.ids, n)), pa.array(np.repeat(self.q.rows, n)),
-             pa.array(ids, mask=ids == NO_ID), pa.array(np.concatenate([s for s, _ in self.top]))],
+             pa.array(ids, mask=ids == NO_ID), pa.array([int(x) for s, _ in self.top for x in s], pa.int64())],
             names=["query_id", "query_row", "vec_id", "score"])
 
 
@@ -165,51 +202,57 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, scale: int = SCALE, n_pivot
 
     Ties go to the smaller vec_id (null ids last). Candidates are all rows but
     the query's own, so a repeated row is a candidate of its twin; fewer than k
-    candidates give fewer rows. A vector that is null, holds null or non-finite
-    components, or has a scaled norm of 2^31 or more takes no part; vectors of
-    another length than the query's are no candidates; an empty table gives no
-    rows; extra columns are not read.
+    candidates give fewer rows. A vector that is null or holds null or
+    non-finite components takes no part; vectors of another length than the
+    query's are no candidates; a score that does not fit a long is given as the
+    nearest long; an empty table gives no rows; extra columns are not read.
     """
     spark = vectors.sparkSession
     table = usable(vectors, scale)
     table = spark_read(spark, write_scratch(table, "topk-vectors"), table)       # fixes the row numbers
     queries = table.where(is_query)
-    n_queries = queries.count()
-    n_query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    pivots = pivots_by_dimension(table, n_pivots, PIVOT_SAMPLE)                  # bounded: pivots x dimension
+    sample = sampled(table, PIVOT_SAMPLE)                                        # bounded: rows x dimension
+    pivots = {d: pick_pivots(x, n_pivots) for d, (x, _) in sample.items()}
 
     base = blocks(table, BASE_BLOCK, pivots).withColumn("block", F.monotonically_increasing_id())
     base = spark_read(spark, write_scratch(base, "topk-base"), base)
-    asked = blocks(queries.repartition(n_query_blocks, "row"), QUERY_BLOCK, pivots)
+    asked = blocks(queries.repartition(max(1, -(-queries.count() // QUERY_BLOCK)), "row"), QUERY_BLOCK, pivots)
     asked = asked.withColumn("block", F.monotonically_increasing_id())
     asked = spark_read(spark, write_scratch(asked, "topk-queries"), asked)
 
-    # units: enough for every core, and none with more than UNIT_BLOCKS base blocks
+    # parts: enough for every core, and none with more than PART_BLOCKS base blocks
     n_base = base.count()
-    parts = max(1, -(-n_base // UNIT_BLOCKS), min(n_base, -(-2 * spark.sparkContext.defaultParallelism // n_query_blocks)))
-    keys = asked.select(F.col("block").alias("unit"), F.col("dim").alias("of"))
-    split = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    left = asked.select(F.col("block").alias("unit"), split.alias("part"), F.lit(0).alias("kind"), F.lit(0).cast("bigint").alias("nth"), *BLOCK_NAMES)
-    # one row per block on both sides: every query block meets every base block of its dimension
-    right = (base.withColumn("part", F.pmod(F.hash("block"), F.lit(parts)))
-             .join(keys, F.col("dim") == F.col("of"))
-             .select("unit", "part", F.lit(1).alias("kind"), F.col("block").alias("nth"), *BLOCK_NAMES))
-    units = (left.unionByName(right).repartition(n_query_blocks * parts, "unit", "part")
-             .sortWithinPartitions("unit", "part", "kind", "nth"))
+    parts = max(1, -(-n_base // PART_BLOCKS), min(n_base, 2 * spark.sparkContext.defaultParallelism))
+    held = base.select(F.pmod(F.hash("block"), F.lit(parts)).alias("part"), F.lit(0).alias("kind"), "block", *BLOCK_NAMES)
+    past = asked.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.lit(1).alias("kind"), "block", *BLOCK_NAMES)
+    units = held.unionByName(past).repartition(parts, "part").sortWithinPartitions("part", "kind", "block")
+
+    def floor_of(block: Block) -> np.ndarray | None:
+        """The k-th best score of each query in the sample; nan where there are fewer."""
+        if block.wide or block.dim not in sample:
+            return None
+        x, rows = sample[block.dim]
+        if np.sqrt((x * x).sum(axis=1)).max() * block.norm.max() >= 2.0**52 or len(x) <= k:
+            return None
+        scores = np.where(rows == block.rows[:, None], -np.inf, block.x @ x.T)
+        return np.partition(scores, len(x) - k, axis=1)[:, len(x) - k]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        running = None
+        part, here = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
+                if row["part"] != part:
+                    part, here = row["part"], []
                 if row["kind"] == 0:
-                    if running is not None:
-                        yield running.result()
-                    running = Running(Block(row), k)
-                else:
-                    running.see(Block(row))
-        if running is not None:
-            yield running.result()
+                    here.append(Block(row))
+                    continue
+                block = Block(row)
+                running = Running(block, k, floor_of(block))
+                for one in here:
+                    if one.dim == block.dim:
+                        running.see(one)
+                yield running.result()
 
     found = units.mapInArrow(run, "query_id bigint, query_row bigint, vec_id bigint, score bigint")
     w = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))

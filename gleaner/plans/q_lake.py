@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from gleaner.operators import lake as L
 from gleaner.operators import warehouse as W
 from gleaner.operators.chunk import chunk_text
-from gleaner.plans.catalog import register
+from gleaner.operators.clustered import ClusteredTable
+from gleaner.plans.catalog import ORACLES, register
 from gleaner.plans.tables import table
 from gleaner.session import scratch_path
 
@@ -214,6 +215,25 @@ def q_lookup(spark, sf_dir):
     return W.rows_by_ids(chunks, ids, "application_id", "doc_id")
 
 
+@register("S8_vector_delete_clustered", ORACLES["S8_vector_delete"])
+def q_vector_delete_clustered(spark, sf_dir):
+    """As S8, on a table clustered by id: only the files that can hold deleted ids are rewritten."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    stored = ClusteredTable.write(e, scratch_path(spark, "vectors-by-id"), "vec_id")
+    return stored.delete(stored.rows().filter(F.col("label") == 3)).rows()
+
+
+@register("E7_lookup_clustered", ORACLES["E7_lookup_by_id"])
+def q_lookup_clustered(spark, sf_dir):
+    """As E7, on chunks clustered by application id: only the files that can hold the ids are read."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chunks = chunk_text(docs, "text", 512, 0.2, keep=("doc_id",)).select(
+        F.col("doc_id").alias("application_id"), F.col("chunk_idx").cast("bigint"), "chunk_txt")
+    stored = ClusteredTable.write(chunks, scratch_path(spark, "chunks-by-id"), "application_id", ("chunk_idx",))
+    ids = table(spark, sf_dir, "labels").filter(F.col("quality") == 1)
+    return stored.lookup(ids, "doc_id").select("application_id", "chunk_idx")
+
+
 # -- V1 conform on inventories composed from events ---------------------------------
 
 _INVENTORY = ("""'{"a": "' || event_type || '", "n": ' || CAST(CAST(round(value * 100) AS BIGINT) AS STRING) ||

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from gleaner.operators import messages as M
 from gleaner.plans.catalog import register
 from gleaner.plans.tables import table
-from gleaner.session import spread
+from gleaner.session import scratch_path, spread
 from gleaner.sources import topics as S
+from gleaner.sources.segments import SegmentedTopics
 
 
 def envelope_events(spark, sf_dir):
@@ -23,8 +24,6 @@ def envelope_events(spark, sf_dir):
 
 
 def _publish(enc, spark, topic: str = M.LOAD_TOPIC):
-    from gleaner.session import scratch_path
-
     path = scratch_path(spark, "topics")
     S.publish(enc.withColumn("key", F.col("posting_id").cast("string").cast("binary")), topic, path)
     return path
@@ -32,8 +31,6 @@ def _publish(enc, spark, topic: str = M.LOAD_TOPIC):
 
 def _land(spark, sf_dir):
     """Publish the events envelope to a fresh landed-topic folder."""
-    from gleaner.session import scratch_path
-
     path = scratch_path(spark, "topics")
     S.publish(envelope_events(spark, sf_dir), None, path)
     return path
@@ -228,3 +225,17 @@ FROM events GROUP BY event_type, user_id""")
 def q_compact(spark, sf_dir):
     c = S.compact_by_key(envelope_events(spark, sf_dir))
     return c.select("topic", F.decode("key", "UTF-8").alias("key"), "offset", F.decode("value", "UTF-8").alias("value"))
+
+
+@register("S10_S11_segments", """
+SELECT event_type AS topic, CAST(user_id AS VARCHAR) AS key, arg_max(event_id, event_id) AS "offset",
+       arg_max(props, event_id) AS value
+FROM events WHERE (floor(epoch(ts) / 43200) + 1) * 43200 >= epoch(TIMESTAMP '2024-01-30 00:00:00') - 10 * 86400
+GROUP BY event_type, user_id""")
+def q_segments(spark, sf_dir):
+    """Events landed in 12-hour segments; those over ten days old are dropped, the others compacted."""
+    topics = SegmentedTopics(spark, scratch_path(spark, "segments"))
+    topics.land(envelope_events(spark, sf_dir))
+    topics.retain("2024-01-30 00:00:00", hours=240)
+    topics.compact()
+    return topics.read().select("topic", F.decode("key", "UTF-8").alias("key"), "offset", F.decode("value", "UTF-8").alias("value"))

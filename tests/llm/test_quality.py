@@ -1,10 +1,13 @@
 import base64
+import math
 import random
 import re
 import string
 
-from gleaner.llm.quality import BANDS, in_bands, q_quality, quality_rules
-from tests.llm.conftest import SF, pairs
+import zstandard
+
+from gleaner.llm.quality import BANDS, in_bands, passing, q_quality, quality_rules
+from tests.llm.conftest import pairs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -62,7 +65,40 @@ def test_limits_cover_every_length():
     assert in_bands(10**9, 0.4, 0, 10) and not in_bands(10**9, 0.01, 0, 10) and not in_bands(10**5, 0.4, 40, 100)
 
 
-def test_clean_documents_stay(spark):
-    rows = q_quality(spark, SF).select("doc_id", "base_failed", "kept").collect()
-    passed = [r for r in rows if not r.base_failed]
-    assert sum(r.kept for r in passed) >= 0.98 * len(passed)
+def test_verdict_by_brute_force(spark):
+    """Every ratio and verdict of a table, text by text, with the usual ratios from sorted lists."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    pack = zstandard.ZstdCompressor(level=3)
+    rows, by_octave = {}, {}
+    for i, t in pairs(docs):
+        b = t.encode()
+        ratio = len(pack.compress(b)) / len(b) if b else 0.0
+        starts = [*range(0, len(b) - 1023, 1024), *([len(b) - 1024] if len(b) > 1024 and len(b) % 1024 else [])]
+        bad = sum(not 0.18 <= len(pack.compress(b[k:k + 1024])) / 1024 <= 0.78 for k in starts)
+        rows[i] = (brute(t)[-1], len(b), ratio, bad, len(starts))
+        if not rows[i][0]:
+            by_octave.setdefault(math.floor(math.log2(len(b))), []).append(ratio)
+    usual = {}
+    for o, own in by_octave.items():
+        own.sort()
+        if len(own) >= 100:
+            q50, q75 = (own[math.ceil(p * len(own)) - 1] for p in (0.5, 0.75))
+            usual[o] = q50 - 4 * (q75 - q50)
+    assert len(usual) >= 3
+    kept = {}
+    for i, (failed, n, ratio, bad, chunks) in rows.items():
+        low, high = next((lo, hi) for upto, lo, hi in BANDS if n < upto)
+        kept[i] = not failed and max(low, usual.get(math.floor(math.log2(n)), low)) <= ratio <= high and bad <= 0.25 * chunks
+    got = {r.doc_id: r for r in q_quality(spark, "/root/testdata/sf0.01").collect()}
+    assert {i: r.kept for i, r in got.items()} == kept
+    assert all(abs(got[i].ratio - r[2]) < 1e-12 and (got[i].bad_chunks, got[i].n_chunks) == r[3:] for i, r in rows.items())
+    assert {r.doc_id for r in passing(docs).collect()} == {i for i, k in kept.items() if k}
+
+
+def test_bands_reject_poor_documents_and_keep_good_ones(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in q_quality(spark, sf).select("doc_id", "base_failed", "kept").collect() if not r.base_failed and labels.get(r.doc_id) is not None]
+    good, poor = ([r.kept for r in rows if labels[r.doc_id] == q] for q in (1, 0))
+    assert len(good) > 3000 and sum(good) >= 0.98 * len(good)
+    assert len(poor) > 250 and sum(poor) <= 0.55 * len(poor)

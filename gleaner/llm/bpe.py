@@ -19,7 +19,7 @@ from heapq import heapify, heappop, heappush
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from gleaner.llm.common import text_of
+from gleaner.llm.common import text_of, worker_state
 
 MAX_CACHED = 400_000         # matches remembered by a Python worker between batches
 
@@ -147,14 +147,14 @@ def unpacked(ids: bytes) -> array:
 
 
 LITTLE = array("I", [1]).tobytes()[0] == 1
-_LOADED: dict[tuple[str, str], Vocabulary] = {}
 
 
 def vocabulary(path: str, pattern: str) -> Vocabulary:
-    """Loaded once per Python worker."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = Vocabulary(path, pattern)
-    return _LOADED[path, pattern]
+    """Loaded once per Python worker; the matches it remembers serve the worker's later tasks."""
+    loaded = worker_state("byte-level BPE")
+    if (path, pattern) not in loaded:
+        loaded[path, pattern] = Vocabulary(path, pattern)
+    return loaded[path, pattern]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, block_chars: int = 4_000_000) -> DataFrame:

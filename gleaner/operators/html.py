@@ -60,14 +60,24 @@ def unescape_attr(x: Column) -> Column:
         F.aggregate(ordered, x, lambda acc, e: F.replace(acc, e, _decoded(e))))
 
 
-def attr(tag_text, name: str) -> Column:
-    """Value of attribute ``name`` in a start-tag text (null when absent, first wins)."""
+def attributes(tag_text) -> tuple[Column, Column]:
+    """(lower-cased names, raw values) of a start tag's attributes."""
     body = F.regexp_replace(_c(tag_text), r"^<\s*[^\s/>]+", "")
     part = lambda i: F.regexp_extract_all(body, F.lit(_ATTRIBUTE), F.lit(i))
-    names = F.transform(part(1), F.lower)
+    # a value is in one of three groups, the others are empty
+    either = lambda x, y: F.concat(x, y)
+    values = F.zip_with(F.zip_with(part(2), part(3), either), part(4), either)
+    return F.transform(part(1), F.lower), values
+
+
+def attr_of(names: Column, values: Column, name: str) -> Column:
     at = F.array_position(names, F.lit(name.lower())).cast("int")
-    value = F.concat(*[F.coalesce(F.element_at(part(i), at), F.lit("")) for i in (2, 3, 4)])
-    return F.when(at > 0, unescape_attr(value))
+    return F.when(at > 0, F.element_at(values, at))
+
+
+def attr(tag_text, name: str) -> Column:
+    """Value of attribute ``name`` in a start-tag text (null when absent, first wins)."""
+    return unescape_attr(attr_of(*attributes(tag_text), name))
 
 
 def extract_links(df: DataFrame, html: str = "html", tag: str = "a", where: dict[str, str] | None = None,
@@ -78,18 +88,24 @@ def extract_links(df: DataFrame, html: str = "html", tag: str = "a", where: dict
 
     Output: ``*keep, link_idx, <attrs...>``. For the card list of the list
     page: ``extract_links(df, within='main', where={'role': 'button'},
-    attrs=('href', 'aria-label'))``.
+    attrs=('href', 'aria-label'))``. A tag's attributes are matched once, and
+    character references are decoded only in values that hold an ``&``.
     """
     body = strip_noise(html)
     if within:
         body = F.regexp_extract(body, rf"(?is)<{within}\b[^>]*>(.*?)(?:</{within}\s*>|$)", 1)
     tags = F.regexp_extract_all(body, F.lit(rf"""(?is)<{tag}\b(?:"[^"]*"|'[^']*'|[^'">])*>"""), F.lit(0))
     ex = df.select(*keep, F.posexplode(tags).alias("link_idx", "_tag"))
-    if where:
-        for k, v in where.items():
-            ex = ex.filter(attr(F.col("_tag"), k) == F.lit(v))
-    return ex.select(*keep, F.col("link_idx").cast("bigint"),
-                     *[attr(F.col("_tag"), a).alias(a.replace("-", "_")) for a in attrs])
+    names, values = attributes("_tag")
+    wanted = list(dict.fromkeys([*(where or {}), *attrs]))
+    found = ex.select(*keep, "link_idx", names.alias("_names"), values.alias("_values"))
+    # explode of one struct: a row boundary that keeps the arrays from being matched again for each attribute
+    raw = found.select(*keep, "link_idx", F.explode(F.array(F.struct(
+        *[attr_of(F.col("_names"), F.col("_values"), a).alias(a) for a in wanted]))).alias("_raw"))
+    value = {a: unescape_attr(F.col("_raw").getField(a)) for a in wanted}
+    for k, v in (where or {}).items():
+        raw = raw.filter(value[k] == F.lit(v))
+    return raw.select(*keep, F.col("link_idx").cast("bigint"), *[value[a].alias(a.replace("-", "_")) for a in attrs])
 
 
 def main_html(html) -> Column:

@@ -56,14 +56,19 @@ def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object], request: str
     request at a time (an embedding API caps the inputs of a call); if any of
     a request's calls fails, no row of it gets a vector and all carry the first
     error's text. With ``admitted`` (a boolean column, e.g. from ``budget``) a
-    request with a refused row is not sent at all.
+    request with a refused row is not sent at all. The calls are made at once
+    and their results written under ``spark.checkpoint.dir``.
     """
     if fn is None:
         raise ValueError("embed_chunks needs an embedding function, e.g. feature_hash_embedder(64)")
     keys = [request] if isinstance(request, str) else list(request)
-    whole = Window.partitionBy(*keys)
-    send = F.lit(True) if admitted is None else F.min(F.coalesce(F.col(admitted), F.lit(False))).over(whole)
-    src = df.withColumn("_send", send)
+    own = F.struct(*keys)
+    if admitted is None:
+        src = df.withColumn("_send", F.lit(True))
+    else:
+        refused = df.where(~F.coalesce(F.col(admitted), F.lit(False))).select(own.alias("_request")).distinct()
+        src = (df.withColumn("_request", own).join(refused.withColumn("_refused", F.lit(True)), "_request", "left")
+               .withColumn("_send", F.col("_refused").isNull()).drop("_request", "_refused"))
     schema = T.StructType(src.schema.fields + [T.StructField("error", T.StringType()),
                                                T.StructField("vec", T.ArrayType(T.FloatType()))])
 
@@ -85,9 +90,15 @@ def embed_chunks(df: DataFrame, fn: Callable[[list[str]], object], request: str
                 for at in range(0, len(own), rows_per_call):
                     yield call(own.iloc[at:at + rows_per_call])
 
-    sent = src.mapInPandas(calls, schema).withColumn("error", F.min("error").over(whole))
-    return sent.select(*df.columns, F.col("error").isNull().alias("ok"), "error",
-                       F.when(F.col("error").isNull(), F.col("vec")).alias("vec"))
+    sent = src.mapInPandas(calls, schema).drop("_send")
+    path = scratch_path(df.sparkSession, "embedded")
+    sent.write.parquet(path)                   # two readers follow, and every text is sent once
+    sent = df.sparkSession.read.schema(sent.schema).parquet(path)
+    # one row per failed request, reduced before the shuffle; no request is gathered in one task
+    failed = sent.where("error is not null").groupBy(own.alias("_request")).agg(F.min("error").alias("_error"))
+    out = sent.withColumn("_request", own).join(failed, "_request", "left")
+    return out.select(*df.columns, F.col("_error").isNull().alias("ok"), F.col("_error").alias("error"),
+                      F.when(F.col("_error").isNull(), F.col("vec")).alias("vec"))
 
 
 def _unit(m: np.ndarray) -> np.ndarray:

@@ -10,8 +10,9 @@ SF = "/root/testdata/sf0.001"
 # covered by test_pipeline / test_operators
 EAGER = {"T1_T2_T3_pipeline_load", "T4_new_only_stream", "S9_lake_scan_compact", "S6_applications_table",
          "S7_vector_collection", "S1_S2_publish_read_topics", "S3_replay", "M7_M8_load_record",
-         "A3_A4_budget_stream", "A6_rate_audit_stream", "S10_S11_segments", "E7_lookup_clustered", "S8_vector_delete_clustered"}
-PYTHON_PASSES = {"M3_pack_unpack_html", "H6_C9_detail_fields", "E1_embed_chunks", "E4_cosine_top_k", "E5_approx_top_k",
+         "A3_A4_budget_stream", "A6_rate_audit_stream", "S10_S11_segments", "E7_lookup_clustered", "S8_vector_delete_clustered",
+         "E1_embed_chunks"}
+PYTHON_PASSES = {"M3_pack_unpack_html", "H6_C9_detail_fields", "E4_cosine_top_k", "E5_approx_top_k",
                  "E4_cosine_top_k_rows", "E5_index_top_k", "E5_index_exact_top_k"}
 
 

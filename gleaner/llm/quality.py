@@ -22,7 +22,7 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import SPACE, spark_read, text_of, write_scratch
@@ -92,6 +92,10 @@ def octave(n_bytes: int) -> int:
     return n_bytes.bit_length()
 
 
+def octave_of(n_bytes: str) -> Column:
+    return F.length(F.bin(n_bytes))
+
+
 def in_bands(n_bytes: int, ratio: float, bad: int, chunks: int, bands=BANDS, share: float = MAX_CHUNK_SHARE,
              usual: dict[int, float] | None = None) -> bool:
     low, high = next((lo, hi) for upto, lo, hi in bands if n_bytes < upto)
@@ -121,8 +125,7 @@ def measured(docs: DataFrame, chunk: int = CHUNK_BYTES, chunk_band: tuple[float,
 
 def usual_ratios(rows: DataFrame, spreads: float = SPREADS, least: int = LEAST_TEXTS) -> dict[int, float]:
     """The lowest usual ratio for each octave of lengths, from all ``measured`` rows that pass the base rules (64 rows at most)."""
-    bits = F.length(F.regexp_replace(F.bin("n_bytes"), "^0+", ""))
-    stats = rows.where("not base_failed").groupBy(bits.alias("octave")).agg(
+    stats = rows.where("not base_failed").groupBy(octave_of("n_bytes").alias("octave")).agg(
         F.count(F.lit(1)).alias("n"), F.percentile_approx("ratio", [0.5, 0.75], 10_000).alias("q")).where(F.col("n") >= least).collect()
     return {r["octave"]: r["q"][0] - spreads * (r["q"][1] - r["q"][0]) for r in stats}
 
@@ -144,9 +147,10 @@ def quality_rules(docs: DataFrame, bands=BANDS, chunk: int = CHUNK_BYTES, chunk_
     low, high = F.lit(bands[-1][1]), F.lit(bands[-1][2])
     for upto, lo, hi in reversed(bands[:-1]):
         low, high = (F.when(F.col("n_bytes") < upto, F.lit(own)).otherwise(rest) for own, rest in ((lo, low), (hi, high)))
-    bits = F.length(F.regexp_replace(F.bin("n_bytes"), "^0+", ""))
-    for octave_, ratio in usual_ratios(rows, spreads).items():
-        low = F.when(bits == octave_, F.greatest(low, F.lit(ratio))).otherwise(low)
+    usual = usual_ratios(rows, spreads)
+    if usual:
+        ratios = F.create_map(*[F.lit(x) for pair in usual.items() for x in pair])
+        low = F.greatest(low, F.coalesce(F.try_element_at(ratios, octave_of("n_bytes")), F.lit(0.0)))
     kept = ~F.col("base_failed") & (F.col("ratio") >= low) & (F.col("ratio") <= high) & (F.col("bad_chunks") <= share * F.col("n_chunks"))
     return rows.withColumn("kept", kept).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                                                 "base_failed", "kept", "ratio", "bad_chunks", "n_chunks")

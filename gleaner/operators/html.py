@@ -53,11 +53,11 @@ def _decoded(entity: Column) -> Column:
 
 def unescape_attr(x: Column) -> Column:
     """Decode character references once: those of '&' last, so what they uncover stays as it is."""
-    found = F.array_distinct(F.regexp_extract_all(x, F.lit(_ENTITY), F.lit(0)))
-    ampersand = lambda e: _decoded(e) == "&"
-    ordered = F.concat(F.filter(found, lambda e: ~ampersand(e)), F.filter(found, ampersand))
+    found = F.transform(F.array_distinct(F.regexp_extract_all(x, F.lit(_ENTITY), F.lit(0))),
+                        lambda e: F.struct(e.alias("written"), _decoded(e).alias("char")))
+    ordered = F.concat(F.filter(found, lambda p: p["char"] != "&"), F.filter(found, lambda p: p["char"] == "&"))
     return F.when(~x.contains("&"), x).otherwise(
-        F.aggregate(ordered, x, lambda acc, e: F.replace(acc, e, _decoded(e))))
+        F.aggregate(ordered, x, lambda acc, p: F.replace(acc, p["written"], p["char"])))
 
 
 def attributes(tag_text) -> tuple[Column, Column]:

@@ -45,10 +45,14 @@ def insert_applications(df: DataFrame, name: str = "applications") -> int:
     """Set-based append; returns the number of rows written (Q5).
 
     The count comes from ``observe`` on the write itself, so the data is
-    scanned once.
+    scanned once. Rows without an ``id`` column get one, as a serial column
+    would give it: above all ids there are, growing, with gaps.
     """
     from pyspark.sql import Observation
 
+    if "id" not in df.columns:
+        top = df.sparkSession.table(name).agg(F.max("id")).first()[0]
+        df = df.withColumn("id", F.lit(0 if top is None else top + 1).cast("bigint") + F.monotonically_increasing_id())
     obs = Observation("insert")
     append_table(df.observe(obs, F.count(F.lit(1)).alias("n")), name)
     return int(obs.get["n"])

@@ -179,3 +179,21 @@ def test_the_last_update_wins(spark):
     updates = spark.createDataFrame([(1, "z", 1), (1, "c", 2)], "id int, v string, at int")
     assert sorted(tuple(r) for r in W.update_by_ids(base, updates, "id", ["v"], order="at").collect()) == [(1, "c"), (2, "b")]
     assert sorted(tuple(r) for r in W.update_by_ids(base, updates, "id", ["v"]).collect()) == [(1, "z"), (2, "b")]
+
+
+# -- S6 ------------------------------------------------------------------------------
+
+def test_inserted_rows_get_ids(spark):
+    name = "applications_with_serial_ids"
+    W.create_applications(spark, name)
+    try:
+        rows = spark.createDataFrame([("full-time", "p")] * 5, "work_type string, position string").repartition(3).select(
+            F.lit(None).cast("timestamp_ntz").alias("posted_at"), "work_type", "position", F.lit("l").alias("location"),
+            F.lit("c").alias("company"), W.pay_range(F.lit(1), F.lit(2)).alias("pay"))
+        assert W.insert_applications(rows, name) == 5
+        first = {r.id for r in spark.table(name).collect()}
+        assert W.insert_applications(rows, name) == 5 and W.insert_applications(rows.limit(1).withColumn("id", F.lit(-7).cast("bigint")), name) == 1
+        ids = [r.id for r in spark.table(name).collect()]
+        assert len(first) == 5 and len(set(ids)) == 11 and min(set(ids) - first - {-7}) > max(first)
+    finally:
+        W.drop_applications(spark, name)

@@ -124,8 +124,8 @@ def decode_envelope(df: DataFrame, params_schema: T.StructType, defaults: dict |
                F.lit("M2_unexpected_param")),
     ] + [F.when(F.col("_pk").isNotNull() & ~F.array_contains("_pk", r), F.lit(f"M2_missing_{r}"))
          for r in required] + [
-        # present, but not a value of the declared type: never a good row with a null
-        F.when(F.get_json_object("_text", f"$.params.{f.name}").isNotNull() & F.col(f"_m.params.{f.name}").isNull(),
+        # present, but not a value of the declared type: never a good row with a null; only nulls are looked up in the text
+        F.when(F.col(f"_m.params.{f.name}").isNull() & F.get_json_object("_text", f"$.params.{f.name}").isNotNull(),
                F.lit(f"M2_bad_{f.name}")) for f in params_schema.fields]
     tagged = barrier(parsed.select(*keep, "_text", F.col("_m.action").alias("action"), *fields,
                                    F.filter(F.array(*errs), lambda e: e.isNotNull()).alias("_errors")),
@@ -272,24 +272,24 @@ def decode_load_record(df: DataFrame, value: str = "value", keep: tuple[str, ...
     type allows it, and values of the declared types.
     """
     text = F.decode(F.col(value), "UTF-8") if dict(df.dtypes).get(value) == "binary" else F.col(value)
-    m = df.select(*keep, text.alias("_text"), F.from_json(text, LOAD_SCHEMA).alias("_m"))
+    m = df.select(*keep, text.alias("_text"), F.from_json(text, LOAD_SCHEMA).alias("_m"),
+                  F.coalesce(F.json_object_keys(text), F.array().cast("array<string>")).alias("_keys"))      # once a row
     about_txt = unpack_text(F.col("_m.about"))
 
     def ts(name):
         raw = F.col(f"_m.{name}")
         return F.try_to_timestamp(raw, F.lit(TS_TEXT)).cast("timestamp_ntz")
 
-    out = m.select(*keep, "_text", about_txt.alias("about"), ts("apply_by").alias("apply_by"),
+    out = m.select(*keep, "_text", "_keys", about_txt.alias("about"), ts("apply_by").alias("apply_by"),
                    *[F.col(f"_m.{f}").alias(f) for f in LOAD_FIELDS if f not in ("about", "apply_by", "posted_at")],
                    ts("posted_at").alias("posted_at"),
                    F.col("_m.topic").alias("_topic"), F.col("_m.action").alias("_action"),
                    F.col("_m.about_codec").alias("_codec"), F.col("_m.about").alias("_about_raw"),
                    F.col("_m.apply_by").alias("_apply_raw"), F.col("_m.posted_at").alias("_posted_raw"))
-    keys = F.coalesce(F.json_object_keys("_text"), F.array().cast("array<string>"))
     errs = F.filter(F.array(
-        *[F.when(~F.array_contains(keys, f), F.lit(f"M8_missing_{f}")) for f in LOAD_FIELDS],
-        # there, but not a value of the declared type: never a good row with a null
-        *[F.when(F.get_json_object("_text", f"$.{f}").isNotNull() & F.col(f).isNull(), F.lit(f"M8_bad_{f}"))
+        *[F.when(~F.array_contains("_keys", f), F.lit(f"M8_missing_{f}")) for f in LOAD_FIELDS],
+        # there, but not a value of the declared type: never a good row with a null; only nulls are looked up in the text
+        *[F.when(F.col(f).isNull() & F.get_json_object("_text", f"$.{f}").isNotNull(), F.lit(f"M8_bad_{f}"))
           for f in LOAD_FIELDS if f not in ("about", "apply_by", "posted_at")],
         F.when(F.col("_topic").isNull() | (F.col("_topic") != LOAD_TOPIC), F.lit("M8_topic")),
         F.when(F.col("_action").isNull() | (F.col("_action") != ACTION_LOAD), F.lit("M8_action")),
@@ -299,7 +299,7 @@ def decode_load_record(df: DataFrame, value: str = "value", keep: tuple[str, ...
         F.when(F.col("_posted_raw").isNotNull() & F.col("posted_at").isNull(), F.lit("M8_posted_at")),
         F.when(F.col("documents").isNull(), F.lit("M8_documents")),
         F.when(F.col("location_type").isNull(), F.lit("M8_location_type"))), lambda e: e.isNotNull())
-    tagged = barrier(out.withColumn("_errors", errs).drop("_topic", "_action", "_codec", "_about_raw",
+    tagged = barrier(out.withColumn("_errors", errs).drop("_keys", "_topic", "_action", "_codec", "_about_raw",
                                                            "_apply_raw", "_posted_raw"), "decode_load_record")
     return (tagged.filter(F.size("_errors") == 0).drop("_errors", "_text"),
             tagged.filter(F.size("_errors") > 0).select(*keep, F.col("_text").alias("value"), "_errors"))

@@ -197,3 +197,9 @@ def test_inserted_rows_get_ids(spark):
         assert len(first) == 5 and len(set(ids)) == 11 and min(set(ids) - first - {-7}) > max(first)
     finally:
         W.drop_applications(spark, name)
+
+
+def test_load_records_are_parsed_for_their_keys_once(spark):
+    df = spark.createDataFrame([(b"{}",)], "value binary")
+    good, _ = M.decode_load_record(df)
+    assert good._jdf.queryExecution().analyzed().toString().count("json_object_keys") == 1

@@ -133,6 +133,9 @@ _OUT = {"wage": "wage_raw", "location": "location_raw", "employment_type": "empl
         "documents": "documents_raw"}
 
 
+PAGES = 128      # walked and returned at once, whatever the size of the Arrow batches
+
+
 def detail_fields(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ()) -> DataFrame:
     """H6 + C9: raw detail fields (and the about section as Markdown) for each
     page, in one Python pass over Arrow batches."""
@@ -142,7 +145,7 @@ def detail_fields(df: DataFrame, html: str = "html", keep: tuple[str, ...] = ())
     keep_names = [f.name for f in in_fields]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in (big.iloc[at:at + PAGES] for big in batches for at in range(0, len(big), PAGES)):
             rows = [_walk(h) for h in pdf["_html"].tolist()]
             out = pd.DataFrame({k: pdf[k].values for k in keep_names})
             for src_name, dst in _OUT.items():

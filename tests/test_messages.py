@@ -203,3 +203,28 @@ def test_load_records_are_parsed_for_their_keys_once(spark):
     df = spark.createDataFrame([(b"{}",)], "value binary")
     good, _ = M.decode_load_record(df)
     assert good._jdf.queryExecution().analyzed().toString().count("json_object_keys") == 1
+
+
+def test_pages_leave_no_trees_behind():
+    import gc
+
+    from gleaner.functions.dom import Element, detail_fields, to_markdown
+
+    trees = lambda: sum(isinstance(x, Element) for x in gc.get_objects())
+    gc.collect()
+    gc.disable()
+    try:
+        before = trees()
+        got = detail_fields("<body><div><h1>a</h1></div><button aria-label='Apply'>go</button><p>un<b>closed</body>")
+        assert got["apply_type"] == "go" and to_markdown("<p>a <b>c</b></p>") == "a **c**"
+        assert trees() == before
+    finally:
+        gc.enable()
+
+
+def test_pages_are_returned_in_small_batches(spark):
+    from gleaner.operators.html import PAGES, detail_fields
+
+    df = spark.range(2 * PAGES + 1).coalesce(1).selectExpr("id", "concat('<button aria-label=Apply>', id, '</button>') AS html")
+    got = detail_fields(df, keep=("id",)).select("id", "apply_raw").collect()
+    assert sorted((r.id, r.apply_raw) for r in got) == [(i, str(i)) for i in range(2 * PAGES + 1)]

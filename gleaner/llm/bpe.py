@@ -4,9 +4,11 @@ A block of documents (an Arrow batch of a Spark partition) is one corpus: its
 distinct pattern matches are laid out in one array of tokens, an inverted index
 maps each mergeable pair to the positions where it stands, and merges are
 applied in rank order, each to all its positions at once, touching only the
-neighbours of what it merges. Matches are independent of one another, so the
+neighbours of what it merges. Short matches, nearly all, are laid out by their
+length and replayed in rounds of array operations, each of which applies the
+next merge of all of them. Matches are independent of one another, so the
 result equals a merge loop over each match alone, at one heap step per distinct
-pair instead of one scan per match and merge.
+pair, or one round, instead of one scan per match and merge.
 """
 
 from __future__ import annotations
@@ -16,17 +18,23 @@ from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from gleaner.llm.common import text_of, worker_state
 
 MAX_CACHED = 400_000         # matches remembered by a Python worker between batches
+SHORT = 32                   # bytes of a match whose merges are replayed in rounds
+NONE = 1 << 62               # no rank: above all
 
 
 class Vocabulary:
     """Ranks of a byte-level BPE: ``tokens[id]`` is the token's bytes."""
 
+    mergeable: tuple[np.ndarray, np.ndarray] | None = None      # made when first asked for, as are the bytes by id
+    bytes_of: pa.Array | None = None
+
     def __init__(self, path: str, pattern: str):
         import regex
 
@@ -108,6 +116,77 @@ class Vocabulary:
             out.append(ids)
         return out
 
+    def merges(self) -> tuple[np.ndarray, np.ndarray]:
+        """(left << 32 | right, merged id) of every mergeable pair, by key."""
+        if self.mergeable is None:
+            got = {}
+            for t, i in self.ranks.items():
+                for cut in range(1, len(t)):
+                    left, right = self.ranks.get(t[:cut]), self.ranks.get(t[cut:])
+                    if left is not None and right is not None:
+                        got[left << 32 | right] = i
+            keys = np.fromiter(got, np.int64, len(got))
+            order = np.argsort(keys)
+            self.mergeable = np.append(keys[order], NONE), np.append(np.fromiter(got.values(), np.int64, len(got))[order], NONE)
+        return self.mergeable
+
+    def merged_all(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``merged`` of many pairs, with NONE where nothing is merged or a token is -1."""
+        keys, ids = self.merges()
+        asked = left << 32 | right
+        at = np.searchsorted(keys, asked)
+        return np.where(keys[at] == asked, ids[at], NONE)
+
+    def replay_rounds(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each word) of words of one length, a row of bytes each.
+
+        As ``replay``, with the index kept as the rank of the pair that starts
+        at each place: a round merges the pair of lowest rank, the leftmost of
+        them, in every word that has one.
+        """
+        count, width = words.shape
+        none = width                                  # a column beyond the word ends its links
+        token = np.full((count, width + 1), -1, np.int64)
+        token[:, :none] = np.array(self.of_byte)[words]
+        after, before = (np.tile(np.clip(np.arange(width + 1) + d, -1, none), (count, 1)) for d in (1, -1))
+        before[:, 0] = none
+        rank = np.full((count, width + 1), NONE)
+        rank[:, :none] = self.merged_all(token[:, :-1], token[:, 1:])
+        alive = np.ones((count, width), bool)
+        todo, lowest = np.arange(count), rank
+        while len(todo):
+            i = lowest.argmin(axis=1)
+            best = lowest[np.arange(len(todo)), i]
+            more = best < NONE
+            todo, i, best = todo[more], i[more], best[more]
+            j = after[todo, i]
+            right, left = after[todo, j], before[todo, i]
+            token[todo, i], alive[todo, j], rank[todo, j] = best, False, NONE
+            after[todo, i], before[todo, right] = right, i
+            rank[todo, i] = self.merged_all(best, token[todo, right])
+            rank[todo, left] = self.merged_all(token[todo, left], best)
+            lowest = rank[todo]
+        return token[:, :none][alive], alive.sum(axis=1)
+
+    def encode_matches(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each word; only long words go through the index."""
+        out: list[bytes] = [b""] * len(words)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(sizes, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
+            if not len(group) or not 0 < (size := int(sizes[group[0]])) <= SHORT:
+                continue
+            own = group.tolist()
+            raw = np.frombuffer(b"".join([words[k] for k in own]), np.uint8).reshape(-1, size)
+            ids, many = self.replay_rounds(raw)
+            ids, ends = ids.astype("<u4").tobytes(), np.cumsum(4 * many).tolist()
+            for k, at, end in zip(own, [0, *ends], ends):
+                out[k] = ids[at:end]
+        long = np.flatnonzero(sizes > SHORT).tolist()
+        for k, ids in zip(long, self.replay([words[k] for k in long])):
+            out[k] = packed(ids)
+        return out
+
     def encode_block(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split, cache = self.split, self.cache
@@ -115,7 +194,7 @@ class Vocabulary:
             cache.clear()
             self.pairs.clear()
         pieces = [split(t) for t in texts]
-        fresh = [p for p in {p for ps in pieces for p in ps} if p not in cache]
+        fresh = set().union(*pieces).difference(cache)
         loose = []
         for p in fresh:
             whole = self.ranks.get(p.encode())
@@ -123,13 +202,23 @@ class Vocabulary:
                 loose.append(p)
             else:                     # a match that is a token needs no merges
                 cache[p] = whole.to_bytes(4, "little")
-        for p, ids in zip(loose, self.replay([p.encode() for p in loose])):
-            cache[p] = packed(ids)
+        cache.update(zip(loose, self.encode_matches([p.encode() for p in loose])))
         return [b"".join([cache[p] for p in ps]) for ps in pieces]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join([self.tokens[i] for i in unpacked(ids)])
 
+    def decode_block(self, ids: list[bytes]) -> pa.Array:
+        """The bytes of each text's ids, all looked up at once."""
+        if self.bytes_of is None:
+            self.bytes_of = pa.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)], pa.binary())
+        ends = np.append(0, np.cumsum([len(x) // 4 for x in ids], dtype=np.int64))
+        if not ends[-1]:
+            return pa.array([b""] * len(ids), pa.binary())
+        whole = self.bytes_of.take(pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        offsets = np.frombuffer(whole.buffers()[1], np.int32)[ends]
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets.tobytes()), whole.buffers()[2]])
+
 
 def packed(ids: list[int]) -> bytes:
     out = array("I", ids)
@@ -177,10 +266,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, block_chars: int
                     chars += len(texts[to])
                     to += 1
                 ids = vocab.encode_block(texts[at:to])
-                back = [vocab.decode(x) for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [docs_.slice(at, to - at), pa.array([len(x) // 4 for x in ids], pa.int64()),
-                     pa.array(ids, pa.binary()), pa.array(back, pa.binary())],
+                     pa.array(ids, pa.binary()), vocab.decode_block(ids)],
                     names=["doc_id", "n_tokens", "ids", "decoded"])
                 at = to
 

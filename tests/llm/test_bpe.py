@@ -72,3 +72,21 @@ def test_query(spark, documents):
         ids = LIBRARY.encode_ordinary(texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
             len(ids), hashlib.sha256(packed(ids)).hexdigest(), hashlib.sha256(texts[r.doc_id].encode()).hexdigest())
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.binary(max_size=40), st.text("aeinrst ", max_size=40).map(str.encode)), max_size=12))
+def test_rounds_equal_the_index(words):
+    assert [list(unpacked(x)) for x in VOCAB.encode_matches(words)] == VOCAB.replay(words)
+
+
+def test_only_long_matches_go_through_the_index(monkeypatch):
+    v, asked = Vocabulary(PATH, public_tokenizers.PATTERN), []
+    replay = v.replay
+    monkeypatch.setattr(v, "replay", lambda words: asked.extend(words) or replay(words))
+    texts = ["unbelievableness " * 3 + "x" * 31, "q" * 33 + " zzäh", "", "straw"]
+    ids = v.encode_block(texts)
+    assert asked == [b"q" * 33]
+    assert [list(unpacked(x)) for x in ids] == [LIBRARY.encode_ordinary(t) for t in texts]
+    assert v.decode_block(ids).to_pylist() == [t.encode() for t in texts]
+    assert v.decode_block([]).to_pylist() == [] and v.decode_block([b"", b""]).to_pylist() == [b"", b""]

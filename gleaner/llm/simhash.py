@@ -117,8 +117,9 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
                        for t, m in enumerate(masks(radius))])
     dealt = prints.select("print", F.explode(tables).alias("x")).select("print", "x.t", "x.key")
     crowded = dealt.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Spark sizes the exploded rows as the few prints they come from and would broadcast them: they are merged instead
     # members of a large bucket go to all pairs of blocks that hold their own block
-    member = (dealt.join(crowded, ["t", "key"])
+    member = (dealt.join(crowded.hint("merge"), ["t", "key"])
               .withColumn("blocks", F.expr(f"cast((n + {block - 1}) div {block} as int)"))
               .withColumn("own", F.expr("pmod(xxhash64(print), blocks)"))
               .withColumn("other", F.explode(F.expr("sequence(cast(0 as bigint), cast(blocks - 1 as bigint))")))

@@ -84,6 +84,13 @@ def test_links_connect_what_brute_force_connects(spark):
         assert brute_roots(prints, found) == brute_roots(prints, near)
 
 
+def test_dealt_prints_are_not_broadcast(spark):
+    """Spark sizes the 31 rows of a print as one row; broadcast, they take the driver's memory."""
+    df = spark.range(4000).selectExpr("xxhash64(id) as print").repartition(2)
+    plan = links(df)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan and "SortMergeJoin" in plan
+
+
 def test_components_of_chains_stars_and_nothing(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, k) for k in range(1001, 1200)] + [(5000, 4000), (4000, 5000), (7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
